@@ -8,7 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from streamlens.functions.text import is_finite
-from streamlens.operators.joins import SALTS, fits_broadcast, join_settled
+from streamlens.operators.joins import (
+    aligned,
+    fits_broadcast,
+    hot_keys,
+    join_settled,
+    spread_join,
+)
 from streamlens.sources.scratch import settle
 
 GROUP_KEYS = ("reviewer_id", "category", "lat", "lng")
@@ -36,6 +42,18 @@ def rated_above(reviews: DataFrame, min_rating: float) -> DataFrame:
     return reviews.filter((rating > F.lit(float(min_rating))) & ~F.isnan(rating))
 
 
+def weighted_restaurants(restaurants: DataFrame) -> DataFrame:
+    """Distinct restaurant records with the number of their ``copies``.
+
+    Joined in place of the records, they keep a repeated record from
+    multiplying the review rows.
+    """
+    known = restaurants.filter(F.col("id").isNotNull())
+    return known.groupBy("id", "category", "lat", "lng").agg(
+        F.count(F.lit(1)).cast("long").alias("copies")
+    )
+
+
 def rated_groups(
     reviews: DataFrame,
     restaurants: DataFrame,
@@ -45,38 +63,30 @@ def rated_groups(
     """Average rating per reviewer and restaurant record (inner join on the id).
 
     The averages are kept as ``total`` and ``times`` next to ``avg_rating``.
+    ``restaurants`` may be weighted already.
 
-    * Equal restaurant records are counted first and joined as one weighted
-      row, so a repeated id cannot multiply the review rows.
-    * If the restaurants are proven small they are broadcast and the reviews
+    * If the restaurants are proven small they are broadcast, and the reviews
       are only moved as partial averages.
-    * Otherwise reviews are summed per restaurant and reviewer, which folds a
-      hot pair before any join, and a hot restaurant is spread by reviewer
-      over a salted key.
+    * Otherwise both sides are shuffled on the id.  If some ids are hot, the
+      reviews are first summed per restaurant and reviewer, which folds a hot
+      pair, and the hot ids are spread by reviewer.
     """
-    kept = restaurants.select("id", "category", "lat", "lng").filter(F.col("id").isNotNull())
-    small = fits_broadcast(kept, broadcast_bytes)
-    weighted = kept.groupBy("id", "category", "lat", "lng").agg(
-        F.count(F.lit(1)).alias("copies")
-    )
+    if "copies" not in restaurants.columns:
+        restaurants = weighted_restaurants(restaurants.select("id", "category", "lat", "lng"))
     rated = rated_above(reviews, min_rating).select("reviewer_id", "restaurant_id", "rating")
-    if small:
-        matched = rated.join(
-            F.broadcast(weighted), rated.restaurant_id == weighted.id
-        )
-        total, times = F.col("rating") * F.col("copies"), F.col("copies")
+    on = ["restaurant_id"]
+    records = aligned(restaurants.withColumnRenamed("id", "restaurant_id"), rated, on)
+    total, times = F.col("rating") * F.col("copies"), F.col("copies")
+    if fits_broadcast(records, broadcast_bytes):
+        matched = rated.join(F.broadcast(records), on)
     else:
-        summed = rated.groupBy("restaurant_id", "reviewer_id").agg(
-            F.sum("rating").alias("rating"), F.count(F.lit(1)).alias("times")
-        )
-        salt = F.pmod(F.xxhash64("reviewer_id"), F.lit(SALTS)).cast("int")
-        every_salt = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-        left = summed.withColumn("__salt", salt)
-        right = weighted.withColumn("__salt", every_salt)
-        matched = left.join(
-            right, (left.restaurant_id == right.id) & (left["__salt"] == right["__salt"])
-        )
-        total, times = F.col("rating") * F.col("copies"), F.col("times") * F.col("copies")
+        hot = hot_keys(rated, on)
+        if hot:
+            rated = rated.groupBy("restaurant_id", "reviewer_id").agg(
+                F.sum("rating").alias("rating"), F.count(F.lit(1)).alias("times")
+            )
+            times = F.col("times") * F.col("copies")
+        matched = spread_join(rated, records, on, ["reviewer_id"], hot)
     return (
         matched.groupBy(*GROUP_KEYS)
         .agg(F.sum(total).alias("total"), F.sum(times).alias("times"))
@@ -149,7 +159,7 @@ def nearby_rated_per_batch(
     else:
         span = within_band(restaurants, (edges["low"], edges["high"]), lng)
         reachable = join_settled(
-            with_bin(span),
+            with_bin(weighted_restaurants(span)),
             binned.select("bin").distinct(),
             ["bin"],
             ("id", "lat", "lng"),

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from streamlens.functions.text import is_finite, parse_double
+from streamlens.functions.text import cast_number, is_finite, java_number
 
 VERDICTS = ("ok", "no feature", "bad label", "bad feature")
 
@@ -16,20 +16,37 @@ def parse_tokens(tokens: DataFrame, token: str = "token") -> DataFrame:
     A token reads ``label,feature``; parts after the second are ignored and a
     missing or empty second part means there is no feature.
     """
-    parts = F.split(F.col(token), ",")
-    parsed = tokens.withColumn("__parts", parts).select(
+    whole = F.col(token)
+    first = F.substring_index(whole, ",", 1)
+    second = F.substring_index(F.substring_index(whole, ",", 2), ",", -1)
+    paired = F.contains(whole, F.lit(",")) & (second != "")
+    numbers = tokens.select(
         *tokens.columns,
-        parse_double(F.get("__parts", F.lit(0))).alias("label"),
-        parse_double(F.get("__parts", F.lit(1))).alias("feature"),
-        (F.coalesce(F.get("__parts", F.lit(1)), F.lit("")) == "").alias("__bare"),
+        paired.alias("__paired"),
+        F.when(paired, cast_number(first)).alias("__label"),
+        F.when(paired, cast_number(second)).alias("__feature"),
+    )
+    read = numbers.withColumns(
+        {
+            "__label": java_number(F.col("__label"), first),
+            "__feature": java_number(F.col("__feature"), second),
+        }
     )
     verdict = (
-        F.when(F.col("__bare"), F.lit("no feature"))
-        .when(F.col("label").isNull(), F.lit("bad label"))
-        .when(F.col("feature").isNull(), F.lit("bad feature"))
+        F.when(~F.col("__paired"), F.lit("no feature"))
+        .when(F.col("__label").isNull(), F.lit("bad label"))
+        .when(F.col("__feature").isNull(), F.lit("bad feature"))
         .otherwise(F.lit("ok"))
     )
-    return parsed.withColumn("verdict", verdict).drop("__bare")
+    # A filter on plain computed columns is moved below them by repeating their
+    # expressions, so every token would be cut and read again for each use.
+    # Filters stop at a generator: one row in, the same row out, parsed once.
+    once = F.struct(
+        F.col("__label").alias("label"),
+        F.col("__feature").alias("feature"),
+        verdict.alias("verdict"),
+    )
+    return read.select(*tokens.columns, F.inline(F.array(once)))
 
 
 def well_formed(parsed: DataFrame, token: str = "token") -> DataFrame:

@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.functions.time import utc_instant
+from streamlens.functions.time import epoch_day, utc_instant, utc_wall_clock
 from streamlens.operators.samples import parse_samples
 from streamlens.operators.tokens import explode_tokens, message_values
 from streamlens.sources.tables import parquet_table
@@ -108,9 +108,7 @@ def event_samples(spark: SparkSession, folder: str) -> DataFrame:
     """Readings of the events, with the day of the event as ``batch_id``."""
     events = parquet_table(spark, folder, "events")
     parsed = samples_of(event_messages(events))
-    # The message instant is UTC, so its day is a whole number of seconds / 86400.
-    day = F.floor(F.unix_micros("timestamp") / F.lit(86_400_000_000))
-    return parsed.withColumn("batch_id", day.cast("long"))
+    return parsed.withColumn("batch_id", epoch_day(utc_wall_clock(F.col("timestamp"))))
 
 
 def part_samples(spark: SparkSession, folder: str) -> DataFrame:

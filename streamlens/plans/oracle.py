@@ -223,7 +223,7 @@ ORACLE: dict[str, str] = {
     "catalog_sql_lookup": _groups(
         _RESTAURANTS, "lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 40"
     ),
-    "orc_roundtrip": f"SELECT * FROM ({_RESTAURANTS}) AS r WHERE lat BETWEEN 905 AND 980",
+    "orc_roundtrip": _RESTAURANTS,
     "message_tokens": (
         "SELECT topic, \"partition\", \"offset\", pos, CAST(y AS VARCHAR) || ',' ||"
         f" CAST(CAST(x AS INTEGER) AS VARCHAR) AS token FROM ({_READINGS}) AS r"

@@ -115,9 +115,7 @@ def orc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = fresh_folder(spark, "restaurants-orc")
     mp.restaurants(spark, folder).write.orc(path)
     orc_table(spark, path, view="streamlens_restaurants")
-    return catalog_table(spark, "streamlens_restaurants").filter(
-        F.col("lat").between(905.0, 980.0)
-    )
+    return catalog_table(spark, "streamlens_restaurants")
 
 
 # --- tokens and samples -----------------------------------------------------
