@@ -49,7 +49,8 @@ def java_number(number: Column, text: Column) -> Column:
     The cast takes ``inf`` or ``nan`` in any case.  Only non-finite results can
     come from those words, so ordinary numbers never pay for the pattern.
     """
-    return F.when(F.abs(number) < float("inf"), number).when(text.rlike(JAVA_DOUBLE), number)
+    settled = number.isNull() | (F.abs(number) < float("inf"))
+    return F.when(settled, number).when(text.rlike(JAVA_DOUBLE), number)
 
 
 def parse_double(text: Column) -> Column:

@@ -17,14 +17,22 @@ def parse_tokens(tokens: DataFrame, token: str = "token") -> DataFrame:
     missing or empty second part means there is no feature.
     """
     whole = F.col(token)
-    first = F.substring_index(whole, ",", 1)
-    second = F.substring_index(F.substring_index(whole, ",", 2), ",", -1)
-    paired = F.contains(whole, F.lit(",")) & (second != "")
-    numbers = tokens.select(
+    parts = tokens.select(
         *tokens.columns,
-        paired.alias("__paired"),
-        F.when(paired, cast_number(first)).alias("__label"),
-        F.when(paired, cast_number(second)).alias("__feature"),
+        F.substring_index(whole, ",", 1).alias("__first"),
+        F.when(
+            F.contains(whole, F.lit(",")),
+            F.substring_index(F.substring_index(whole, ",", 2), ",", -1),
+        ).alias("__second"),
+    )
+    first, second = F.col("__first"), F.col("__second")
+    paired = F.coalesce(second, F.lit("")) != ""
+    numbers = parts.withColumns(
+        {
+            "__paired": paired,
+            "__label": F.when(paired, cast_number(first)),
+            "__feature": F.when(paired, cast_number(second)),
+        }
     )
     read = numbers.withColumns(
         {
