@@ -8,6 +8,7 @@ from typing import Sequence
 MALFORMED_POLICIES = ("fail", "drop", "quarantine")
 SOLVERS = ("exact", "sgd")
 SEMANTICS = ("replace_batch", "append")
+TABLE_SOURCES = ("catalog", "orc")
 
 
 @dataclass(frozen=True)
@@ -34,6 +35,8 @@ class JobConfig:
     batch_interval: str = "10 seconds"
     reviews_path: str = "/apps/hive/warehouse/restaurants.db/reviews"
     restaurants_path: str = "/apps/hive/warehouse/restaurants.db/restaurants"
+    reviews_table: str = "restaurants.reviews"
+    restaurants_table: str = "restaurants.restaurants"
     results_table: str = "restaurants.results"
     output_topic: str = "MyTest"
     half_width: float = 0.0005
@@ -46,6 +49,7 @@ class JobConfig:
     solver: str = "exact"
     on_malformed: str = "fail"
     semantics: str = "replace_batch"
+    tables_from: str = "catalog"
     starting_offsets: str = "latest"
     max_offsets_per_trigger: int | None = None
     broadcast_bytes: int = 32 * 1024 * 1024
@@ -55,6 +59,7 @@ class JobConfig:
             ("on_malformed", self.on_malformed, MALFORMED_POLICIES),
             ("solver", self.solver, SOLVERS),
             ("semantics", self.semantics, SEMANTICS),
+            ("tables_from", self.tables_from, TABLE_SOURCES),
         ):
             if value not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, not {value!r}")

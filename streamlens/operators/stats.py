@@ -38,17 +38,22 @@ def correlation_matrix(
     A constant column correlates with nothing: NaN off the diagonal.
     """
     size = len(columns)
-    upper = {
-        (i, j): F.corr(columns[i], columns[j]).alias(f"c{i}_{j}")
+    spreads = [F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]
+    shared = [
+        F.covar_pop(columns[i], columns[j]).alias(f"c{i}_{j}")
         for i in range(size)
         for j in range(i + 1, size)
-    }
-    found = samples.agg(*upper.values())
+    ]
+    found = samples.agg(*spreads, *shared)
 
     def entry(i: int, j: int) -> Column:
-        pair = F.col(f"c{min(i, j)}_{max(i, j)}") if i != j else F.lit(1.0)
-        value = F.coalesce(pair, F.lit(float("nan")))
-        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), value.alias("corr"))
+        if i == j:
+            known = F.lit(1.0)
+        else:
+            spread = F.col(f"s{i}") * F.col(f"s{j}")
+            value = F.when(spread > 0, F.col(f"c{min(i, j)}_{max(i, j)}") / spread)
+            known = F.coalesce(value, F.lit(float("nan")))
+        return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), known.alias("corr"))
 
     entries = [entry(i, j) for i in range(size) for j in range(size)]
     return found.select(F.inline(F.array(*entries)))
@@ -67,7 +72,8 @@ def split_part(key: Column, train_fraction: float = 0.9) -> Column:
     Unlike a random split it needs no sort to be repeatable, and a row falls
     on the same side in every run, task attempt and engine that has MD5.
     """
-    cut = f"{round(train_fraction * 16**8):08x}"
+    draws = round(train_fraction * 16**8)
+    cut = f"{draws:08x}" if draws < 16**8 else "g"
     draw = F.substring(F.md5(key.cast("string").cast("binary")), 1, 8)
     return F.when(draw < cut, "train").otherwise("test")
 

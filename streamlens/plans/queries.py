@@ -398,7 +398,12 @@ def _run_part_job(spark: SparkSession, folder: str, **settings) -> Outputs:
     )
     base = fresh_folder(spark, "job")
     outputs = Outputs.in_folder(f"{base}/output")
-    job = BatchJob(cfg, mp.reviews(spark, folder), mp.restaurants(spark, folder), outputs)
+    job = BatchJob(
+        cfg,
+        lambda: mp.reviews(spark, folder),
+        lambda: mp.restaurants(spark, folder),
+        outputs,
+    )
     messages = mp.part_messages(_replayed(spark, folder, "part"))
     start_job(messages, job, f"{base}/checkpoint", available_now=True).awaitTermination()
     return outputs

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Row, SparkSession
@@ -19,6 +20,8 @@ from streamlens.operators.samples import malformed, parse_tokens, well_formed
 from streamlens.operators.tokens import TOKEN_POSITION, explode_tokens, message_values
 from streamlens.sinks.batches import FolderSink, TableSink
 from streamlens.sinks.messages import FolderPublisher, KafkaPublisher
+from streamlens.sources.streams import kafka_source
+from streamlens.sources.tables import catalog_table, orc_table
 
 _POSITION = {"topic": "string", "partition": "integer", "offset": "long", "pos": "integer"}
 MODEL_SCHEMA = flat_schema(
@@ -122,11 +125,14 @@ class BatchJob:
     The driver takes one row from the batch.  Model and band then are plain
     numbers: predictions need no join and the band reaches the file scan of
     the restaurants.  Each output is written from one evaluation.
+
+    The tables are opened for every batch, so that a long-running stream sees
+    what was added to them.
     """
 
     cfg: JobConfig
-    reviews: DataFrame
-    restaurants: DataFrame
+    reviews: Callable[[], DataFrame]
+    restaurants: Callable[[], DataFrame]
     outputs: Outputs
 
     def __call__(self, parsed: DataFrame, batch_id: int) -> None:
@@ -158,8 +164,8 @@ class BatchJob:
 
         centre = report["first_prediction"]
         found = nearby_rated(
-            self.reviews,
-            self.restaurants,
+            self.reviews(),
+            self.restaurants(),
             (centre - cfg.half_width, centre + cfg.half_width),
             (cfg.lng_low, cfg.lng_high),
             cfg.min_rating,
@@ -206,20 +212,27 @@ def start_preview(messages: DataFrame, batch_interval: str, rows: int = 10) -> S
     )
 
 
-def run_kafka_job(spark: SparkSession, cfg: JobConfig, base: str) -> StreamingQuery:
-    """The whole job between Kafka topics and stored ORC tables."""
-    from streamlens.sources.streams import kafka_source
-    from streamlens.sources.tables import orc_table
+def stored_tables(
+    spark: SparkSession, cfg: JobConfig
+) -> tuple[Callable[[], DataFrame], Callable[[], DataFrame]]:
+    """How a job opens reviews and restaurants: by catalog name or from ORC folders."""
+    if cfg.tables_from == "catalog":
+        return (
+            lambda: catalog_table(spark, cfg.reviews_table),
+            lambda: catalog_table(spark, cfg.restaurants_table),
+        )
+    return (
+        lambda: orc_table(spark, cfg.reviews_path, "reviews"),
+        lambda: orc_table(spark, cfg.restaurants_path, "restaurants"),
+    )
+
 
+def run_kafka_job(spark: SparkSession, cfg: JobConfig, base: str) -> StreamingQuery:
+    """The whole job between Kafka topics and stored tables."""
     outputs = Outputs.in_folder(
         f"{base}/output",
         results=TableSink(cfg.results_table, cfg.semantics),
         published=KafkaPublisher(cfg),
     )
-    job = BatchJob(
-        cfg,
-        orc_table(spark, cfg.reviews_path, "reviews"),
-        orc_table(spark, cfg.restaurants_path, "restaurants"),
-        outputs,
-    )
+    job = BatchJob(cfg, *stored_tables(spark, cfg), outputs)
     return start_job(kafka_source(spark, cfg), job, f"{base}/checkpoint")

@@ -1,0 +1,77 @@
+import math
+
+import pytest
+from pyspark.ml.evaluation import RegressionEvaluator
+from pyspark.mllib.linalg import Vectors
+from pyspark.mllib.stat import Statistics
+from pyspark.sql import functions as F
+
+from streamlens.operators import stats
+
+PAIRS = [(3.0, 1.0), (5.0, 2.0), (4.0, 4.0), (8.0, 7.0), (1.0, 2.0)]
+
+
+def test_scaling_divides_by_the_sample_deviation(samples_from):
+    got = stats.scale_features(samples_from(PAIRS))
+    x = [p[1] for p in PAIRS]
+    mean = sum(x) / len(x)
+    std = math.sqrt(sum((v - mean) ** 2 for v in x) / (len(x) - 1))
+    for row in got.collect():
+        assert row.scaled == pytest.approx(row.feature / std)
+
+
+@pytest.mark.parametrize("pairs", [[(1, 5), (2, 5)], [(1, 5)]])
+def test_constant_feature_scales_to_zero(samples_from, pairs):
+    assert {r.scaled for r in stats.scale_features(samples_from(pairs)).collect()} == {0.0}
+
+
+def test_means(samples_from):
+    row = stats.column_means(samples_from(PAIRS), ("label", "feature")).first()
+    assert tuple(row) == pytest.approx((4.2, 3.2))
+
+
+def test_correlations_equal_stock_ones(spark, samples_from):
+    stock = Statistics.corr(spark.sparkContext.parallelize([Vectors.dense(p) for p in PAIRS]))
+    got = {(r.i, r.j): r.corr for r in stats.correlation_matrix(samples_from(PAIRS)).collect()}
+    assert len(got) == 4
+    for (i, j), value in got.items():
+        assert value == pytest.approx(stock[i][j])
+
+
+def test_constant_column_has_no_correlation(samples_from):
+    got = {(r.i, r.j): r.corr for r in stats.correlation_matrix(samples_from([(1, 2), (1, 3)])).collect()}
+    assert got[0, 0] == 1.0 and math.isnan(got[0, 1])
+
+
+def test_metrics_equal_stock_ones(spark):
+    rows = [(y + d, y) for (y, _), d in zip(PAIRS, (0.5, -0.2, 0.1, 0.9, -1.0))]
+    df = spark.createDataFrame(rows, "prediction double, label double")
+    row = stats.regression_metrics(df).first()
+    for name in ("mse", "rmse", "r2"):
+        assert row[name] == pytest.approx(RegressionEvaluator(metricName=name).evaluate(df))
+
+
+def test_r2_of_constant_labels_is_unknown(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (2.0, 2.0)], "prediction double, label double")
+    assert stats.regression_metrics(df).first().r2 is None
+
+
+def test_split_is_whole_and_repeatable(spark):
+    df = spark.range(5000).withColumn("part", stats.split_part(F.col("id"), 0.9))
+    again = df.repartition(7).withColumn("again", stats.split_part(F.col("id"), 0.9))
+    assert again.filter("part <> again").isEmpty()
+    counts = {r.part: r["count"] for r in df.groupBy("part").count().collect()}
+    assert sum(counts.values()) == 5000
+    assert abs(counts["train"] / 5000 - 0.9) < 0.02
+
+
+@pytest.mark.parametrize("fraction, side", [(0.0, "test"), (1.0, "train")])
+def test_split_ends(spark, fraction, side):
+    got = spark.range(200).select(stats.split_part(F.col("id"), fraction).alias("p")).distinct()
+    assert [r.p for r in got.collect()] == [side]
+
+
+def test_random_split_is_whole(spark):
+    train, test = stats.random_split(spark.range(1000), seed=3)
+    assert train.count() + test.count() == 1000
+    assert train.join(test, "id").isEmpty()
