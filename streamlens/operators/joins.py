@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,6 +13,7 @@ from streamlens.sources.scratch import settle
 # Rows are at most a few hundred bytes wide where this bound is used, so a
 # broadcast stays within some tens of megabytes.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 32 * 1024 * 1024
 
 # A key is hot if it holds one row in HOT_PARTS or more; there are at most
 # HOT_PARTS such keys.
@@ -72,24 +73,36 @@ def spread_join(
     on: Sequence[str],
     salt_by: Sequence[str],
     hot: Sequence[int],
+    *,
+    fold: Callable[[DataFrame], DataFrame] | None = None,
+    broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Inner join by shuffle, with the ``hot`` keys of ``big`` spread over all tasks.
+    """Inner join by shuffle in which no ``hot`` key of ``big`` lands in one task.
+
+    Hot keys are few, so their partners mostly prove small: they are broadcast
+    to the hot rows, which then are not moved, and only the other rows are
+    shuffled.
 
-    Rows of a hot key get a salt from ``salt_by`` and only the few partners of
-    hot keys are repeated per salt; all other rows are sent once.  The salt is
-    a hash of row content, so a task that runs again after a lost executor puts
-    its rows where they were.
+    If the partners of hot keys are not small, hot rows get a salt from
+    ``salt_by`` and only those partners are repeated per salt.  ``fold`` then
+    sums up rows that agree on key and salt columns, if there can be many.  The
+    salt is a hash of row content, so a task that runs again after a lost
+    executor puts its rows where they were.
     """
     small = aligned(small, big, on)
     if not hot:
         return big.join(small, list(on))
-    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     is_hot = F.xxhash64(*on).isin(list(hot))
+    few = small.filter(is_hot)
+    if fits_broadcast(few, broadcast_bytes):
+        moved = big.filter(~is_hot).join(small.filter(~is_hot), list(on))
+        return moved.unionByName(big.filter(is_hot).join(F.broadcast(few), list(on)))
+    salts = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.when(is_hot, F.pmod(F.xxhash64(*salt_by), F.lit(salts)).cast("int")).otherwise(0)
     repeats = F.when(is_hot, F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(
         F.array(F.lit(0))
     )
-    left = big.withColumn("__salt", salt)
+    left = (fold(big) if fold else big).withColumn("__salt", salt)
     right = small.withColumn("__salt", F.explode(repeats))
     return left.join(right, [*on, "__salt"]).drop("__salt")
 

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from streamlens.functions.text import is_finite
 from streamlens.operators.joins import (
+    BROADCAST_BYTES,
+    BROADCAST_ROWS,
     aligned,
     fits_broadcast,
     hot_keys,
@@ -19,7 +21,6 @@ from streamlens.sources.scratch import settle
 
 GROUP_KEYS = ("reviewer_id", "category", "lat", "lng")
 RESULT_COLUMNS = (*GROUP_KEYS, "avg_rating")
-BROADCAST_BYTES = 32 * 1024 * 1024
 BINS_PER_BAND = 3
 
 
@@ -54,43 +55,65 @@ def weighted_restaurants(restaurants: DataFrame) -> DataFrame:
     )
 
 
-def rated_groups(
+def rated_matches(
     reviews: DataFrame,
     restaurants: DataFrame,
     min_rating: float = 3.0,
     broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
-    """Average rating per reviewer and restaurant record (inner join on the id).
+    """Rated reviews with their restaurant records (inner join on the id).
 
-    The averages are kept as ``total`` and ``times`` next to ``avg_rating``.
-    ``restaurants`` may be weighted already.
+    A row may stand for several equal matches: ``times`` of them with ratings
+    that sum to ``total``.  ``restaurants`` may be weighted already.
 
-    * If the restaurants are proven small they are broadcast, and the reviews
-      are only moved as partial averages.
-    * Otherwise both sides are shuffled on the id.  If some ids are hot, the
-      reviews are first summed per restaurant and reviewer, which folds a hot
-      pair, and the hot ids are spread by reviewer.
+    * If the restaurants are proven small they are broadcast and the reviews
+      stay where they are.
+    * Otherwise both sides are shuffled on the id and hot ids are spread, see
+      ``spread_join``; a hot pair of restaurant and reviewer is folded first.
     """
-    if "copies" not in restaurants.columns:
-        restaurants = weighted_restaurants(restaurants.select("id", "category", "lat", "lng"))
-    rated = rated_above(reviews, min_rating).select("reviewer_id", "restaurant_id", "rating")
+    weighted = "copies" in restaurants.columns
+    if not weighted:
+        restaurants = restaurants.select("id", "category", "lat", "lng")
+    small = fits_broadcast(restaurants, broadcast_bytes)
+    records = restaurants if weighted else weighted_restaurants(restaurants)
+    rated = (
+        rated_above(reviews, min_rating)
+        .filter(F.col("restaurant_id").isNotNull())
+        .select("reviewer_id", "restaurant_id", "rating")
+    )
     on = ["restaurant_id"]
-    records = aligned(restaurants.withColumnRenamed("id", "restaurant_id"), rated, on)
-    total, times = F.col("rating") * F.col("copies"), F.col("copies")
-    if fits_broadcast(records, broadcast_bytes):
-        matched = rated.join(F.broadcast(records), on)
+    records = aligned(records.withColumnRenamed("id", "restaurant_id"), rated, on)
+    if small:
+        matched = rated.join(F.broadcast(records), on).withColumn("times", F.lit(1))
     else:
-        hot = hot_keys(rated, on)
-        if hot:
-            rated = rated.groupBy("restaurant_id", "reviewer_id").agg(
-                F.sum("rating").alias("rating"), F.count(F.lit(1)).alias("times")
-            )
-            times = F.col("times") * F.col("copies")
-        matched = spread_join(rated, records, on, ["reviewer_id"], hot)
-    return (
-        matched.groupBy(*GROUP_KEYS)
-        .agg(F.sum(total).alias("total"), F.sum(times).alias("times"))
-        .withColumn("avg_rating", F.col("total") / F.col("times"))
+        matched = spread_join(
+            rated.withColumn("times", F.lit(1).cast("long")),
+            records,
+            on,
+            ["reviewer_id"],
+            hot_keys(rated, on),
+            fold=lambda df: df.groupBy("restaurant_id", "reviewer_id").agg(
+                F.sum("rating").alias("rating"), F.sum("times").alias("times")
+            ),
+            broadcast_bytes=broadcast_bytes,
+        )
+    return matched.select(
+        *GROUP_KEYS,
+        (F.col("rating") * F.col("copies")).alias("total"),
+        (F.col("times") * F.col("copies")).alias("times"),
+    )
+
+
+def rated_groups(
+    reviews: DataFrame,
+    restaurants: DataFrame,
+    min_rating: float = 3.0,
+    broadcast_bytes: int = BROADCAST_BYTES,
+) -> DataFrame:
+    """Average rating per reviewer and restaurant record."""
+    matched = rated_matches(reviews, restaurants, min_rating, broadcast_bytes)
+    return matched.groupBy(*GROUP_KEYS).agg(
+        (F.sum("total") / F.sum("times")).alias("avg_rating")
     )
 
 
@@ -166,6 +189,9 @@ def nearby_rated_per_batch(
             known_rows=binned_rows,
         ).drop("bin")
     groups = rated_groups(reviews, reachable, min_rating, broadcast_bytes)
+    if binned_rows > BROADCAST_ROWS:
+        # The shuffle join looks at its input twice: for hot bins and to join.
+        groups, _ = settle(groups)
     inside = F.col("lat").between(F.col("lat_low"), F.col("lat_high"))
     found = join_settled(
         with_bin(groups),

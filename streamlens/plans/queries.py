@@ -64,10 +64,10 @@ def top_reviewers_list(spark: SparkSession, folder: str) -> DataFrame:
 
 def rated_join(spark: SparkSession, folder: str) -> DataFrame:
     """Rated reviews per category of their restaurant."""
-    groups = lookup.rated_groups(
+    matched = lookup.rated_matches(
         mp.reviews(spark, folder), mp.restaurants(spark, folder), mp.MIN_RATING
     )
-    return groups.groupBy("category").agg(
+    return matched.groupBy("category").agg(
         F.sum("times").alias("n"), F.round(F.sum("total"), 6).alias("sum_rating")
     )
 

@@ -174,11 +174,15 @@ class BatchJob:
         )
         out.results.write(found, batch_id)
 
-        spark = parsed.sparkSession
-        model = tuple(report[c] for c in MODEL_SCHEMA.fieldNames())
-        out.models.write(spark.createDataFrame([model], MODEL_SCHEMA), batch_id)
+        # One row is one task, however many cores the cluster has.
+        one_row = parsed.sparkSession.range(0, 1, 1, 1)
+        model = [
+            F.lit(report[field.name]).cast(field.dataType).alias(field.name)
+            for field in MODEL_SCHEMA
+        ]
+        out.models.write(one_row.select(*model), batch_id)
         pair = pair_text(F.lit(centre), F.lit(report["first"]["label"]))
-        out.published.write(spark.range(1).select(pair.alias("value")), batch_id)
+        out.published.write(one_row.select(pair.alias("value")), batch_id)
 
 
 def start_job(

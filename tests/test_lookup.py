@@ -80,8 +80,13 @@ def test_empty_band(skewed):
     assert lookup.nearby_rated(skewed[2], skewed[3], (10.0, 11.0), (13.3, 13.4)).isEmpty()
 
 
-@pytest.mark.parametrize("broadcast_bytes", [1 << 20, 0])
-def test_lookup_equals_nested_loops(skewed, broadcast_bytes):
+@pytest.mark.parametrize(
+    "broadcast_bytes, hot_parts",
+    [(1 << 20, 1000), (0, 1000), (1000, 10), (0, 1)],
+    ids=["broadcast", "salted", "hot broadcast", "none hot"],
+)
+def test_lookup_equals_nested_loops(skewed, monkeypatch, broadcast_bytes, hot_parts):
+    monkeypatch.setattr(joins, "HOT_PARTS", hot_parts)
     reviews, restaurants, reviews_df, restaurants_df = skewed
     lat, lng = (52.3, 53.2), (13.25, 13.45)
     got = as_dict(
@@ -99,11 +104,17 @@ def test_hot_keys_are_found_and_spread(skewed):
     of_seven = reviews.select(F.xxhash64(F.lit(7))).first()[0]
     assert of_seven in hot
     records = lookup.weighted_restaurants(restaurants).withColumnRenamed("id", "restaurant_id")
-    spread = joins.spread_join(
-        reviews, records, ["restaurant_id"], ["reviewer_id", "rating"], [of_seven]
-    )
-    plain = reviews.join(records, "restaurant_id").select(spread.columns)
-    assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
+    plain = reviews.join(records, "restaurant_id")
+    for limit in (0, 1 << 20):
+        spread = joins.spread_join(
+            reviews,
+            records,
+            ["restaurant_id"],
+            ["reviewer_id", "rating"],
+            [of_seven],
+            broadcast_bytes=limit,
+        ).select(plain.columns)
+        assert spread.exceptAll(plain).isEmpty() and plain.exceptAll(spread).isEmpty()
 
 
 def test_keys_of_other_integer_types_still_meet(spark, skewed):
