@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable
 
-from pyspark import StorageLevel
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -156,35 +157,47 @@ class BatchJob:
         if report["n"] == 0:
             return
 
-        weight, intercept = F.lit(report["weight"]), F.lit(report["intercept"])
-        predicted = well_formed(parsed).withColumn(
-            "prediction", weight * F.col("feature") + intercept
-        )
-        out.predictions.write(predicted, batch_id)
-
         centre = report["first_prediction"]
-        found = nearby_rated(
-            self.reviews(),
-            self.restaurants(),
-            (centre - cfg.half_width, centre + cfg.half_width),
-            (cfg.lng_low, cfg.lng_high),
-            cfg.min_rating,
-            cfg.result_limit,
-            cfg.broadcast_bytes,
-        )
-        out.results.write(found, batch_id)
-
         # One row is one task, however many cores the cluster has.
         one_row = parsed.sparkSession.range(0, 1, 1, 1)
-        model = [
-            F.lit(report[field.name]).cast(field.dataType).alias(field.name)
-            for field in MODEL_SCHEMA
-        ]
-        out.models.write(one_row.select(*model), batch_id)
+
+        def write_predictions() -> None:
+            line = F.lit(report["weight"]) * F.col("feature") + F.lit(report["intercept"])
+            out.predictions.write(well_formed(parsed).withColumn("prediction", line), batch_id)
+
+        def write_results() -> None:
+            found = nearby_rated(
+                self.reviews(),
+                self.restaurants(),
+                (centre - cfg.half_width, centre + cfg.half_width),
+                (cfg.lng_low, cfg.lng_high),
+                cfg.min_rating,
+                cfg.result_limit,
+                cfg.broadcast_bytes,
+            )
+            out.results.write(found, batch_id)
+
+        def write_model() -> None:
+            model = [
+                F.lit(report[field.name]).cast(field.dataType).alias(field.name)
+                for field in MODEL_SCHEMA
+            ]
+            out.models.write(one_row.select(*model), batch_id)
+
+        _together(parsed.sparkSession, write_predictions, write_results, write_model)
+        # Last, so that nothing is announced of a batch whose tables failed.
         pair = pair_text(F.lit(centre), F.lit(report["first"]["label"]))
         out.published.write(one_row.select(pair.alias("value")), batch_id)
 
 
+def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
+    """Run independent writes at once; the first failure is raised after all have ended."""
+    with ThreadPoolExecutor(len(writes)) as pool:
+        started = [pool.submit(inheritable_thread_target(spark)(write)) for write in writes]
+    for write in started:
+        write.result()
+
+
 def start_job(
     messages: DataFrame,
     job: BatchJob,

@@ -294,3 +294,21 @@ def test_streaming_token_count(spark, replay):
     )
     query.awaitTermination()
     assert {r.token: r.n for r in spark.table("token_counts").collect()} == {"a": 3, "b": 2, "": 1}
+
+
+def test_nothing_is_published_of_a_batch_that_failed(spark, replay, tmp_path):
+    job = replay()
+    job.arrive(BATCHES[0])
+    messages = spark.read.schema(MESSAGE_SCHEMA).parquet(f"{job.base}/messages")
+
+    def unreadable():
+        raise OSError("no such table")
+
+    batch = BatchJob(job.cfg, unreadable, lambda: job.restaurants, job.outputs)
+    with pytest.raises(OSError):
+        batch(parsed_stream(messages), 0)
+    assert not (tmp_path / "output" / "published").exists()
+    BatchJob(job.cfg, lambda: job.reviews, lambda: job.restaurants, job.outputs)(
+        parsed_stream(messages), 0
+    )
+    assert len(job.rows("published")) == 1 and len(job.rows("models")) == 1
