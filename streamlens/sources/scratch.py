@@ -11,18 +11,18 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach, as the session names it.
+    """The folder all executors can reach, as the session or its context names it.
 
     Only a local session that names none gets a temporary folder of its own.
     """
-    named = spark.conf.get(_CHECKPOINT_DIR, None)
+    context = spark.sparkContext
+    named = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not context.master.startswith("local"):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="streamlens-")
-        spark.conf.set(_CHECKPOINT_DIR, named)
-    if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(named)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(named)
     return named.rstrip("/")
 
 

@@ -1,5 +1,6 @@
 import pytest
 
+from streamlens.__main__ import main
 from streamlens.config import JobConfig
 from streamlens.functions.schemas import flat_schema
 from streamlens.sinks.batches import FolderSink, TableSink
@@ -99,6 +100,36 @@ def test_scratch_lies_in_the_named_folder(spark):
     assert rows == 5 and df.count() == 5
 
 
+class UnnamedSession:
+    """A session without a checkpoint folder in its settings."""
+
+    def __init__(self, master):
+        self.conf = self.sparkContext = self
+        self.master = master
+        self.folder = None
+
+    def get(self, key, default):
+        return default
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+def test_only_a_local_session_makes_its_own_folder():
+    local = UnnamedSession("local[2]")
+    assert shared_folder(local) == shared_folder(local) == local.folder
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(UnnamedSession("spark://host:7077"))
+
+
+def test_command_line_without_settings_explains_them():
+    with pytest.raises(SystemExit, match="usage: <brokers> <topics>"):
+        main([])
+
+
 ARGS = ["host:6667", "t1,t2,t1", "100", "0.01", "0.00001", "0", "0.0001", "5"]
 
 
