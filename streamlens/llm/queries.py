@@ -8,8 +8,9 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamlens.llm import html, licenses, pii
+from streamlens.llm import html, licenses, mixing, pii, tokenfiles
 from streamlens.llm.tables import table
+from streamlens.sources.scratch import fresh_folder
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -41,6 +42,21 @@ def registered(name: str, oracle: str | None = None) -> Callable[[Query], Query]
     return add
 
 
+# The vocabulary and the end-of-document id of the token files.
+VOCABULARY = "byte_bpe_50k.json"
+END_ID = 2
+
+
+def token_report(documents: DataFrame) -> DataFrame:
+    """Write the token files of ``documents`` and read back one row per document."""
+    import public_tokenizers
+
+    spark = documents.sparkSession
+    path = fresh_folder(spark, "tokens")
+    dtype = tokenfiles.write(documents, path, public_tokenizers.path(VOCABULARY), END_ID)
+    return tokenfiles.read(spark, path, dtype)
+
+
 @registered("op1_html_extraction")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages", "page_id", "url", "html"))
@@ -55,3 +71,13 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
 def op10(spark: SparkSession, folder: str) -> DataFrame:
     found = licenses.scan(table(spark, folder, "documents", "doc_id", "text"))
     return found.drop("detections")
+
+
+@registered("op3_token_files")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return token_report(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@registered("op6_source_mixing")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.report(table(spark, folder, "documents", "doc_id", "source", "text"))
