@@ -98,21 +98,19 @@ def parts(sources: DataFrame) -> DataFrame:
     return bounded.withColumn("low", F.coalesce(F.lag("high").over(upto), F.lit(0).cast("long")))
 
 
-def _points_below(count: str, bound: str) -> str:
-    """How many of the first ``count`` van der Corput points lie below ``bound``.
+def _points_below(bound: str) -> str:
+    """How many of the first ``slot`` van der Corput points lie below ``bound``.
 
-    The first ``count`` numbers are one aligned run for each bit set in ``count``;
-    the points of a run of 2^k numbers are equally spaced from its first point.
+    The first ``slot`` numbers are one aligned run for each bit set in ``slot``.
+    The points of a run of 2^k numbers are 2^-k apart, and the first of them is
+    what the lower digits of ``point`` say.
     """
-    bits, one = POINT_BITS, "cast(1 AS bigint)"
-    first = f"""aggregate(sequence(k + 1, {bits - 1}), cast(0 AS bigint), (s, b) ->
-        s + CASE WHEN ({count} & shiftleft({one}, b)) <> 0
-                 THEN shiftleft({one}, {bits - 1} - b) ELSE cast(0 AS bigint) END)"""
-    step = f"shiftleft({one}, {bits} - k)"
-    run = f"""least(greatest(({bound} - {first} + {step} - 1) div {step}, cast(0 AS bigint)),
-                    shiftleft({one}, k))"""
-    return f"""aggregate(sequence(0, {bits - 2}), cast(0 AS bigint), (n, k) ->
-        n + CASE WHEN ({count} & shiftleft({one}, k)) <> 0 THEN {run} ELSE cast(0 AS bigint) END)"""
+    one = "cast(1 AS bigint)"
+    step = f"shiftleft({one}, {POINT_BITS} - k)"
+    first = f"(point & (shiftleft({one}, {POINT_BITS - 1} - k) - 1))"
+    run = f"least(greatest(({bound} - {first} + {step} - 1) div {step}, cast(0 AS bigint)), shiftleft({one}, k))"
+    return f"""aggregate(sequence(0, length(bin(slot)) - 1), cast(0 AS bigint), (n, k) ->
+        n + CASE WHEN (slot & shiftleft({one}, k)) <> 0 THEN {run} ELSE cast(0 AS bigint) END)"""
 
 
 def schedule(sources: DataFrame) -> DataFrame:
@@ -136,14 +134,16 @@ def schedule(sources: DataFrame) -> DataFrame:
     slots = runs.repartition(width, "run").select(
         "parts", "slots", F.explode(F.expr("sequence(run * 4096, least(run * 4096 + 4095, slots - 1))")).alias("slot")
     )
-    point = f"""aggregate(sequence(0, {POINT_BITS - 1}), cast(0 AS bigint), (s, b) ->
-        s + CASE WHEN (slot & shiftleft(cast(1 AS bigint), b)) <> 0
-                 THEN shiftleft(cast(1 AS bigint), {POINT_BITS - 1} - b) ELSE cast(0 AS bigint) END)"""
-    placed = slots.withColumn("point", F.expr(point)).withColumn(
-        "part", F.expr("filter(parts, p -> p.low <= point AND point < p.high)[0]")
+    # One-row generators keep Catalyst from repeating a column for every use of it.
+    point = F.expr(f"cast(conv(reverse(lpad(bin(slot), {POINT_BITS}, '0')), 2, 10) AS bigint)")
+    part = F.expr("filter(parts, p -> p.low <= point AND point < p.high)[0]")
+    placed = (
+        slots.withColumn("point", F.explode(F.array(point)))
+        .withColumn("part", F.explode(F.array(part)))
+        .select("slot", "point", "part.low", "part.high", "part.number")
     )
-    rank = F.expr(f"({_points_below('slot', 'part.high')}) - ({_points_below('slot', 'part.low')})")
-    return placed.select("slot", F.col("part.number").alias("number"), rank.alias("rank"))
+    rank = F.expr(f"({_points_below('high')}) - ({_points_below('low')})")
+    return placed.select("slot", "number", rank.alias("rank"))
 
 
 def block_words(total: str) -> Column:
@@ -237,3 +237,65 @@ def report(documents: DataFrame) -> DataFrame:
         "mix-sized",
     )
     return _taken(sized).drop("__row", "source")
+
+
+def oracle_sql() -> str:
+    """The report as SQL, from the closed form of what the schedule takes."""
+    bits = POINT_BITS
+    return f"""
+WITH sized AS (
+  SELECT doc_id, source,
+         len(regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')) AS size,
+         md5('{SEED}:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS place
+  FROM documents
+), sums AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1 AS number
+  FROM sized GROUP BY source
+), weighed AS (
+  SELECT *, CASE number % 3 WHEN 0 THEN 5 WHEN 1 THEN 2 ELSE 1 END AS weight, 3 * source_size AS most,
+         CAST(sum(source_size) OVER () AS BIGINT) AS total
+  FROM sums
+), ranked AS (
+  SELECT *,
+    coalesce(sum(most) OVER (ORDER BY CAST(most AS DOUBLE) / weight, number
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent,
+    sum(weight) OVER (ORDER BY CAST(most AS DOUBLE) / weight, number
+             ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS shares
+  FROM weighed
+), leveled AS (
+  SELECT *, CAST(total - spent AS DOUBLE) / CAST(shares AS DOUBLE) AS level,
+         most < weight * (CAST(total - spent AS DOUBLE) / CAST(shares AS DOUBLE)) AS held
+  FROM ranked
+), aimed AS (
+  SELECT *, CASE WHEN held THEN CAST(most AS DOUBLE)
+    ELSE least(weight * (SELECT arg_min(level, spent) FROM leveled WHERE NOT held), CAST(most AS DOUBLE))
+    END AS target
+  FROM leveled
+), bounded AS (
+  SELECT *, CASE WHEN total > 0 THEN CAST(round(sum(target) OVER (ORDER BY number) / sum(target) OVER ()
+                 * {1 << bits}) AS BIGINT) ELSE 0 END AS high,
+    least(greatest(total // {LEAST_SLOTS}, 1), {BLOCK_WORDS}) AS block
+  FROM aimed
+), parts AS (
+  SELECT *, coalesce(lag(high) OVER (ORDER BY number), 0) AS low FROM bounded
+), points AS (
+  SELECT list_sum([((slot >> b) & 1) << ({bits - 1} - b) FOR b IN range({bits})]) AS point
+  FROM (SELECT unnest(range(CAST(ceil(total / block) AS BIGINT))) AS slot
+        FROM (SELECT DISTINCT total, block FROM parts))
+), taken AS (
+  SELECT p.source, p.source_size, p.target,
+         least(count(point) * p.block, 3 * p.source_size) AS words
+  FROM parts p LEFT JOIN points ON point >= p.low AND point < p.high
+  GROUP BY p.source, p.source_size, p.target, p.block
+), placed AS (
+  SELECT s.doc_id, s.size, t.source_size, t.target, t.words,
+    coalesce(sum(s.size) OVER (PARTITION BY s.source ORDER BY place, s.size
+             ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS ahead
+  FROM sized s JOIN taken t ON s.source IS NOT DISTINCT FROM t.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CASE WHEN size = 0 THEN CAST(0 AS BIGINT) ELSE CAST(words // source_size * size
+         + least(greatest(words % source_size - ahead, 0), size) AS BIGINT) END AS taken
+FROM placed
+"""

@@ -78,6 +78,6 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
     return token_report(table(spark, folder, "documents", "doc_id", "text"))
 
 
-@registered("op6_source_mixing")
+@registered("op6_source_mixing", mixing.oracle_sql())
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents", "doc_id", "source", "text"))
