@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamlens.llm import html, licenses, mixing, pii, tokenfiles
+from streamlens.llm import html, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
 from streamlens.llm.tables import table
 from streamlens.sources.scratch import fresh_folder
 
@@ -81,3 +81,23 @@ def op3(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op6_source_mixing", mixing.oracle_sql())
 def op6(spark: SparkSession, folder: str) -> DataFrame:
     return mixing.report(table(spark, folder, "documents", "doc_id", "source", "text"))
+
+
+@registered("op2_nearest_neighbours")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    vectors = table(spark, folder, "embeddings", "vec_id", "embedding")
+    return neighbours.search(vectors, vectors.filter("vec_id % 50 = 0"), 5)
+
+
+@registered("op5_language_id")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text", "lang")
+    learned = langid.train(documents, ~langid.held_out())
+    found = langid.classify(documents.select("doc_id", "text"), learned)
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
+
+
+@registered("op4_substring_dedup")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    return substrings.remove_repeats(documents).drop("kept")
