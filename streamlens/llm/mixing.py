@@ -220,8 +220,9 @@ def _taken(sized: DataFrame) -> DataFrame:
         "rank",
         F.expr("least(begin + size, (rank + 1) * block) - greatest(begin, rank * block)").alias("words"),
     )
+    # Spark takes the schedule for one row per run; it grows with the input.
     took = (
-        pieces.join(schedule(sources), ["number", "rank"])
+        pieces.join(schedule(sources).hint("merge"), ["number", "rank"])
         .groupBy("__row")
         .agg(F.sum("words").alias("taken"))
     )
