@@ -8,7 +8,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from streamlens.llm import html, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
+from streamlens.llm import html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
 from streamlens.llm.tables import table
 from streamlens.sources.scratch import fresh_folder
 
@@ -101,3 +101,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text")
     return substrings.remove_repeats(documents).drop("kept")
+
+
+@registered("op8_jaccard_join")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.cluster(table(spark, folder, "documents", "doc_id", "text"))
