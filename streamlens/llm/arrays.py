@@ -89,6 +89,11 @@ class Words:
         return _BYTES.of(codes, self.starts, self.ends)
 
 
+def byte_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """One hash for each slice of bytes."""
+    return _BYTES.of(_BYTE_CODES[data], starts, ends)
+
+
 def split_words(texts: pa.Array) -> Words:
     """Maximal runs of anything but white space, row by row."""
     data, offsets = flat_bytes(texts)

@@ -16,6 +16,7 @@ Extra columns are ignored.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -31,16 +32,41 @@ from streamlens.llm import arrays
 from streamlens.llm.tables import parallelism
 
 SLICE_BYTES = 2 << 20
-CACHED_PIECES = 500_000
+# Pieces that a worker remembers, at about 24 bytes each; beyond, it starts anew.
+CACHED_PIECES = 2_000_000
+
+_LETTER = np.zeros(256, dtype=bool)
+_LETTER[65:91] = _LETTER[97:123] = True
+
+
+def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Where texts can be cut so that the ids of the pieces are those of the text.
+
+    The byte-level pre-tokenizer never joins anything but white space to the white
+    space behind it, nor a letter to a full stop or comma behind it.  Fewer cuts are
+    as right: none is made behind what may be white space beyond ASCII.
+    """
+    cut = np.zeros(len(data), dtype=bool)
+    if len(data) > 1:
+        space = (data == 0x20) | (data == 0x0A)
+        cut[1:] = space[1:] & (data[:-1] > 0x20)
+        wide = np.zeros(len(data), dtype=bool)  # ends a character that may be white space
+        wide[1:] = (data[:-1] == 0xC2) & ((data[1:] == 0x85) | (data[1:] == 0xA0))
+        wide[2:] |= (data[:-2] >= 0xE1) & (data[:-2] <= 0xE3)
+        cut[1:] &= ~wide[:-1]
+        cut[1:] |= ((data[1:] == 0x2E) | (data[1:] == 0x2C)) & _LETTER[data[:-1]]
+    cut[offsets[:-1][offsets[:-1] < len(data)]] = True
+    return np.flatnonzero(cut)
+
+
+# What may be white space beyond ASCII, as UTF-8.
+_WIDE_END = re.compile(rb"(?:\xC2[\x85\xA0]|[\xE1-\xE3][\x80-\xBF]{2})\Z")
 
 
 class PieceEncoder:
-    """Encodes whole texts; repeated pieces of texts are encoded once.
+    """Encodes whole texts; a piece that a worker has met before is looked up by its hash.
 
-    The pre-tokenizer of a byte-level vocabulary never joins a character to the
-    white space behind it, so a text can be cut before a space that follows
-    anything but white space, and the ids of the pieces are the ids of the text.
-    Texts where a piece is empty or ends in white space are encoded whole.
+    Pieces are known by 64-bit hashes of their bytes.
     """
 
     def __init__(self, path: str, dtype: str):
@@ -54,51 +80,81 @@ class PieceEncoder:
         for token, at in vocabulary.items():
             self._width[at] = len(token)  # one character of a byte-level token is one byte
         self._dtype = np.dtype(dtype)
-        self._cache: dict[str, bytes] = {}
-
-    def _whole(self, texts: list[str]) -> list[bytes]:
-        encoded = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, dtype=self._dtype).tobytes() for e in encoded]
-
-    def _learn(self, pieces: list[str]) -> None:
-        for at in range(0, len(pieces), 20_000):
-            part = pieces[at : at + 20_000]
-            text = " " + " ".join(part)
-            ids = np.array(
-                self._tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids
-            )
-            ends = np.cumsum([len(p.encode()) + 1 for p in part])
-            cuts = np.searchsorted(np.cumsum(self._width[ids]), ends, side="left") + 1
-            data = ids.astype(self._dtype).tobytes()
-            size = self._dtype.itemsize
-            first = 0
-            for piece, cut in zip(part, cuts.tolist()):
-                self._cache[piece] = data[first : cut * size]
-                first = cut * size
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """The ids of every text, as bytes."""
-        if len(self._cache) > CACHED_PIECES:
-            self._cache.clear()
-        split = [text.split(" ") for text in texts]
-        known = self._cache
-        missing: set[str] = set()
-        unsafe = set()
-        for at, pieces in enumerate(split):
-            new = {p for p in pieces[1:] if p not in known}
-            if any(not p or p[-1].isspace() for p in new) or pieces[0][-1:].isspace():
-                unsafe.add(at)
-            elif not pieces[0] and len(pieces) > 1:
-                unsafe.add(at)  # the text begins with a space
-            else:
-                missing |= new
-        self._learn(sorted(missing))
-        firsts = self._whole([split[at][0] if at not in unsafe else texts[at] for at in range(len(texts))])
-        find = known.__getitem__
-        return [
-            first if at in unsafe else first + b"".join(map(find, split[at][1:]))
-            for at, first in enumerate(firsts)
-        ]
+        self._forget()
+
+    def _forget(self) -> None:
+        self._hashes = np.empty(0, dtype=np.uint64)
+        self._first = np.empty(0, dtype=np.int64)
+        self._count = np.empty(0, dtype=np.int32)
+        self._ids = np.empty(0, dtype=self._dtype)
+
+    def _library(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[int]]:
+        """Ids of the pieces one after the other, how many each has, and the order they are in."""
+        # Pieces that start with a space or line end can stand behind each other.
+        beside, alone = [], []
+        for k, piece in enumerate(pieces):
+            ends_wide = piece[-1] <= 0x20 or piece[-1] >= 0x80 and _WIDE_END.search(piece)
+            (alone if ends_wide or piece[0] not in b" \n" else beside).append(k)
+        ids, counts = [], []
+        for at in range(0, len(beside), 20_000):
+            part = [pieces[k] for k in beside[at : at + 20_000]]
+            encoded = self._tokenizer.encode_batch_fast([b"".join(part).decode()], add_special_tokens=False)
+            found = np.array(encoded[0].ids, dtype=np.int64)
+            ends = np.cumsum(np.fromiter(map(len, part), dtype=np.int64, count=len(part)))
+            cuts = np.searchsorted(np.cumsum(self._width[found]), ends, side="left") + 1
+            ids.append(found)
+            counts.append(np.diff(cuts, prepend=0))
+        for one in self._tokenizer.encode_batch_fast(
+            [pieces[k].decode() for k in alone], add_special_tokens=False
+        ):
+            ids.append(np.array(one.ids, dtype=np.int64))
+            counts.append(np.array([len(one.ids)]))
+        return np.concatenate(ids).astype(self._dtype), np.concatenate(counts), beside + alone
+
+    def _learn(self, hashes: np.ndarray, pieces: list[bytes]) -> None:
+        ids, counts, order = self._library(pieces)
+        if len(self._hashes) + len(hashes) > CACHED_PIECES:
+            self._forget()
+        first, count = np.empty(len(order), np.int64), np.empty(len(order), np.int32)
+        first[order] = len(self._ids) + np.cumsum(counts) - counts
+        count[order] = counts
+        at = np.searchsorted(self._hashes, hashes)
+        self._hashes = np.insert(self._hashes, at, hashes)
+        self._first = np.insert(self._first, at, first)
+        self._count = np.insert(self._count, at, count)
+        self._ids = np.concatenate([self._ids, ids])
+
+    def _find(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self._hashes):
+            return np.zeros(len(hashes), dtype=np.int64), np.zeros(len(hashes), dtype=bool)
+        at = np.minimum(np.searchsorted(self._hashes, hashes), len(self._hashes) - 1)
+        return at, self._hashes[at] == hashes
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and how many each has."""
+        data, offsets = arrays.flat_bytes(texts)
+        starts = piece_starts(data, offsets)
+        if not len(starts):
+            return np.empty(0, dtype=self._dtype), np.zeros(len(texts), dtype=np.int64)
+        ends = np.append(starts[1:], len(data))
+        hashes, which = np.unique(arrays.byte_hashes(data, starts, ends), return_inverse=True)
+        at, known = self._find(hashes)
+        if not known.all():
+            sample = np.empty(len(hashes), dtype=np.int64)
+            sample[which[::-1]] = np.arange(len(which))[::-1]
+            new = np.flatnonzero(~known)
+            whole = data.tobytes()
+            before = len(self._hashes)
+            self._learn(hashes[new], [whole[starts[k] : ends[k]] for k in sample[new].tolist()])
+            if len(self._hashes) < before:  # it has started anew: what was known is met again
+                gone = np.flatnonzero(known)
+                self._learn(hashes[gone], [whole[starts[k] : ends[k]] for k in sample[gone].tolist()])
+            at, _ = self._find(hashes)
+        first, count = self._first[at][which], self._count[at][which].astype(np.int64)
+        ahead = np.cumsum(count)
+        ids = self._ids[np.arange(int(ahead[-1])) + np.repeat(first - (ahead - count), count)]
+        upto = np.append(0, ahead)[np.searchsorted(starts, offsets)]
+        return ids, np.diff(upto)
 
 
 _ENCODERS: dict[tuple[str, str], PieceEncoder] = {}
@@ -154,16 +210,15 @@ def write(documents: DataFrame, path: str, tokenizer: str, end_id: int) -> str:
         part = TaskContext.get().partitionId()
         files.create_dir(base, recursive=True)
         encoder = _encoder(tokenizer, dtype)
-        end = np.array([end_id], dtype=dtype).tobytes()
         lengths, ids, nulls = [], [], 0
         name = f"{base}/part-{part:05d}"
         draft = f"{name}.bin.{uuid.uuid4().hex}"
         with files.open_output_stream(draft) as out:
             for batch in arrays.sliced(batches, "text", SLICE_BYTES):
-                texts = batch.column("text").fill_null("").to_pylist()
-                for data in encoder.encode(texts):
-                    out.write(data + end)
-                    lengths.append((len(data) + len(end)) // len(end))
+                tokens, counts = encoder.encode(batch.column("text"))
+                # The end id goes behind the ids of every document.
+                out.write(np.insert(tokens, np.cumsum(counts), end_id).tobytes())
+                lengths.append(counts + 1)
                 keys = batch.column("doc_id")
                 nulls += keys.null_count
                 ids.append(keys.fill_null(0).to_numpy(zero_copy_only=False))
@@ -172,8 +227,9 @@ def write(documents: DataFrame, path: str, tokenizer: str, end_id: int) -> str:
             return
         files.move(draft, f"{name}.bin")
         _put(files, f"{name}.ids", np.concatenate(ids).astype("<i8").tobytes())
-        _put(files, f"{name}.len", np.array(lengths, dtype="<i8").tobytes())
-        row = {"part": part, "docs": len(lengths), "nulls": nulls, "tokens": int(sum(lengths))}
+        counted = np.concatenate(lengths).astype("<i8")
+        _put(files, f"{name}.len", counted.tobytes())
+        row = {"part": part, "docs": len(counted), "nulls": nulls, "tokens": int(counted.sum())}
         yield pa.RecordBatch.from_pylist([row], schema=_PART)
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
