@@ -11,7 +11,7 @@ context lies inside the window, wherever the windows stand.
 A window is filed under the longest such symbol (ties: the largest name; if there
 is none, under its own hash).  Neighbouring windows mostly share that symbol and
 travel together.  Only symbols that turn up twice are looked at further: their
-windows are compared by 64-bit hashes of all their words, so two windows count as
+windows are compared by 48-bit hashes of all their words, so two windows count as
 equal if the symbol (59 bits of name) and the window hash agree.
 
 Before anything is moved, a batch of documents settles the repeats within itself:
@@ -44,7 +44,7 @@ from streamlens.llm.tables import parallelism
 WINDOW = 20
 ROUNDS = 8
 SLICE_BYTES = 1 << 20
-BATCH_WORDS = 1_200_000
+BATCH_WORDS = 800_000
 _NAME_BITS = 59
 
 
@@ -73,6 +73,7 @@ def runs(words: np.ndarray, row: np.ndarray) -> Symbols:
     name = words[a]
     long = length > 1
     name[long] = mix(name[long] + length[long].astype(U64) * U64(0x9E3779B97F4A7C15))
+    a, b = a.astype(np.int32), b.astype(np.int32)
     return Symbols(name, a, b, a - 1, b + 1, row[a])
 
 
@@ -116,7 +117,7 @@ def pairs(old: Symbols, number: int) -> tuple[Symbols, np.ndarray]:
 
 def window_keys(words: np.ndarray, bounds: np.ndarray, size: int = WINDOW) -> np.ndarray:
     """For every word position, the key of the window that starts there; 0 if it has no symbol."""
-    row = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
+    row = np.repeat(np.arange(len(bounds) - 1, dtype=np.int32), np.diff(bounds))
     best = np.zeros(len(words), dtype=U64)
 
     def file(symbols: Symbols) -> None:
@@ -174,7 +175,7 @@ _FOUND = pa.schema(
     [("bucket", pa.int32())]
     + [(n, pa.binary()) for n in ("ids", "tags", "keys", "docs", "starts", "counts", "hashes")]
 )
-_SPANS = pa.schema([("rank", pa.int64()), ("tag", pa.int64()), ("spans", pa.binary())])
+_SPANS = pa.schema([("rank", pa.int64()), ("tag", pa.int32()), ("spans", pa.binary())])
 _LATE = -1  # in ``counts``: spans that are already known to come too late
 
 
@@ -244,12 +245,15 @@ class _Batch:
         docs, at = np.unique(row, return_inverse=True)
         values = {
             "ids": ids[docs].astype("<i8"),
-            "tags": tags[docs].astype("<i8"),
+            "tags": tags[docs].astype("<i4"),
             "keys": np.empty(0, "<u8") if keys is None else keys.astype("<u8"),
             "docs": at.astype("<u4"),
             "starts": start.astype("<u4"),
             "counts": count.astype("<i4" if keys is None else "<u1"),
-            "hashes": np.empty(0, "<u8") if hashes is None else hashes.astype("<u8"),
+            # The upper six bytes of each.
+            "hashes": np.empty(0, "u1")
+            if hashes is None
+            else hashes.astype("<u8").view("u1").reshape(-1, 8)[:, 2:],
         }
         columns = [pa.array([bucket], pa.int32())]
         columns += [pa.array([v.tobytes()], pa.binary()) for v in values.values()]
@@ -301,7 +305,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own = dict(zip(_FOUND.names[1:], cells))
             of = np.frombuffer(own["docs"], "<u4").astype(np.int64)
             at = np.frombuffer(own["starts"], "<u4").astype(np.int64)
-            own_ids, own_tags = np.frombuffer(own["ids"], "<i8"), np.frombuffer(own["tags"], "<i8")
+            own_ids, own_tags = np.frombuffer(own["ids"], "<i8"), np.frombuffer(own["tags"], "<i4")
             if not own["keys"]:
                 late = _LATE * np.frombuffer(own["counts"], "<i4").astype(np.int64)
                 yield from _spans_by_document(own_ids, own_tags, of, at, late)
@@ -312,7 +316,10 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             docs.append(of + known)
             starts.append(at)
             counts.append(np.frombuffer(own["counts"], "<u1").astype(np.int64))
-            hashes.append(np.frombuffer(own["hashes"], "<u8"))
+            six = np.frombuffer(own["hashes"], "u1").reshape(-1, 6)
+            whole = np.zeros((len(six), 8), dtype="u1")
+            whole[:, 2:] = six
+            hashes.append(whole.view("<u8").reshape(-1))
             known += len(own_ids)
     if not keys:
         return
@@ -376,7 +383,7 @@ def late_windows(documents: DataFrame) -> DataFrame:
     found = documents.select("rank", "tag", "text").mapInArrow(_file(buckets), kinds)
     return (
         found.repartition(buckets, "bucket")
-        .mapInArrow(_compare, "rank long, tag long, spans binary")
+        .mapInArrow(_compare, "rank long, tag int, spans binary")
         .groupBy("rank", "tag")
         .agg(F.collect_list("spans").alias("spans"))
     )
@@ -387,7 +394,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     ranked = documents.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("rank"),
-        F.xxhash64("text").alias("tag"),
+        F.hash("text").alias("tag"),
         "text",
     )
     late = late_windows(ranked).hint("shuffle_hash")
