@@ -195,6 +195,14 @@ def mix(documents: DataFrame) -> DataFrame:
     return rows.join(taken.drop("doc_id", "source", "size"), "__row").drop("__row")
 
 
+def repeat(documents: DataFrame) -> DataFrame:
+    """The mix itself: every document as often as it is taken, to the nearest whole."""
+    times = F.round(F.col("taken") / F.greatest("size", F.lit(1))).cast("int")
+    mixed = mix(documents).withColumn("__times", times).filter("__times > 0")
+    again = mixed.withColumn("__time", F.explode(F.sequence(F.lit(1), F.col("__times"))))
+    return again.select(*documents.columns)
+
+
 def _taken(sized: DataFrame) -> DataFrame:
     """``sized`` (with a row name ``__row``) with source_size, target and taken."""
     sources = kept(targets(sized), "mix-sources")

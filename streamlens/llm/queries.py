@@ -7,8 +7,9 @@ from collections.abc import Callable
 from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from streamlens.llm import html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
+from streamlens.llm import decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
 from streamlens.llm.tables import table
 from streamlens.sources.scratch import fresh_folder
 
@@ -106,3 +107,10 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @registered("op8_jaccard_join")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.cluster(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@registered("op7_decontamination")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "text")
+    found = decontaminate.find(documents, table(spark, folder, "benchmark", "item_id", "text"))
+    return found.select("doc_id", F.inline("leaks"))
