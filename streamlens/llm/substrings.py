@@ -44,7 +44,7 @@ from streamlens.llm.tables import parallelism
 WINDOW = 20
 ROUNDS = 8
 SLICE_BYTES = 1 << 20
-BATCH_WORDS = 800_000
+BATCH_WORDS = 400_000
 _NAME_BITS = 59
 
 
@@ -313,9 +313,9 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids.append(own_ids)
             tags.append(own_tags)
             keys.append(np.frombuffer(own["keys"], "<u8"))
-            docs.append(of + known)
-            starts.append(at)
-            counts.append(np.frombuffer(own["counts"], "<u1").astype(np.int64))
+            docs.append((of + known).astype(np.int32))
+            starts.append(at.astype(np.int32))
+            counts.append(np.frombuffer(own["counts"], "<u1").astype(np.int32))
             six = np.frombuffer(own["hashes"], "u1").reshape(-1, 6)
             whole = np.zeros((len(six), 8), dtype="u1")
             whole[:, 2:] = six
@@ -333,6 +333,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if not len(at):
         return
     every = np.concatenate(hashes)
+    hashes.clear()
     span = np.repeat(at, counts[at])
     within = _expand(np.zeros(len(at), dtype=np.int64), counts[at])
     start, doc = starts[span] + within, docs[span]
@@ -378,7 +379,8 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def late_windows(documents: DataFrame) -> DataFrame:
     """(rank, tag, spans): per document the starts of windows that came earlier already."""
-    buckets = parallelism(documents.sparkSession)
+    # What a task compares is held in memory at once, so it gets half a partition.
+    buckets = 2 * parallelism(documents.sparkSession)
     kinds = "bucket int, " + ", ".join(f"{n} binary" for n in _FOUND.names[1:])
     found = documents.select("rank", "tag", "text").mapInArrow(_file(buckets), kinds)
     return (
