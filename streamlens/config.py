@@ -54,6 +54,13 @@ class JobConfig:
     max_offsets_per_trigger: int | None = None
     broadcast_bytes: int = 32 * 1024 * 1024
 
+    # Per batch, off unless asked for: features divided by their deviation, a part held
+    # out of the fit, statistics and metrics written, tokens printed to the console.
+    scale: bool = False
+    holdout: float = 0.0
+    statistics: bool = False
+    preview_rows: int = 0
+
     def __post_init__(self) -> None:
         for name, value, allowed in (
             ("on_malformed", self.on_malformed, MALFORMED_POLICIES),
@@ -65,13 +72,15 @@ class JobConfig:
                 raise ValueError(f"{name} must be one of {allowed}, not {value!r}")
         if self.half_width <= 0:
             raise ValueError("half_width must be positive")
+        if not 0 <= self.holdout < 1:
+            raise ValueError("holdout must be a fraction below 1")
         if self.reg_param < 0:
             raise ValueError("reg_param must not be negative")
 
     @property
     def topic_list(self) -> list[str]:
-        """Topics without duplicates; names are not trimmed."""
-        return sorted(set(self.topics.split(",")))
+        """Topics without duplicates; names are not trimmed, empty ones at the end are none."""
+        return sorted(set(self.topics.rstrip(",").split(",")))
 
     @classmethod
     def from_args(cls, args: Sequence[str], **overrides) -> "JobConfig":

@@ -33,9 +33,10 @@ class FolderPublisher:
     """Keeps the records in a folder, for replays."""
 
     path: str
+    run_id: str = "run"
 
     def write(self, values: DataFrame, batch_id: int) -> None:
-        FolderSink(self.path, PUBLISHED_SCHEMA).write(values, batch_id)
+        FolderSink(self.path, PUBLISHED_SCHEMA, self.run_id).write(values, batch_id)
 
     def read(self, spark: SparkSession) -> DataFrame:
         return FolderSink(self.path, PUBLISHED_SCHEMA).read(spark)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -13,12 +14,13 @@ _CHECKPOINT_DIR = "spark.checkpoint.dir"
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors can reach, as the session or its context names it.
 
-    Only a local session that names none gets a temporary folder of its own.
+    Only a session that runs in one process on this machine and names none gets a
+    temporary folder of its own.
     """
     context = spark.sparkContext
     named = spark.conf.get(_CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not named:
-        if not context.master.startswith("local"):
+        if not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
             raise RuntimeError(f"set {_CHECKPOINT_DIR} to a folder every executor can reach")
         named = tempfile.mkdtemp(prefix="streamlens-")
     if context.getCheckpointDir() is None:

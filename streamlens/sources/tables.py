@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from streamlens.operators.lookup import GROUP_KEYS
+
 REVIEW_COLUMNS = ("reviewer_id", "restaurant_id", "rating")
 RESTAURANT_COLUMNS = ("id", "category", "lat", "lng")
 
@@ -17,7 +19,12 @@ def orc_table(spark: SparkSession, path: str, view: str | None = None) -> DataFr
 
 
 def catalog_table(spark: SparkSession, name: str) -> DataFrame:
-    """A table of the catalog, by its database-qualified name."""
+    """A table of the catalog, by its database-qualified name, as it is now.
+
+    A session keeps the list of a table's files; without the refresh it would not see
+    what others have added since it opened the table first.
+    """
+    spark.catalog.refreshTable(name)
     return spark.table(name)
 
 
@@ -26,15 +33,24 @@ def parquet_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-NEARBY_SQL = """
-SELECT reviews.reviewer_id, restaurants.category, restaurants.lat, restaurants.lng,
-       avg(reviews.rating) AS avg_rating
-FROM IDENTIFIER(:reviews) AS reviews
-JOIN IDENTIFIER(:restaurants) AS restaurants ON reviews.restaurant_id = restaurants.id
-WHERE reviews.rating > :min_rating
-  AND restaurants.lat BETWEEN :lat_low AND :lat_high
-  AND restaurants.lng BETWEEN :lng_low AND :lng_high
-GROUP BY reviews.reviewer_id, restaurants.lat, restaurants.lng, restaurants.category
+# One statement with the meaning of ``operators.lookup``: repeated restaurant records
+# weigh as often as they occur, null and NaN ratings count for nothing.
+NEARBY_SQL = f"""
+WITH near AS (
+  SELECT id AS restaurant_id, category, lat, lng, count(*) AS copies
+  FROM IDENTIFIER(:restaurants)
+  WHERE id IS NOT NULL AND lat >= :lat_low AND lat <= :lat_high
+    AND lng >= :lng_low AND lng <= :lng_high
+  GROUP BY ALL
+), rated AS (
+  SELECT restaurant_id, reviewer_id, sum(rating) AS total, count(*) AS times
+  FROM IDENTIFIER(:reviews)
+  WHERE rating > :min_rating AND NOT isnan(rating)
+  GROUP BY ALL
+)
+SELECT {", ".join(GROUP_KEYS)}, sum(total * copies) / sum(times * copies) AS avg_rating
+FROM rated JOIN near USING (restaurant_id)
+GROUP BY {", ".join(GROUP_KEYS)}
 """
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Callable
@@ -10,6 +11,7 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from streamlens.config import JobConfig
 from streamlens.functions import moments as mo
@@ -18,8 +20,9 @@ from streamlens.functions.text import is_finite, pair_text
 from streamlens.operators.lookup import nearby_rated
 from streamlens.operators.regression import ridge_columns, sgd_columns
 from streamlens.operators.samples import malformed, parse_tokens, well_formed
+from streamlens.operators.stats import split_part
 from streamlens.operators.tokens import TOKEN_POSITION, explode_tokens, message_values
-from streamlens.sinks.batches import FolderSink, TableSink
+from streamlens.sinks.batches import FolderSink, TableSink, run_name
 from streamlens.sinks.messages import FolderPublisher, KafkaPublisher
 from streamlens.sources.streams import kafka_source
 from streamlens.sources.tables import catalog_table, orc_table
@@ -38,6 +41,20 @@ PREDICTION_SCHEMA = flat_schema(**_POSITION, prediction="double", label="double"
 RESULT_SCHEMA = flat_schema(
     reviewer_id="string", category="string", lat="double", lng="double", avg_rating="double"
 )
+STATISTICS_SCHEMA = flat_schema(
+    n="long",
+    mean_label="double",
+    mean_feature="double",
+    deviation="double",
+    correlation="double",
+    mse="double",
+    rmse="double",
+    r2="double",
+    test_n="long",
+    test_mse="double",
+    test_rmse="double",
+    test_r2="double",
+)
 QUARANTINE_SCHEMA = flat_schema(**_POSITION, token="string", verdict="string")
 
 
@@ -54,6 +71,7 @@ class Outputs:
     results: FolderSink | TableSink
     quarantine: FolderSink
     published: FolderPublisher | KafkaPublisher
+    statistics: FolderSink | None = None
 
     @classmethod
     def in_folder(
@@ -61,13 +79,16 @@ class Outputs:
         base: str,
         results: TableSink | None = None,
         published: KafkaPublisher | None = None,
+        run_id: str = "run",
     ) -> "Outputs":
+        """Folders below ``base``; ``run_id`` tells runs with checkpoints of their own apart."""
         return cls(
-            models=FolderSink(f"{base}/models", MODEL_SCHEMA),
-            predictions=FolderSink(f"{base}/predictions", PREDICTION_SCHEMA),
-            results=results or FolderSink(f"{base}/results", RESULT_SCHEMA),
-            quarantine=FolderSink(f"{base}/quarantine", QUARANTINE_SCHEMA),
-            published=published or FolderPublisher(f"{base}/published"),
+            models=FolderSink(f"{base}/models", MODEL_SCHEMA, run_id),
+            predictions=FolderSink(f"{base}/predictions", PREDICTION_SCHEMA, run_id),
+            results=results or FolderSink(f"{base}/results", RESULT_SCHEMA, run_id),
+            quarantine=FolderSink(f"{base}/quarantine", QUARANTINE_SCHEMA, run_id),
+            published=published or FolderPublisher(f"{base}/published", run_id),
+            statistics=FolderSink(f"{base}/statistics", STATISTICS_SCHEMA, run_id),
         )
 
 
@@ -77,32 +98,54 @@ def parsed_stream(messages: DataFrame) -> DataFrame:
     return parse_tokens(tokens.select(*TOKEN_POSITION, "token"))
 
 
+_MOMENTS = ("n", "mx", "my", "sxx", "syy", "sxy")
+
+
 def batch_report(parsed: DataFrame, cfg: JobConfig) -> Row:
-    """All the driver needs of a batch, as one row from one pass."""
+    """All the driver needs of a batch, as one row from one pass.
+
+    The fit is algebra over the moments of the samples that are not held out, and so is
+    scaling: ``deviation`` is what features are divided by (1 unless they are scaled).
+    """
     usable = (
         (F.col("verdict") == "ok") & is_finite(F.col("label")) & is_finite(F.col("feature"))
     )
-
-    def masked(column: Column) -> Column:
-        return F.when(usable, column)
-
+    part = F.lit("train")
+    if cfg.holdout:
+        part = split_part(F.concat_ws("/", *TOKEN_POSITION), 1 - cfg.holdout)
     pairs = parsed.select(
-        *TOKEN_POSITION,
-        "verdict",
-        masked(F.col("label")).alias("label"),
-        masked(F.col("feature")).alias("feature"),
-        usable.alias("usable"),
+        *TOKEN_POSITION, "verdict", "label", "feature", F.when(usable, part).alias("part")
     )
-    _, *moments = mo.moment_aggregates(F.col("feature"), F.col("label"))
+
+    def moments(side: str, name: str) -> list[Column]:
+        label, feature = (F.when(F.col("part") == side, F.col(c)) for c in ("label", "feature"))
+        _, *found = mo.moment_aggregates(feature, label)
+        counted = [F.count_if(F.col("part") == side), *found]
+        return [c.alias(f"{name}{m}") for c, m in zip(counted, _MOMENTS)]
+
     found = pairs.agg(
         F.count(F.lit(1)).alias("tokens"),
         F.count_if(F.col("verdict") != "ok").alias("malformed"),
-        F.count_if("usable").alias("n"),
-        *moments,
+        *moments("train", ""),
+        *(moments("test", "test_") if cfg.holdout else ()),
         F.min_by(
-            F.struct("label", "feature"), F.when(F.col("usable"), F.struct(*TOKEN_POSITION))
+            F.struct("label", "feature"),
+            F.when(F.col("part").isNotNull(), F.struct(*TOKEN_POSITION)),
         ).alias("first"),
     )
+    deviation = F.lit(1.0)
+    if cfg.scale:
+        # A constant feature becomes 0, as if divided by infinity.
+        spread = F.sqrt(F.col("sxx") * F.col("n") / F.greatest(F.col("n") - 1, F.lit(1)))
+        deviation = F.when(spread > 0, spread).otherwise(float("inf"))
+    found = found.withColumn("raw", F.struct(*_MOMENTS)).withColumn("deviation", deviation)
+    found = found.withColumns(
+        {
+            "mx": F.col("mx") / F.col("deviation"),
+            "sxx": F.col("sxx") / F.col("deviation") / F.col("deviation"),
+            "sxy": F.col("sxy") / F.col("deviation"),
+        }
+    )
     if cfg.solver == "sgd":
         fitted = sgd_columns(
             found,
@@ -115,10 +158,41 @@ def batch_report(parsed: DataFrame, cfg: JobConfig) -> Row:
         )
     else:
         fitted = ridge_columns(found, cfg.reg_param)
-    prediction = F.col("weight") * F.col("first.feature") + F.col("intercept")
+    prediction = (
+        F.col("weight") * (F.col("first.feature") / F.col("deviation")) + F.col("intercept")
+    )
     return fitted.withColumn("first_prediction", prediction).first()
 
 
+def _errors(weight: float, intercept: float, scale: float, m: dict, name: str) -> dict:
+    """``mse``, ``rmse`` and ``r2`` of the line on samples with the moments ``m``."""
+    if not m["n"]:
+        return {f"{name}mse": None, f"{name}rmse": None, f"{name}r2": None}
+    slope = weight / scale
+    bias = slope * m["mx"] + intercept - m["my"]
+    mse = max(m["syy"] + slope * slope * m["sxx"] - 2 * slope * m["sxy"] + bias * bias, 0.0)
+    r2 = 1 - mse / m["syy"] if m["syy"] > 0 else None
+    return {f"{name}mse": mse, f"{name}rmse": math.sqrt(mse), f"{name}r2": r2}
+
+
+def batch_statistics(report: Row) -> dict:
+    """A row of ``STATISTICS_SCHEMA``: means, correlation, and the errors of the fitted line."""
+    raw = report["raw"].asDict()
+    spread = math.sqrt(raw["sxx"] * raw["syy"])
+    test = {m: report[f"test_{m}"] for m in _MOMENTS} if "test_n" in report else {"n": 0}
+    line = (report["weight"], report["intercept"], report["deviation"])
+    return {
+        "n": raw["n"],
+        "mean_label": raw["my"],
+        "mean_feature": raw["mx"],
+        "deviation": report["deviation"],
+        "correlation": raw["sxy"] / spread if spread > 0 else math.nan,
+        **_errors(*line, raw, ""),
+        "test_n": test["n"],
+        **_errors(*line, test, "test_"),
+    }
+
+
 @dataclass(frozen=True)
 class BatchJob:
     """What happens to one micro-batch of parsed tokens.
@@ -162,7 +236,8 @@ class BatchJob:
         one_row = parsed.sparkSession.range(0, 1, 1, 1)
 
         def write_predictions() -> None:
-            line = F.lit(report["weight"]) * F.col("feature") + F.lit(report["intercept"])
+            feature = F.col("feature") / F.lit(report["deviation"])
+            line = F.lit(report["weight"]) * feature + F.lit(report["intercept"])
             out.predictions.write(well_formed(parsed).withColumn("prediction", line), batch_id)
 
         def write_results() -> None:
@@ -178,18 +253,25 @@ class BatchJob:
             out.results.write(found, batch_id)
 
         def write_model() -> None:
-            model = [
-                F.lit(report[field.name]).cast(field.dataType).alias(field.name)
-                for field in MODEL_SCHEMA
-            ]
-            out.models.write(one_row.select(*model), batch_id)
+            out.models.write(one_row.select(*_literals(report.asDict(), MODEL_SCHEMA)), batch_id)
 
-        _together(parsed.sparkSession, write_predictions, write_results, write_model)
+        def write_statistics() -> None:
+            row = _literals(batch_statistics(report), STATISTICS_SCHEMA)
+            out.statistics.write(one_row.select(*row), batch_id)
+
+        writes = [write_predictions, write_results, write_model]
+        if cfg.statistics and out.statistics is not None:
+            writes.append(write_statistics)
+        _together(parsed.sparkSession, *writes)
         # Last, so that nothing is announced of a batch whose tables failed.
         pair = pair_text(F.lit(centre), F.lit(report["first"]["label"]))
         out.published.write(one_row.select(pair.alias("value")), batch_id)
 
 
+def _literals(values: dict, schema: StructType) -> list[Column]:
+    return [F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in schema]
+
+
 def _together(spark: SparkSession, *writes: Callable[[], None]) -> None:
     """Run independent writes at once; the first failure is raised after all have ended."""
     with ThreadPoolExecutor(len(writes)) as pool:
@@ -246,10 +328,24 @@ def stored_tables(
 
 def run_kafka_job(spark: SparkSession, cfg: JobConfig, base: str) -> StreamingQuery:
     """The whole job between Kafka topics and stored tables."""
+    return run_job(spark, cfg, base, kafka_source(spark, cfg), KafkaPublisher(cfg))
+
+
+def run_job(
+    spark: SparkSession,
+    cfg: JobConfig,
+    base: str,
+    messages: DataFrame,
+    published: KafkaPublisher | None = None,
+    available_now: bool = False,
+) -> StreamingQuery:
+    """The job over any stream of messages, with checkpoint and outputs below ``base``."""
+    checkpoint = f"{base}/checkpoint"
+    run_id = run_name(spark, checkpoint)
     outputs = Outputs.in_folder(
-        f"{base}/output",
-        results=TableSink(cfg.results_table, cfg.semantics),
-        published=KafkaPublisher(cfg),
+        f"{base}/output", TableSink(cfg.results_table, cfg.semantics, run_id), published, run_id
     )
+    if cfg.preview_rows:
+        start_preview(messages, cfg.batch_interval, cfg.preview_rows)
     job = BatchJob(cfg, *stored_tables(spark, cfg), outputs)
-    return start_job(kafka_source(spark, cfg), job, f"{base}/checkpoint")
+    return start_job(messages, job, checkpoint, available_now)

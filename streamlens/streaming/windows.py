@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from streamlens.operators.regression import MODEL_COLUMNS, ridge_fit
-from streamlens.sinks.batches import FolderSink
+from streamlens.sinks.batches import RUN_KEYS, FolderSink
 
 
 def windowed_fit(
@@ -49,7 +49,7 @@ def start_windowed_fit(
 
 def latest(batches: DataFrame, keys: Sequence[str]) -> DataFrame:
     """The last written version of each row of an update stream."""
-    values = [c for c in batches.columns if c not in (*keys, "batch_id")]
+    values = [c for c in batches.columns if c not in (*keys, *RUN_KEYS)]
     kept = batches.groupBy(*keys).agg(
         F.max_by(F.struct(*values), "batch_id").alias("__row")
     )

@@ -3,7 +3,7 @@ import pytest
 from streamlens.__main__ import main
 from streamlens.config import JobConfig
 from streamlens.functions.schemas import flat_schema
-from streamlens.sinks.batches import FolderSink, TableSink
+from streamlens.sinks.batches import FolderSink, TableSink, run_name
 from streamlens.sinks.messages import FolderPublisher, KafkaPublisher, kafka_write_options
 from streamlens.sources.scratch import fresh_folder, settle, shared_folder
 from streamlens.sources.streams import kafka_read_options, kafka_source
@@ -60,7 +60,52 @@ def test_table_append_adds_rows_again(spark):
 def test_published_records_are_kept_per_batch(spark, tmp_path):
     publisher = FolderPublisher(str(tmp_path / "out"))
     publisher.write(spark.createDataFrame([("(1.0,2.0)",)], "value string"), 4)
-    assert [tuple(r) for r in publisher.read(spark).collect()] == [("(1.0,2.0)", 4)]
+    assert [tuple(r) for r in publisher.read(spark).collect()] == [("(1.0,2.0)", "run", 4)]
+
+
+def test_runs_do_not_replace_each_other(spark, tmp_path):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks")
+    for make in (
+        lambda run: FolderSink(str(tmp_path / "out"), ROWS, run),
+        lambda run: TableSink("sinks.two_runs", run_id=run),
+    ):
+        make("a").write(frame(spark, (1, "a")), 0)
+        make("b").write(frame(spark, (2, "b")), 0)
+        make("b").write(frame(spark, (3, "c")), 0)
+        found = sorted((r.run_id, r.batch_id, r.k) for r in make("a").read(spark).collect())
+        assert found == [("a", 0, 1), ("b", 0, 3)]
+
+
+def test_a_run_has_one_name_as_long_as_its_checkpoint(spark, tmp_path):
+    first = run_name(spark, str(tmp_path / "one"))
+    assert run_name(spark, str(tmp_path / "one")) == first
+    assert run_name(spark, str(tmp_path / "two")) != first
+
+
+@pytest.mark.parametrize("semantics", ["replace_batch", "append"])
+def test_a_table_that_is_there_unpartitioned_is_added_to(spark, semantics):
+    spark.sql("CREATE DATABASE IF NOT EXISTS sinks")
+    name = f"sinks.plain_{semantics}"
+    spark.sql(f"CREATE TABLE {name} (v STRING, k BIGINT) USING parquet")
+    sink = TableSink(name, semantics, "a")
+    sink.write(frame(spark, (1, "a")), 0)
+    sink.write(frame(spark, (2, "b")), 1)
+    assert sorted(tuple(r) for r in sink.read(spark).collect()) == [("a", 1), ("b", 2)]
+
+
+def test_a_cluster_needs_a_folder_that_all_executors_see(spark):
+    class Context:
+        master = "local-cluster[2,1,1024]"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Conf:
+        get = staticmethod(lambda *_: None)
+
+    class Session:
+        sparkContext, conf = Context, Conf
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_folder(Session)
 
 
 def test_orc_folder_and_view(spark, tmp_path):

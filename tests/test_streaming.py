@@ -4,19 +4,26 @@ import pytest
 from pyspark.sql import functions as F
 
 from streamlens.config import JobConfig
-from streamlens.operators import lookup, regression
+from streamlens.operators import lookup, regression, stats
 from streamlens.operators.samples import parse_samples
-from streamlens.operators.tokens import count_tokens, explode_tokens, message_values
-from streamlens.sinks.batches import FolderSink, TableSink
+from streamlens.operators.tokens import (
+    TOKEN_POSITION,
+    count_tokens,
+    explode_tokens,
+    message_values,
+)
+from streamlens.sinks.batches import RUN_KEYS, FolderSink, TableSink
 from streamlens.sources.streams import MESSAGE_SCHEMA, replay_source
+from streamlens.sources.tables import catalog_table
 from streamlens.streaming import windows
 from streamlens.streaming.job import (
+    batch_report,
     BatchJob,
     MalformedBatch,
     Outputs,
-    batch_report,
     parsed_stream,
     start_job,
+    start_preview,
     stored_tables,
 )
 
@@ -98,7 +105,7 @@ def test_stream_equals_batch(spark, replay):
         )
         found = job.outputs.results.read(spark).filter(F.col("batch_id") == batch)
         assert sorted(tuple(r) for r in near.collect()) == sorted(
-            tuple(r) for r in found.drop("batch_id").collect()
+            tuple(r) for r in found.drop(*RUN_KEYS).collect()
         )
         (published,) = job.outputs.published.read(spark).filter(F.col("batch_id") == batch).collect()
         prediction, label = published.value.strip("()").split(",")
@@ -156,7 +163,7 @@ def test_malformed_tokens_are_set_aside(replay, tmp_path, policy):
     job = replay(on_malformed=policy)
     job.arrive(BAD_BATCH)
     job.run()
-    ((n, *_, tokens, malformed, _),) = job.rows("models")
+    ((n, *_, tokens, malformed, _, _),) = job.rows("models")
     assert (n, tokens, malformed) == (1, 4, 3)
     if policy == "quarantine":
         assert [(r[3], r[4], r[5]) for r in job.rows("quarantine")] == [
@@ -184,10 +191,62 @@ def test_results_in_a_catalog_table(spark, replay):
     job.arrive(BATCHES[1])
     job.run()
     table = spark.table("restaurants.results")
-    assert table.columns == [*lookup.RESULT_COLUMNS, "batch_id"]
+    assert table.columns == [*lookup.RESULT_COLUMNS, *RUN_KEYS]
     assert table.filter("batch_id = 0").count() == 5
 
 
+def test_statistics_holdout_and_scaling(spark, replay):
+    lines = [f"{2.0 * x + (x % 7) / 10 + 1},{x}" for x in range(200)]
+    job = replay(statistics=True, holdout=0.25, scale=True)
+    job.arrive(lines)
+    job.run()
+    row = job.outputs.statistics.read(spark).first()
+    every = samples_of(spark, lines).withColumn("topic", F.lit("t"))
+    key = F.concat_ws("/", *TOKEN_POSITION)
+    parts = every.withColumn("part", stats.split_part(key, 0.75))
+    train = parts.filter("part = 'train'")
+    deviation = train.agg(F.stddev_samp("feature")).first()[0]
+    assert (row.n, row.test_n) == (train.count(), 200 - train.count())
+    assert row.deviation == pytest.approx(deviation)
+    scaled = parts.withColumn("feature", F.col("feature") / F.lit(deviation))
+    model = regression.ridge_fit(scaled.filter("part = 'train'"), job.cfg.reg_param)
+    measured = stats.regression_metrics(regression.predict(scaled, model), ["part"]).collect()
+    for want in measured:
+        name = "" if want.part == "train" else "test_"
+        got = tuple(row[f"{name}{m}"] for m in ("mse", "rmse", "r2"))
+        assert got == pytest.approx((want.mse, want.rmse, want.r2), rel=1e-6)
+    (corr,) = stats.correlation_matrix(train).filter("i = 0 and j = 1").collect()
+    assert row.correlation == pytest.approx(corr.corr)
+    means = train.agg(F.avg("label"), F.avg("feature")).first()
+    assert (row.mean_label, row.mean_feature) == pytest.approx(tuple(means))
+    predicted = {r.offset: r.prediction for r in job.outputs.predictions.read(spark).collect()}
+    want = {r.offset: r.prediction for r in regression.predict(scaled, model).collect()}
+    assert predicted == pytest.approx(want)
+
+
+def test_tokens_can_be_previewed(replay):
+    job = replay()
+    job.arrive(BATCHES[0])
+    query = start_preview(replay_source(job.spark, f"{job.base}/messages"), "1 second", 3)
+    query.processAllAvailable()
+    progress = query.lastProgress
+    query.stop()
+    assert progress["numInputRows"] == len(BATCHES[0])
+    assert "Console" in progress["sink"]["description"]
+
+
+def test_rows_that_another_application_adds_are_seen(spark, tmp_path):
+    """The other application writes files of the table without this session's knowledge."""
+    spark.sql("CREATE DATABASE IF NOT EXISTS shared")
+    spark.range(3).write.mode("overwrite").format("orc").saveAsTable("shared.reviews")
+    assert catalog_table(spark, "shared.reviews").count() == 3
+    described = spark.sql("DESCRIBE EXTENDED shared.reviews").collect()
+    (path,) = (r.data_type for r in described if r.col_name == "Location")
+    other = spark.newSession()
+    other.range(2).write.mode("append").orc(path)
+    assert catalog_table(spark, "shared.reviews").count() == 5
+
+
 def test_sgd_solver(spark, replay):
     job = replay(solver="sgd", step_size=0.1)
     job.arrive(BATCHES[0])
