@@ -67,17 +67,18 @@ def objective(m: Moments, weight: Column, intercept: Column, reg_param: float) -
     return (spread + bias * bias) / 2 + penalty
 
 
-def objective_at_zero(m: Moments) -> Column:
-    return (m.syy + m.my * m.my) / 2
+def sgd_start(init_weight: float, intercept: bool) -> tuple[float, float]:
+    """Where the descent starts: with an intercept, that starts at 1."""
+    return float(init_weight), 1.0 if intercept else 0.0
 
 
 def sgd_line(
     m: Moments,
+    start: tuple[float, float],
     *,
     num_iterations: int,
     step_size: float,
     convergence_tol: float,
-    init_weight: float,
     reg_param: float,
     intercept: bool,
 ) -> Column:
@@ -85,15 +86,19 @@ def sgd_line(
 
     The gradient of the squared error depends on the rows only through their
     moments, so the iterations run on one row per group and never touch the
-    data again.  The step at iteration ``t`` is ``step_size / sqrt(t)``; with an
-    intercept its start value is 1.  Returns ``struct(w, b, iterations, done)``.
+    data again.  The step at iteration ``t`` is ``step_size / sqrt(t)``.  Returns
+    ``struct(w, b, iterations, done, losses)`` with the loss before every iteration.
     """
     mxx = m.sxx + m.mx * m.mx
     mxy = m.sxy + m.mx * m.my
 
-    def state(w: Column, b: Column, iterations: Column, done: Column) -> Column:
+    def state(w: Column, b: Column, iterations: Column, done: Column, losses: Column) -> Column:
         return F.struct(
-            w.alias("w"), b.alias("b"), iterations.alias("iterations"), done.alias("done")
+            w.alias("w"),
+            b.alias("b"),
+            iterations.alias("iterations"),
+            done.alias("done"),
+            losses.alias("losses"),
         )
 
     def stepped(acc: Column, t: Column) -> Column:
@@ -105,15 +110,12 @@ def sgd_line(
         moved = F.sqrt((new_w - w) * (new_w - w) + (new_b - b) * (new_b - b))
         size = F.sqrt(new_w * new_w + new_b * new_b)
         done = (t > 1) & (moved < F.greatest(size, F.lit(1.0)) * float(convergence_tol))
-        return state(new_w, new_b, t, done)
+        losses = F.array_append(acc["losses"], objective(m, w, b, reg_param))
+        return state(new_w, new_b, t, done, losses)
 
-    start = state(
-        F.lit(float(init_weight)),
-        F.lit(1.0 if intercept else 0.0),
-        F.lit(0),
-        F.lit(False),
-    )
+    none = F.array().cast("array<double>")
+    begin = state(F.lit(start[0]), F.lit(start[1]), F.lit(0), F.lit(False), none)
     steps = F.sequence(F.lit(1), F.lit(int(num_iterations)))
     return F.aggregate(
-        steps, start, lambda acc, t: F.when(acc["done"], acc).otherwise(stepped(acc, t))
+        steps, begin, lambda acc, t: F.when(acc["done"], acc).otherwise(stepped(acc, t))
     )

@@ -12,16 +12,17 @@ from streamlens.operators.joins import (
     BROADCAST_BYTES,
     BROADCAST_ROWS,
     aligned,
-    fits_broadcast,
     hot_keys,
     join_settled,
+    rows_and_bytes,
     spread_join,
 )
 from streamlens.sources.scratch import settle
 
 GROUP_KEYS = ("reviewer_id", "category", "lat", "lng")
 RESULT_COLUMNS = (*GROUP_KEYS, "avg_rating")
-BINS_PER_BAND = 3
+# Up to so many restaurants, their ids are a predicate on the scan of the reviews.
+SCANNED_IDS = 1000
 
 
 def search_band(prediction: Column, half_width: float) -> tuple[Column, Column]:
@@ -67,35 +68,34 @@ def rated_matches(
     that sum to ``total``.  ``restaurants`` may be weighted already.
 
     * If the restaurants are proven small they are broadcast and the reviews
-      stay where they are.
-    * Otherwise both sides are shuffled on the id and hot ids are spread, see
-      ``spread_join``; a hot pair of restaurant and reviewer is folded first.
+      stay where they are; of very few restaurants the ids reach the scan.
+    * Otherwise the reviews are folded to sums per restaurant and reviewer, which
+      spreads a hot restaurant over its reviewers and reads them once; the sums are
+      settled and shuffled on the id, and hot ids are spread, see ``spread_join``.
     """
     weighted = "copies" in restaurants.columns
     if not weighted:
         restaurants = restaurants.select("id", "category", "lat", "lng")
-    small = fits_broadcast(restaurants, broadcast_bytes)
+    rows, size = rows_and_bytes(restaurants)
+    small = size <= broadcast_bytes
     records = restaurants if weighted else weighted_restaurants(restaurants)
-    rated = (
-        rated_above(reviews, min_rating)
-        .filter(F.col("restaurant_id").isNotNull())
-        .select("reviewer_id", "restaurant_id", "rating")
-    )
+    rated = rated_above(reviews, min_rating).filter(F.col("restaurant_id").isNotNull())
+    if rows <= SCANNED_IDS:
+        ids = [row["id"] for row in records.select("id").distinct().orderBy("id").collect()]
+        rated = rated.filter(F.col("restaurant_id").isin(ids))
+    rated = rated.select("reviewer_id", "restaurant_id", "rating")
     on = ["restaurant_id"]
     records = aligned(records.withColumnRenamed("id", "restaurant_id"), rated, on)
     if small:
         matched = rated.join(F.broadcast(records), on).withColumn("times", F.lit(1))
     else:
+        folded, _ = settle(
+            rated.groupBy("restaurant_id", "reviewer_id").agg(
+                F.sum("rating").alias("rating"), F.count(F.lit(1)).alias("times")
+            )
+        )
         matched = spread_join(
-            rated.withColumn("times", F.lit(1).cast("long")),
-            records,
-            on,
-            ["reviewer_id"],
-            hot_keys(rated, on),
-            fold=lambda df: df.groupBy("restaurant_id", "reviewer_id").agg(
-                F.sum("rating").alias("rating"), F.sum("times").alias("times")
-            ),
-            broadcast_bytes=broadcast_bytes,
+            folded, records, on, ["reviewer_id"], hot_keys(folded, on), broadcast_bytes=broadcast_bytes
         )
     return matched.select(
         *GROUP_KEYS,
@@ -159,8 +159,9 @@ def nearby_rated_per_batch(
     """The lookup for many bands ``(batch_id, lat_low, lat_high)`` at once.
 
     A band is never compared with every restaurant: latitudes are cut into
-    bins as wide as a band, so a band touches ``BINS_PER_BAND`` bins at most and
-    the comparison becomes an equality of bins, checked exactly afterwards.
+    bins of twice ``half_width``, so a band of that width touches three at most and the
+    comparison becomes an equality of bins, checked exactly afterwards.  Wider bands
+    touch more; the bins are counted before they are broadcast.
 
     Averages do not depend on the band, so reviews are joined and averaged
     once, for the restaurants some band can reach.  Only finished groups are
@@ -169,14 +170,15 @@ def nearby_rated_per_batch(
     """
     width = 2 * half_width
     usable = bands.filter(is_finite(F.col("lat_low")) & is_finite(F.col("lat_high")))
-    bands, band_rows = settle(usable.select("batch_id", "lat_low", "lat_high"))
-    binned = bands.withColumn("bin", F.explode(_bins(F.col("lat_low"), F.col("lat_high"), width)))
-    binned_rows = BINS_PER_BAND * band_rows
+    bands = usable.select("batch_id", "lat_low", "lat_high")
+    binned, binned_rows = settle(
+        bands.withColumn("bin", F.explode(_bins(F.col("lat_low"), F.col("lat_high"), width)))
+    )
 
     def with_bin(df: DataFrame) -> DataFrame:
         return df.withColumn("bin", F.floor(F.col("lat") / width))
 
-    edges = bands.agg(F.min("lat_low").alias("low"), F.max("lat_high").alias("high")).first()
+    edges = binned.agg(F.min("lat_low").alias("low"), F.max("lat_high").alias("high")).first()
     if edges["low"] is None:
         reachable = restaurants.limit(0)
     else:
@@ -188,6 +190,8 @@ def nearby_rated_per_batch(
             ("id", "lat", "lng"),
             known_rows=binned_rows,
         ).drop("bin")
+        # Counted, joined and looked through for hot keys: computed once.
+        reachable, _ = settle(reachable)
     groups = rated_groups(reviews, reachable, min_rating, broadcast_bytes)
     if binned_rows > BROADCAST_ROWS:
         # The shuffle join looks at its input twice: for hot bins and to join.
@@ -204,13 +208,34 @@ def nearby_rated_per_batch(
     return found if limit_per_batch is None else first_per_batch(found, limit_per_batch)
 
 
+# Up to this limit Spark itself cuts every partition before it ranks a batch.
+_CUT_BY_SPARK = 999
+
+
 def first_per_batch(
     found: DataFrame, limit: int, keys: Sequence[str] = GROUP_KEYS
 ) -> DataFrame:
     """The first ``limit`` rows of each batch in key order.
 
-    Spark cuts every partition down to ``limit`` rows per batch before the
-    shuffle, so a hot batch does not gather in one task.
+    For a small limit Spark cuts every partition down to ``limit`` rows per batch
+    before the shuffle.  For a larger one the rows are dealt to ranges of batch and
+    keys, ranked inside their range, and a range starts where those before it ended.
+    No batch gathers in one task either way.
     """
-    rank = F.row_number().over(Window.partitionBy("batch_id").orderBy(*keys))
-    return found.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__rank")
+    if limit <= _CUT_BY_SPARK:
+        rank = F.row_number().over(Window.partitionBy("batch_id").orderBy(*keys))
+        return found.withColumn("__rank", rank).filter(F.col("__rank") <= limit).drop("__rank")
+    dealt = found.repartitionByRange("batch_id", *keys).withColumn("__range", F.spark_partition_id())
+    dealt, _ = settle(dealt)
+    counts = dealt.groupBy("batch_id", "__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.partitionBy("batch_id").orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = counts.select(
+        "batch_id", "__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start")
+    ).filter(F.col("__start") < limit)
+    inside = F.row_number().over(Window.partitionBy("batch_id", "__range").orderBy(*keys))
+    return (
+        dealt.join(starts, ["batch_id", "__range"])
+        .withColumn("__rank", inside + F.col("__start"))
+        .filter(F.col("__rank") <= limit)
+        .drop("__rank", "__range", "__start")
+    )

@@ -24,12 +24,16 @@ def _grouped_moments(
     return found if by else found.filter(F.col("n") > 0)
 
 
-def _with_losses(fitted: DataFrame, reg_param: float) -> DataFrame:
+def _with_losses(
+    fitted: DataFrame, reg_param: float, start: tuple[float, float] = (0.0, 0.0)
+) -> DataFrame:
+    """Losses at ``start`` and at the fitted line."""
     m = mo.Moments.of_row()
+    initial = mo.objective(m, F.lit(start[0]), F.lit(start[1]), reg_param)
     final = mo.objective(m, F.col("weight"), F.col("intercept"), reg_param)
-    return fitted.withColumns(
-        {"initial_loss": mo.objective_at_zero(m), "final_loss": final}
-    ).drop(*_MOMENT_COLUMNS)
+    return fitted.withColumns({"initial_loss": initial, "final_loss": final}).drop(
+        *_MOMENT_COLUMNS
+    )
 
 
 def ridge_columns(found: DataFrame, reg_param: float) -> DataFrame:
@@ -39,9 +43,17 @@ def ridge_columns(found: DataFrame, reg_param: float) -> DataFrame:
     return _with_losses(fitted, reg_param)
 
 
-def sgd_columns(found: DataFrame, *, reg_param: float, **options) -> DataFrame:
-    """Replace the moment columns of ``found`` by the descended line and its losses."""
-    line = mo.sgd_line(mo.Moments.of_row(), reg_param=reg_param, **options)
+def sgd_columns(
+    found: DataFrame, *, reg_param: float, init_weight: float, intercept: bool, **options
+) -> DataFrame:
+    """Replace the moment columns of ``found`` by the descended line and its losses.
+
+    ``losses`` has the loss before every iteration.
+    """
+    start = mo.sgd_start(init_weight, intercept)
+    line = mo.sgd_line(
+        mo.Moments.of_row(), start, reg_param=reg_param, intercept=intercept, **options
+    )
     fitted = (
         found.withColumn("__line", line)
         .withColumns(
@@ -49,11 +61,12 @@ def sgd_columns(found: DataFrame, *, reg_param: float, **options) -> DataFrame:
                 "weight": F.col("__line.w"),
                 "intercept": F.col("__line.b"),
                 "iterations": F.col("__line.iterations"),
+                "losses": F.col("__line.losses"),
             }
         )
         .drop("__line")
     )
-    return _with_losses(fitted, reg_param)
+    return _with_losses(fitted, reg_param, start)
 
 
 def ridge_fit(
@@ -107,14 +120,22 @@ def predict(
 ) -> DataFrame:
     """``samples`` with ``prediction``; the model comes from the same ``by``.
 
-    Without ``by`` the model is one row and is broadcast.  With it the models
-    are settled and counted, see ``join_settled``.
+    Without ``by`` the model must be one row; it is folded to one, which is broadcast,
+    and a second row is an error.  With it the models are settled and counted, see
+    ``join_settled``.
     """
     lines = model.select(*by, "weight", "intercept")
     if by:
         joined = join_settled(samples, lines, by, salt_by)
     else:
-        joined = samples.crossJoin(F.broadcast(lines))
+        one = lines.agg(
+            F.count(F.lit(1)).alias("__models"),
+            F.first("weight").alias("weight"),
+            F.first("intercept").alias("intercept"),
+        ).filter(F.col("__models") > 0)
+        many = F.raise_error(F.lit("the model has several rows; name their keys in by"))
+        single = F.when(F.col("__models") > 1, many.cast("double")).otherwise(F.col("weight"))
+        joined = samples.crossJoin(F.broadcast(one.withColumn("weight", single).drop("__models")))
     return joined.withColumn("prediction", line_at(F.col("feature"))).drop("weight", "intercept")
 
 

@@ -7,20 +7,28 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from streamlens.operators.joins import join_settled
+from streamlens.operators.tokens import TOKEN_POSITION
 
-def scale_features(samples: DataFrame, feature: str = "feature") -> DataFrame:
-    """Divide by the sample standard deviation, without centring.
 
-    A constant feature becomes 0.0.  The deviation is one row, so it is
-    broadcast and the samples are not moved.
+def scale_features(
+    samples: DataFrame,
+    feature: str = "feature",
+    by: Sequence[str] = (),
+    salt_by: Sequence[str] = TOKEN_POSITION,
+) -> DataFrame:
+    """``scaled``: the feature over its sample standard deviation, without centring.
+
+    A constant feature becomes 0.0.  The deviation is one row, which is broadcast, or
+    with ``by`` one row per group, which is settled and counted first.
     """
-    spread = samples.agg(F.coalesce(F.stddev_samp(feature), F.lit(0.0)).alias("__std"))
+    spread = samples.groupBy(*by).agg(F.coalesce(F.stddev_samp(feature), F.lit(0.0)).alias("__std"))
+    if by:
+        joined = join_settled(samples, spread, by, salt_by)
+    else:
+        joined = samples.crossJoin(F.broadcast(spread))
     scaled = F.when(F.col("__std") == 0, 0.0).otherwise(F.col(feature) / F.col("__std"))
-    return (
-        samples.crossJoin(F.broadcast(spread))
-        .withColumn("scaled", scaled)
-        .drop("__std")
-    )
+    return joined.withColumn("scaled", scaled).drop("__std")
 
 
 def column_means(
@@ -31,9 +39,11 @@ def column_means(
 
 
 def correlation_matrix(
-    samples: DataFrame, columns: Sequence[str] = ("label", "feature")
+    samples: DataFrame,
+    columns: Sequence[str] = ("label", "feature"),
+    by: Sequence[str] = (),
 ) -> DataFrame:
-    """Pearson correlations as rows ``(i, j, corr)``, from one aggregate.
+    """Pearson correlations as rows ``(*by, i, j, corr)``, from one aggregate.
 
     A constant column correlates with nothing: NaN off the diagonal.
     """
@@ -44,7 +54,7 @@ def correlation_matrix(
         for i in range(size)
         for j in range(i + 1, size)
     ]
-    found = samples.agg(*spreads, *shared)
+    found = samples.groupBy(*by).agg(*spreads, *shared)
 
     def entry(i: int, j: int) -> Column:
         if i == j:
@@ -56,13 +66,16 @@ def correlation_matrix(
         return F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"), known.alias("corr"))
 
     entries = [entry(i, j) for i in range(size) for j in range(size)]
-    return found.select(F.inline(F.array(*entries)))
+    return found.select(*by, F.inline(F.array(*entries)))
 
 
 def random_split(
     df: DataFrame, weights: Sequence[float] = (0.9, 0.1), seed: int | None = None
 ) -> list[DataFrame]:
-    """Spark's random split; without a seed every run differs."""
+    """Spark's random split; without a seed every run differs.
+
+    It sorts every partition, once per side; ``split_part`` needs neither.
+    """
     return df.randomSplit(list(weights), seed)
 
 

@@ -188,13 +188,13 @@ def test_no_band_gives_no_row(spark, skewed):
 def test_sql_statement_equals_the_dataframe(spark, skewed):
     _, _, reviews, restaurants = skewed
     spark.sql("CREATE DATABASE IF NOT EXISTS restaurants")
-    clean = reviews.filter("NOT isnan(rating)")
-    clean.write.format("orc").mode("overwrite").saveAsTable("restaurants.reviews")
+    assert not reviews.filter("isnan(rating)").isEmpty()
+    reviews.write.format("orc").mode("overwrite").saveAsTable("restaurants.reviews")
     restaurants.write.format("orc").mode("overwrite").saveAsTable("restaurants.restaurants")
     lat, lng = (52.3, 53.2), (13.3, 13.4)
     by_sql = nearby_by_sql(spark, lat)
     assert by_sql.columns == list(lookup.RESULT_COLUMNS)
-    by_frame = lookup.nearby_rated(clean, restaurants, lat, lng, limit=None)
+    by_frame = lookup.nearby_rated(reviews, restaurants, lat, lng, limit=None)
     assert as_dict(by_sql) == pytest.approx(as_dict(by_frame))
 
 
@@ -205,3 +205,54 @@ def test_band_reaches_the_orc_scan(spark, skewed, tmp_path):
     plan = near.select("id")._jdf.queryExecution().toString()
     assert "GreaterThanOrEqual(lat,52.3)" in plan and "LessThanOrEqual(lat,53.2)" in plan
     assert "ReadSchema: struct<id:int,lat:double,lng:double>" in plan
+
+
+def scans_of(df, column):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return sum(column in line for line in plan.splitlines() if "FileScan" in line)
+
+
+def test_few_ids_reach_the_scan_of_the_reviews(spark, skewed, tmp_path):
+    skewed[2].write.parquet(str(tmp_path / "reviews"))
+    reviews = spark.read.parquet(str(tmp_path / "reviews"))
+    found = lookup.nearby_rated(reviews, skewed[3], (52.3, 52.6), (13.25, 13.45), limit=None)
+    plan = found._jdf.queryExecution().toString()
+    assert "In(restaurant_id" in plan
+    assert as_dict(found) == pytest.approx(
+        brute_force(skewed[0], skewed[1], (52.3, 52.6), (13.25, 13.45))
+    )
+
+
+def test_skewed_shuffle_path_reads_the_reviews_once(spark, skewed, tmp_path, monkeypatch):
+    monkeypatch.setattr(joins, "HOT_PARTS", 1000)
+    monkeypatch.setattr(lookup, "SCANNED_IDS", 0)
+    skewed[2].write.parquet(str(tmp_path / "reviews"))
+    reads = []
+    folded = lookup.settle
+    monkeypatch.setattr(
+        lookup, "settle", lambda df: reads.append(scans_of(df, "restaurant_id")) or folded(df)
+    )
+    found = lookup.rated_groups(
+        spark.read.parquet(str(tmp_path / "reviews")), skewed[3], broadcast_bytes=0
+    )
+    # Once to fold them; what follows starts from the settled sums.
+    assert reads == [1]
+    assert scans_of(found, "restaurant_id") == 0
+    assert found.count() > 100
+
+
+def test_bands_wider_than_a_bin_are_counted(spark, skewed):
+    reviews, restaurants, reviews_df, restaurants_df = skewed
+    bands = spark.createDataFrame([(0, 52.0, 54.0)], "batch_id long, lat_low double, lat_high double")
+    got = lookup.nearby_rated_per_batch(reviews_df, restaurants_df, bands, (13.25, 13.45), 0.01)
+    want = brute_force(reviews, restaurants, (52.0, 54.0), (13.25, 13.45))
+    assert as_dict(got.drop("batch_id")) == pytest.approx(want)
+
+
+def test_large_limits_are_ranked_by_ranges(spark):
+    rows = [(b, f"r{i:05d}", "c", 1.0, 2.0, 3.0) for b in (0, 1) for i in range(3000)]
+    found = spark.createDataFrame(
+        rows, "batch_id long, reviewer_id string, category string, lat double, lng double, avg_rating double"
+    ).repartition(8)
+    got = sorted(tuple(r) for r in lookup.first_per_batch(found, 1500).collect())
+    assert got == sorted(r for r in rows if int(r[1][1:]) < 1500)

@@ -183,3 +183,32 @@ def test_first_and_last_record(spark):
     assert (row.first_label, row.last_label) == (4.0, 5.0)
     assert row.first_prediction == pytest.approx(row.weight * 4 + row.intercept)
     assert row.last_prediction == pytest.approx(row.weight * 5 + row.intercept)
+
+
+@pytest.mark.parametrize("intercept", [True, False])
+def test_sgd_losses_are_those_of_the_rows(samples_from, intercept):
+    pairs = [(2 * x + 1, x) for x in (k / 10 for k in range(1, 21))]
+    options = dict(step_size=0.5, convergence_tol=0.0, init_weight=0.7, reg_param=0.05, intercept=intercept)
+
+    def loss(w, b):
+        errors = sum((w * x + b - y) ** 2 for y, x in pairs) / len(pairs) / 2
+        return errors + 0.05 / 2 * (w * w + b * b)
+
+    got = regression.sgd_fit(samples_from(pairs), num_iterations=6, **options).first()
+    start = (0.7, 1.0 if intercept else 0.0)
+    assert got.initial_loss == pytest.approx(loss(*start))
+    assert got.final_loss == pytest.approx(loss(got.weight, got.intercept))
+    lines = [start]
+    for n in range(1, 6):
+        row = regression.sgd_fit(samples_from(pairs), num_iterations=n, **options).first()
+        lines.append((row.weight, row.intercept))
+    assert got.losses == pytest.approx([loss(*line) for line in lines])
+
+
+def test_predict_refuses_several_models_without_keys(samples_from):
+    found = samples_from([(1.0, 1.0), (2.0, 2.0)])
+    one = regression.ridge_fit(found)
+    assert regression.predict(found, one).count() == 2
+    assert regression.predict(found, one.limit(0)).count() == 0
+    with pytest.raises(Exception, match="several rows"):
+        regression.predict(found, one.unionAll(one)).collect()
