@@ -124,6 +124,16 @@ def reviews(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def nan_reviews(spark: SparkSession, folder: str) -> DataFrame:
+    """The reviews with NaN for the rating of the first line of every order."""
+    rating = F.when(F.col("l_linenumber") == 1, float("nan")).otherwise(F.col("l_quantity"))
+    return parquet_table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").cast("string").alias("reviewer_id"),
+        F.col("l_partkey").alias("restaurant_id"),
+        rating.alias("rating"),
+    )
+
+
 def restaurants(spark: SparkSession, folder: str) -> DataFrame:
     """Parts as restaurants: price is the latitude, size the longitude."""
     return parquet_table(spark, folder, "part").select(

@@ -142,7 +142,9 @@ _BANDS = (
 )
 
 
-def _sgd(source: str, by: str, steps: int, step: str, tol: str, reg: str, bias: bool) -> str:
+def _sgd(
+    source: str, by: str, steps: int, step: str, tol: str, reg: str, bias: bool, start_w: str = "0"
+) -> str:
     """Gradient descent over the moments, one recursion level per iteration."""
     start_b = "1.0" if bias else "0.0"
     next_b = f"b * (1 - eta * {reg}) - eta * (w * mx + b - my)" if bias else "b"
@@ -152,7 +154,7 @@ WITH RECURSIVE m AS (
          var_pop(y) AS syy, covar_pop(x, y) AS sxy
   FROM ({source}) AS s GROUP BY ALL),
 d AS (
-  SELECT *, 0 AS t, CAST(0 AS DOUBLE) AS w, CAST({start_b} AS DOUBLE) AS b, FALSE AS done FROM m
+  SELECT *, 0 AS t, CAST({start_w} AS DOUBLE) AS w, CAST({start_b} AS DOUBLE) AS b, FALSE AS done FROM m
   UNION ALL
   SELECT g, n, mx, my, sxx, syy, sxy, t, nw, nb,
          t > 1 AND sqrt((nw - w) * (nw - w) + (nb - b) * (nb - b))
@@ -163,7 +165,10 @@ d AS (
         FROM (SELECT g, n, mx, my, sxx, syy, sxy, w, b, t + 1 AS t, {step} / sqrt(t + 1) AS eta
               FROM d WHERE t < {steps} AND NOT done))),
 f AS (
-  SELECT g, n, t, w AS weight, b AS intercept, (syy + my * my) / 2 AS initial_loss,
+  SELECT g, n, t, w AS weight, b AS intercept,
+         (syy + {start_w} * {start_w} * sxx - 2 * {start_w} * sxy
+          + ({start_w} * mx + {start_b} - my) * ({start_w} * mx + {start_b} - my)) / 2
+         + {reg} / 2 * ({start_w} * {start_w} + {start_b} * {start_b}) AS initial_loss,
          (syy + w * w * sxx - 2 * w * sxy + (w * mx + b - my) * (w * mx + b - my)) / 2
          + {reg} / 2 * (w * w + b * b) AS final_loss
   FROM d QUALIFY row_number() OVER (PARTITION BY g ORDER BY t DESC) = 1)
@@ -173,14 +178,20 @@ f AS (
 # --- lookups ----------------------------------------------------------------
 
 
-def _groups(restaurants: str, where: str) -> str:
+def _groups(restaurants: str, where: str, reviews: str = _REVIEWS) -> str:
     return (
         "SELECT reviewer_id, category, lat, lng, round(avg(rating), 6) AS avg_rating"
-        f" FROM ({_REVIEWS}) AS v JOIN ({restaurants}) AS r ON v.restaurant_id = r.id"
+        f" FROM ({reviews}) AS v JOIN ({restaurants}) AS r ON v.restaurant_id = r.id"
         f" WHERE rating > 3 AND {where} GROUP BY reviewer_id, category, lat, lng"
     )
 
 
+_NAN_GROUPS = _groups(
+    _RESTAURANTS,
+    "lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 40",
+    f"{_REVIEWS} WHERE l_linenumber <> 1",
+)
+
 _FIRST_PART = (
     "(SELECT arg_min(prediction, \"offset\") FROM (" + _PART_PREDICTIONS + ") AS p)"
 )
@@ -199,6 +210,15 @@ WHERE rating > 3 AND lng BETWEEN 900 AND 950
 GROUP BY batch_id, reviewer_id, category, lat, lng
 """
 
+_WIDE = _groups(
+    _RESTAURANTS, f"lat BETWEEN {_FIRST_PART} - 1 AND {_FIRST_PART} + 1 AND lng BETWEEN 10 AND 40"
+)
+
+_BAND_TOP = (
+    f"SELECT * FROM ({_BAND_LOOKUP}) AS l QUALIFY row_number() OVER"
+    " (PARTITION BY batch_id ORDER BY reviewer_id, category, lat, lng) <= 5"
+)
+
 _SPLIT = (
     f"SELECT *, CASE WHEN substr(md5(CAST(k AS VARCHAR)), 1, 8) < 'e6666666' THEN 'train'"
     f" ELSE 'test' END AS part FROM ({_PARTS}) AS s"
@@ -223,6 +243,11 @@ ORACLE: dict[str, str] = {
     "catalog_sql_lookup": _groups(
         _RESTAURANTS, "lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 40"
     ),
+    "catalog_orc_lookup": _groups(
+        _RESTAURANTS, "lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 40"
+    ),
+    "nan_ratings_sql_lookup": _NAN_GROUPS,
+    "nan_ratings_lookup": _NAN_GROUPS,
     "orc_roundtrip": _RESTAURANTS,
     "message_tokens": (
         "SELECT topic, \"partition\", \"offset\", pos, CAST(y AS VARCHAR) || ',' ||"
@@ -279,10 +304,7 @@ ORACLE: dict[str, str] = {
         f" FROM ({_BANDS}) AS b"
     ),
     "band_lookup_per_batch": _BAND_LOOKUP,
-    "band_top_per_batch": (
-        f"SELECT * FROM ({_BAND_LOOKUP}) AS l QUALIFY row_number() OVER"
-        " (PARTITION BY batch_id ORDER BY reviewer_id, category, lat, lng) <= 5"
-    ),
+    "band_top_per_batch": _BAND_TOP,
     "sgd_fit": _sgd(
         f"SELECT y, x / (SELECT stddev_samp(x) FROM ({_PARTS}) AS a) AS x FROM ({_PARTS}) AS s",
         "0",
@@ -291,10 +313,11 @@ ORACLE: dict[str, str] = {
         "1e-5",
         "1e-6",
         True,
+        "2.5",
     )
     + f"SELECT {_MODEL} FROM f",
     "sgd_default_fit": _sgd(
-        f"SELECT batch_id, y, x / (SELECT stddev_samp(x) FROM ({_READINGS}) AS a) AS x"
+        f"SELECT batch_id, y, x / stddev_samp(x) OVER (PARTITION BY batch_id) AS x"
         f" FROM ({_READINGS}) AS s",
         "batch_id",
         50,
@@ -309,6 +332,20 @@ ORACLE: dict[str, str] = {
         f" round(x / (SELECT stddev_samp(x) FROM ({_READINGS}) AS a), 6) AS scaled"
         f" FROM ({_READINGS}) AS s"
     ),
+    "scaled_features_per_batch": (
+        'SELECT batch_id, "offset", pos, y AS label,'
+        f" round(x / stddev_samp(x) OVER (PARTITION BY batch_id), 6) AS scaled"
+        f" FROM ({_READINGS}) AS s"
+    ),
+    "correlation_per_batch": (
+        "SELECT batch_id, CAST(i AS INTEGER) AS i, CAST(j AS INTEGER) AS j,"
+        " CASE WHEN i = j THEN 1.0 ELSE c END AS corr FROM (SELECT batch_id,"
+        f" round(corr(y, x), 6) AS c FROM ({_READINGS}) AS s GROUP BY batch_id),"
+        " (VALUES (0), (1)) AS a(i), (VALUES (0), (1)) AS b(j)"
+    ),
+    "random_split_rows": (
+        "SELECT count(*) AS n, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS doubled FROM part"
+    ),
     "column_means": (
         "SELECT batch_id, round(avg(y), 6) AS mean_label, round(avg(x), 6) AS mean_feature"
         f" FROM ({_READINGS}) AS s GROUP BY batch_id"
@@ -337,6 +374,16 @@ ORACLE: dict[str, str] = {
         'SELECT "offset", round(prediction, 6) AS prediction, label'
         f" FROM ({_PART_PREDICTIONS}) AS p"
     ),
+    "two_runs_one_table": f"SELECT * FROM ({_NEARBY}) AS a UNION ALL SELECT * FROM ({_WIDE}) AS b",
+    "stream_many_batches": (
+        f"SELECT {_MODEL}, round(c, 6) AS correlation, round(e, 6) AS mse, round(1 - e / syy, 6) AS r2,"
+        " reviewer_id, category, lat, lng, avg_rating FROM (SELECT f.*, m.c, m.e FROM"
+        f" ({_fit(_READINGS, 'batch_id')}) AS f JOIN (SELECT s.batch_id, corr(s.y, s.x) AS c,"
+        " avg((g.weight * s.x + g.intercept - s.y) * (g.weight * s.x + g.intercept - s.y)) AS e"
+        f" FROM ({_READINGS}) AS s JOIN ({_fit(_READINGS, 'batch_id')}) AS g"
+        " ON s.batch_id = g.batch_id GROUP BY s.batch_id) AS m ON f.batch_id = m.batch_id) AS f"
+        f" LEFT JOIN ({_BAND_TOP}) AS t ON f.batch_id = t.batch_id"
+    ),
     "stream_published_pair": (
         'SELECT round(arg_min(prediction, "offset"), 6) AS prediction,'
         f' arg_min(label, "offset") AS label FROM ({_PART_PREDICTIONS}) AS p'

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,8 +14,8 @@ from streamlens.functions.text import pair_text
 from streamlens.functions.time import epoch_day, utc_wall_clock
 from streamlens.operators import lookup, regression, samples, stats, tokens
 from streamlens.plans import mapping as mp
-from streamlens.sinks.batches import FolderSink
-from streamlens.sources.scratch import fresh_folder
+from streamlens.sinks.batches import RUN_KEYS, FolderSink
+from streamlens.sources.scratch import fresh_folder, settle
 from streamlens.sources.streams import replay_source
 from streamlens.sources.tables import (
     catalog_table,
@@ -20,7 +24,7 @@ from streamlens.sources.tables import (
     parquet_table,
 )
 from streamlens.streaming import windows
-from streamlens.streaming.job import BatchJob, Outputs, start_job
+from streamlens.streaming.job import BatchJob, Outputs, run_job, start_job
 
 MODEL_DOUBLES = ("weight", "intercept", "initial_loss", "final_loss")
 _FIT_BY_DAY = ("batch_id",)
@@ -83,29 +87,69 @@ def avg_rating_by_reviewer(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(lookup.top_groups(groups, None), "avg_rating")
 
 
+@contextmanager
+def _orc_database(spark: SparkSession, reviews: DataFrame, restaurants: DataFrame) -> Iterator[str]:
+    """A database of its own with both tables stored as ORC; dropped afterwards."""
+    name = f"streamlens_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{fresh_folder(spark, 'database')}'")
+    try:
+        reviews.write.format("orc").saveAsTable(f"{name}.reviews")
+        restaurants.write.format("orc").saveAsTable(f"{name}.restaurants")
+        yield name
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+
+
+def _sql_lookup(spark: SparkSession, reviews: DataFrame, restaurants: DataFrame) -> DataFrame:
+    with _orc_database(spark, reviews, restaurants) as database:
+        found = nearby_by_sql(
+            spark,
+            (905.0, 920.0),
+            mp.PART_LNG,
+            mp.MIN_RATING,
+            f"{database}.reviews",
+            f"{database}.restaurants",
+        )
+        # Computed before the tables go.
+        settled, _ = settle(found)
+    return mp.rounded(settled, "avg_rating")
+
+
 def catalog_sql_lookup(spark: SparkSession, folder: str) -> DataFrame:
-    """The SQL statement over database-qualified names, parameters bound as numbers."""
-    database = "streamlens_tables"
-    spark.sql(
-        f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{fresh_folder(spark, 'database')}'"
-    )
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.reviews AS SELECT CAST(l_suppkey AS STRING) AS"
-        " reviewer_id, l_partkey AS restaurant_id, l_quantity AS rating"
-        f" FROM parquet.`{folder}/lineitem.parquet`"
-    )
-    spark.sql(
-        f"CREATE OR REPLACE VIEW {database}.restaurants AS SELECT p_partkey AS id, p_type AS"
-        " category, p_retailprice AS lat, CAST(p_size AS DOUBLE) AS lng"
-        f" FROM parquet.`{folder}/part.parquet`"
-    )
-    found = nearby_by_sql(
-        spark,
+    """The SQL statement over stored ORC tables by their database-qualified names."""
+    return _sql_lookup(spark, mp.reviews(spark, folder), mp.restaurants(spark, folder))
+
+
+def catalog_orc_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup by operators over stored ORC tables by their database-qualified names."""
+    reviews, restaurants = mp.reviews(spark, folder), mp.restaurants(spark, folder)
+    with _orc_database(spark, reviews, restaurants) as database:
+        found = lookup.nearby_rated(
+            catalog_table(spark, f"{database}.reviews"),
+            catalog_table(spark, f"{database}.restaurants"),
+            (905.0, 920.0),
+            mp.PART_LNG,
+            mp.MIN_RATING,
+            None,
+        )
+        settled, _ = settle(found)
+    return mp.rounded(settled, "avg_rating")
+
+
+def nan_ratings_sql_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The SQL statement where the first line of every order has NaN for a rating."""
+    return _sql_lookup(spark, mp.nan_reviews(spark, folder), mp.restaurants(spark, folder))
+
+
+def nan_ratings_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The same by operators."""
+    found = lookup.nearby_rated(
+        mp.nan_reviews(spark, folder),
+        mp.restaurants(spark, folder),
         (905.0, 920.0),
         mp.PART_LNG,
         mp.MIN_RATING,
-        f"{database}.reviews",
-        f"{database}.restaurants",
+        None,
     )
     return mp.rounded(found, "avg_rating")
 
@@ -285,19 +329,19 @@ def sgd_fit(spark: SparkSession, folder: str) -> DataFrame:
         num_iterations=100,
         step_size=0.1,
         convergence_tol=0.00001,
-        init_weight=0.0,
+        init_weight=2.5,
         reg_param=0.000001,
         intercept=True,
     )
-    return mp.rounded(fitted.drop("iterations"), *MODEL_DOUBLES)
+    return mp.rounded(fitted.drop("iterations", "losses"), *MODEL_DOUBLES)
 
 
 def sgd_default_fit(spark: SparkSession, folder: str) -> DataFrame:
-    """The one-line form per day: no intercept, no penalty."""
+    """The one-line form per day, scaled within the day: no intercept, no penalty."""
     found = mp.event_samples(spark, folder)
-    spread = stats.scale_features(found).withColumn("feature", F.col("scaled"))
+    spread = stats.scale_features(found, by=_FIT_BY_DAY).withColumn("feature", F.col("scaled"))
     fitted = regression.sgd_fit(spread, _FIT_BY_DAY, num_iterations=50, step_size=0.2)
-    return mp.rounded(fitted, *MODEL_DOUBLES)
+    return mp.rounded(fitted.drop("losses"), *MODEL_DOUBLES)
 
 
 # --- statistics -------------------------------------------------------------
@@ -308,6 +352,11 @@ def scaled_features(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(scaled.select("offset", "pos", "label", "scaled"), "scaled")
 
 
+def scaled_features_per_batch(spark: SparkSession, folder: str) -> DataFrame:
+    scaled = stats.scale_features(mp.event_samples(spark, folder), by=_FIT_BY_DAY)
+    return mp.rounded(scaled.select("batch_id", "offset", "pos", "label", "scaled"), "scaled")
+
+
 def column_means(spark: SparkSession, folder: str) -> DataFrame:
     means = stats.column_means(
         mp.event_samples(spark, folder), ("label", "feature"), _FIT_BY_DAY
@@ -319,6 +368,11 @@ def correlation_matrix(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(stats.correlation_matrix(mp.event_samples(spark, folder)), "corr")
 
 
+def correlation_per_batch(spark: SparkSession, folder: str) -> DataFrame:
+    found = stats.correlation_matrix(mp.event_samples(spark, folder), by=_FIT_BY_DAY)
+    return mp.rounded(found, "corr")
+
+
 def in_sample_metrics(spark: SparkSession, folder: str) -> DataFrame:
     found = mp.part_samples(spark, folder)
     predicted = regression.predict(found, regression.ridge_fit(found, mp.REG_PARAM))
@@ -342,12 +396,16 @@ def holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(stats.regression_metrics(predicted, ["part"]), "mse", "rmse", "r2")
 
 
-def random_split_metrics(spark: SparkSession, folder: str) -> DataFrame:
-    """The same with a seeded random split (rows differ between engines)."""
-    train, test = stats.random_split(mp.part_samples(spark, folder), (0.9, 0.1), seed=42)
-    model = regression.ridge_fit(train, mp.REG_PARAM)
-    return mp.rounded(
-        stats.regression_metrics(regression.predict(test, model)), "mse", "rmse", "r2"
+def random_split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """What every seed must give: each sample on one side, none missing and none twice."""
+    found = mp.part_samples(spark, folder)
+    train, test = stats.random_split(found.select("offset"), (0.9, 0.1), seed=42)
+    both = train.unionByName(test).groupBy("offset").agg(F.count(F.lit(1)).alias("times"))
+    sides = found.select("offset").join(both, "offset", "left")
+    return sides.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("times").isNull()).alias("missing"),
+        F.count_if(F.col("times") > 1).alias("doubled"),
     )
 
 
@@ -411,12 +469,12 @@ def _run_part_job(spark: SparkSession, folder: str, **settings) -> Outputs:
 
 def stream_nearby_top_rated(spark: SparkSession, folder: str) -> DataFrame:
     found = _run_part_job(spark, folder).results.read(spark)
-    return mp.rounded(found.drop("batch_id"), "avg_rating")
+    return mp.rounded(found.drop(*RUN_KEYS), "avg_rating")
 
 
 def stream_model_report(spark: SparkSession, folder: str) -> DataFrame:
     found = _run_part_job(spark, folder).models.read(spark)
-    return mp.rounded(found.drop("batch_id"), *MODEL_DOUBLES)
+    return mp.rounded(found.drop(*RUN_KEYS), *MODEL_DOUBLES)
 
 
 def stream_predictions(spark: SparkSession, folder: str) -> DataFrame:
@@ -434,6 +492,69 @@ def stream_published_pair(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def two_runs_one_table(spark: SparkSession, folder: str) -> DataFrame:
+    """Two jobs with checkpoints of their own add to one results table; both stay."""
+    reviews, restaurants = mp.reviews(spark, folder), mp.restaurants(spark, folder)
+    with _orc_database(spark, reviews, restaurants) as database:
+        for half_width in (mp.HALF_WIDTH, 2 * mp.HALF_WIDTH):
+            cfg = JobConfig(
+                reg_param=mp.REG_PARAM,
+                half_width=half_width,
+                min_rating=mp.MIN_RATING,
+                lng_low=mp.PART_LNG[0],
+                lng_high=mp.PART_LNG[1],
+                result_limit=None,
+                reviews_table=f"{database}.reviews",
+                restaurants_table=f"{database}.restaurants",
+                results_table=f"{database}.results",
+            )
+            messages = mp.part_messages(_replayed(spark, folder, "part"))
+            base = fresh_folder(spark, "job")
+            run_job(spark, cfg, base, messages, available_now=True).awaitTermination()
+        settled, _ = settle(catalog_table(spark, f"{database}.results").drop(*RUN_KEYS))
+    return mp.rounded(settled, "avg_rating")
+
+
+def _many_batches(spark: SparkSession, folder: str) -> Outputs:
+    """The job over the events, one file and micro-batch a day, an empty and a bad one among them."""
+    base = fresh_folder(spark, "days")
+    messages = mp.event_messages(parquet_table(spark, folder, "events"))
+    day = F.to_date(utc_wall_clock(F.col("timestamp")))
+    bad = F.lit("bad ,5 5, x").alias("value")
+    messages.withColumn("day", day).repartition("day").write.partitionBy("day").parquet(f"{base}/in")
+    one = messages.limit(0).withColumn("day", F.lit("empty"))
+    one.coalesce(1).drop("day").write.parquet(f"{base}/in/day=empty")
+    first = messages.orderBy("offset").limit(1).withColumn("value", bad)
+    first.coalesce(1).write.parquet(f"{base}/in/day=bad")
+    cfg = JobConfig(
+        reg_param=mp.REG_PARAM,
+        half_width=mp.HALF_WIDTH,
+        min_rating=mp.MIN_RATING,
+        lng_low=mp.SIZE_LNG[0],
+        lng_high=mp.SIZE_LNG[1],
+        on_malformed="quarantine",
+        statistics=True,
+    )
+    outputs = Outputs.in_folder(f"{base}/output")
+    reviews, restaurants = mp.reviews(spark, folder), mp.sized_restaurants(spark, folder)
+    job = BatchJob(cfg, lambda: reviews, lambda: restaurants, outputs)
+    stream = replay_source(spark, f"{base}/in/*", max_files_per_trigger=1)
+    start_job(stream, job, f"{base}/checkpoint", available_now=True).awaitTermination()
+    return outputs
+
+
+def stream_many_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Model, statistics and lookup of every one of many micro-batches in a row.
+
+    The order of the files is that of the file system, so the rows go without a number.
+    """
+    out = _many_batches(spark, folder)
+    measured = out.statistics.read(spark).select(*RUN_KEYS, "correlation", "mse", "r2")
+    both = out.models.read(spark).drop("tokens", "malformed").join(measured, list(RUN_KEYS))
+    found = both.join(out.results.read(spark), list(RUN_KEYS), "left").drop(*RUN_KEYS)
+    return mp.rounded(found, *MODEL_DOUBLES, "correlation", "mse", "r2", "avg_rating")
+
+
 QUERIES: dict[str, mp.Query] = {
     query.__name__: query
     for query in (
@@ -444,6 +565,9 @@ QUERIES: dict[str, mp.Query] = {
         band_filter,
         avg_rating_by_reviewer,
         catalog_sql_lookup,
+        catalog_orc_lookup,
+        nan_ratings_sql_lookup,
+        nan_ratings_lookup,
         orc_roundtrip,
         message_tokens,
         padded_text_tokens,
@@ -466,17 +590,21 @@ QUERIES: dict[str, mp.Query] = {
         sgd_fit,
         sgd_default_fit,
         scaled_features,
+        scaled_features_per_batch,
         column_means,
         correlation_matrix,
+        correlation_per_batch,
         in_sample_metrics,
         holdout_split,
         holdout_metrics,
-        random_split_metrics,
+        random_split_rows,
         windowed_fit,
         stream_windowed_fit,
         stream_nearby_top_rated,
         stream_model_report,
         stream_predictions,
         stream_published_pair,
+        two_runs_one_table,
+        stream_many_batches,
     )
 }
