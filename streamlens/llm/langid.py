@@ -36,6 +36,7 @@ LEVEL = 9
 BLOCK_BYTES = 2048
 LEAST_MARGIN = 0.005
 JUDGED_BYTES = 400
+SHORT_BYTES = 48
 SLICE_BYTES = 4 << 20
 
 _OTHER = re.compile(r"[\W\d_]+")
@@ -113,6 +114,9 @@ class Classifier:
         data = letters(text or "").encode()
         if not data or not self._languages or not any(map(str.isalpha, data.decode())):
             return UNKNOWN, 0.0, True
+        if len(data) < SHORT_BYTES:
+            # What is too short to be compressed at all is judged by its repetition.
+            data = b" ".join([data] * (1 + SHORT_BYTES // len(data)))
         blocks = [data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
         sizes = [sum(len(c.compress(b)) for b in blocks) for c in self._compressors]
         if len(sizes) == 1:

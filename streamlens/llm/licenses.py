@@ -33,10 +33,11 @@ _BEFORE, _AFTER = rf"(?<!{_WORD[:-1]})", rf"(?!{_WORD[:-1]})"
 
 @dataclass(frozen=True)
 class Rule:
-    """``pattern`` is tried where ``keyword`` (lower case) occurs; the larger priority wins.
+    """``pattern`` is tried where all words of ``keyword`` (lower case) occur; the larger
+    priority wins.
 
-    ``gate`` is a string that occurs wherever the pattern can match; many rules
-    share one, so that few are looked for in every text.
+    The words of ``gate`` occur wherever the pattern can match, too; many rules share
+    one, so that few are looked for in every text.
     """
 
     label: str
@@ -140,13 +141,11 @@ def rules() -> list[Rule]:
     found.append(Rule("bsd", "bsd", "(?:new |simplified |modified )?bsd(?:-style)? licen[cs]e", 50))
     for part in CC_PARTS:
         written = part.replace("-", "[- ]")
-        for first in ("cc by", "cc-by"):
-            found.append(Rule(f"cc-{part}", first, rf"cc[- ]{written}", 40 + len(part)))
+        found.append(Rule(f"cc-{part}", "cc by", rf"cc[- ]{written}", 40 + len(part)))
         found.append(Rule(f"cc-{part}", "creative commons", rf"creative commons {CC_NAMES[part]}", 50 + len(part)))
         for version in CC_VERSIONS:
             number = _version(version)
-            for first in ("cc by", "cc-by"):
-                found.append(Rule(f"cc-{part}-{version}", first, rf"cc[- ]{written}[- ]{number}", 70 + len(part)))
+            found.append(Rule(f"cc-{part}-{version}", "cc by", rf"cc[- ]{written}[- ]{number}", 70 + len(part)))
             found.append(Rule(f"cc-{part}-{version}", "creative commons", rf"creative commons {CC_NAMES[part]} {number}", 72 + len(part)))
             found.append(Rule(f"cc-{part}-{version}", "creativecommons", rf"creativecommons\.org/licenses/{part}/{number}", 90))
     for label, keyword, pattern in GRANTS:
@@ -161,7 +160,7 @@ def _quoted(text: str) -> str:
 def _rule_table() -> str:
     rows = [
         f"named_struct('rule', {at}, 'label', {_quoted(r.label)}, 'priority', {r.priority},"
-        f" 'keyword', {_quoted(r.keyword)},"
+        f" 'keywords', array({', '.join(map(_quoted, r.keyword.split()))}),"
         f" 'pattern', {_quoted('(?is)' + _BEFORE + '(?:' + _spaced(r.pattern) + ')' + _AFTER)})"
         for at, r in enumerate(rules())
     ]
@@ -193,8 +192,11 @@ def detections(documents: DataFrame, text: str = "text") -> DataFrame:
     """
     gate = F.lit(False)
     for key in sorted({r.gate or r.keyword for r in rules()}):
-        gate = gate | F.col("__low").contains(key)
-    tried = f"filter({_rule_table()}, r -> contains(__low, r.keyword))"
+        found = F.lit(True)
+        for word in key.split():
+            found = found & F.col("__low").contains(word)
+        gate = gate | found
+    tried = f"filter({_rule_table()}, r -> forall(r.keywords, k -> contains(__low, k)))"
     hits = f"""
       flatten(transform({tried}, r -> transform(
         {_SPANS.format(p='r.pattern').replace('text,', '__text,')},

@@ -1,0 +1,249 @@
+"""Language ID, personal data, licenses, token files and source mixing."""
+
+import hashlib
+import random
+import re
+import zlib
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from oracle_check import connect, spark_rows, sql_rows
+from streamlens.llm import langid, licenses, mixing, pii, tokenfiles
+from streamlens.llm.queries import ORACLE, QUERIES, token_report
+
+SMALL = "/root/testdata/sf0.001"
+
+
+# --- language ID --------------------------------------------------------------
+
+
+def test_held_out_accuracy(spark):
+    found = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01")
+    langs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
+    rows = found.join(langs, "doc_id").collect()
+    held = [r for r in rows if r.held_out]
+    assert len(rows) == 1000
+    assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 3 == 1) for r in rows)
+    assert sum(r.lang_pred == r.lang for r in held) >= 0.97 * len(held)
+    assert all(0 <= r.score <= 1 for r in rows)
+
+
+def test_language_edge_cases(spark, docs):
+    rows = [(i, f"der die das und nicht wort{i} ist ein", "de") for i in range(20)]
+    rows += [(100 + i, f"the and of with word{i} this is a", "en") for i in range(20)]
+    table = docs(*rows, (None, "the word is this", None), (1, None, "de"), (2, "", None), (3, "12 ?!", None),
+                 (4, "the and of with this " * 40_000, None), (4, "the and of with this " * 40_000, None))
+    learned = langid.train(table, ~langid.held_out())
+    assert sorted(learned) == ["de", "en"]
+    found = langid.classify(table.selectExpr("*", "1 AS score", "2 AS rejected"), learned).collect()
+    assert len(found) == 46
+    for r in found:
+        if not re.search("[a-z]", r.text or ""):
+            assert (r.lang_pred, r.score, r.rejected) == ("und", 0.0, True)
+        elif r.text.startswith("the"):
+            assert r.lang_pred == "en" and not r.rejected
+    nothing = langid.classify(table, langid.train(table.limit(0), langid.held_out())).collect()
+    assert {r.lang_pred for r in nothing} == {"und"}
+    one = langid.classify(table, {"en": learned["en"]}).collect()
+    assert {(r.lang_pred, r.score) for r in one} == {("und", 0.0), ("en", 1.0)}
+    assert langid.classify(table.limit(0), learned).count() == 0
+
+
+# --- personal data ------------------------------------------------------------
+
+
+def plain_spans(text):
+    """The four patterns as they are written down."""
+    out = [(m.start(), 0, m.end()) for m in
+           re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text):
+        if all(int(p) <= 255 for p in m[0].split(".")):
+            out.append((m.start(), 1, m.end()))
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", text):
+        d = [int(c) for c in re.sub("[^0-9]", "", m[0])]
+        total = sum(x if i % 2 == 0 else sum(divmod(2 * x, 10)) for i, x in enumerate(reversed(d)))
+        if 12 <= len(d) <= 19 and total % 10 == 0:
+            out.append((m.start(), 2, m.end()))
+    for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", text):
+        if 9 <= len(re.sub("[^0-9]", "", m[0])) <= 15:
+            out.append((m.start(), 3, m.end()))
+    return sorted(out)
+
+
+def test_base_spans_equal_the_patterns():
+    rng = random.Random(1)
+    pieces = ["a", "@", ".", "1", "255", "256", " ", "-", "+", "(", "_", "\n", "é", "4111 1111 1111 1111", "@b.co"]
+    for _ in range(20_000):
+        text = "".join(rng.choice(pieces) for _ in range(rng.randint(0, 20)))
+        assert pii.base_spans(text) == plain_spans(text), text
+    for long in ("a" * 300_000, "1" * 300_000, "1." * 100_000, "+1" * 100_000, "@" * 100_000, "a@b." * 50_000):
+        pii.base_spans(long)
+
+
+def test_terms_that_only_stand_beside_an_entity(spark, docs):
+    rows = [(i, f"some words {i} then Zarquon wrote from 10.0.0.7 today") for i in range(5)]
+    rows += [(50 + i, f"some words {i} then nobody wrote today") for i in range(20)]
+    rows += [(70, None), (71, ""), (None, "mail a@b.co"), (72, "mail a@b.co"), (72, "mail a@b.co")]
+    table = docs(*rows, clashing=("spans", "row"))
+    found = pii.detect(table).collect()
+    assert len(found) == len(rows)
+    by = {}
+    for r in found:
+        by.setdefault(r.doc_id, []).append(r)
+    text = rows[0][1]
+    a, b = text.index("Zarquon"), text.index("10.0")
+    assert f"term:{a}:{a + 7}" in by[0][0].spans and f"ip:{b}:{b + 8}" in by[0][0].spans
+    assert "today" not in {text[int(x.split(":")[1]) : int(x.split(":")[2])] for x in by[0][0].spans.split(",")}
+    assert (by[0][0].n_ip, by[0][0].n_email) == (1, 0)
+    assert by[0][0].base_sha256 == hashlib.sha256(f"ip:{b}:{b + 8}".encode()).hexdigest()
+    assert all(r.spans == "" for i in (50, 70, 71) for r in by[i])
+    assert [r.spans for r in by[72]] == ["email:5:11"] * 2 and by[None][0].n_email == 1
+    assert pii.detect(table.limit(0)).count() == 0
+    assert pii.redact(text, [(a, "term", a + 7), (b, "ip", b + 8)]).endswith("then  wrote from <ip> today")
+
+
+def test_base_spans_of_the_table(spark):
+    found = {r.doc_id: r for r in QUERIES["op9_pii"](spark, SMALL).collect()}
+    for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
+        want = plain_spans(row.text or "")
+        joined = ",".join(f"{pii.KINDS[k]}:{a}:{b}" for a, k, b in want)
+        r = found[row.doc_id]
+        assert r.base_sha256 == hashlib.sha256(joined.encode()).hexdigest()
+        assert [r.n_email, r.n_ip, r.n_card, r.n_phone] == [sum(k == n for _, k, _ in want) for n in range(4)]
+
+
+# --- licenses -----------------------------------------------------------------
+
+
+def plain_places(text):
+    low = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", low)
+    places = [
+        (i, label)
+        for phrase, label in licenses.BASE_PHRASES.values()
+        for i in range(len(words))
+        if words[i : i + len(phrase.split())] == phrase.split()
+    ]
+    return len(words), places
+
+
+def test_license_scan(spark, docs):
+    texts = [
+        "Under the MIT License; also CC-BY 4.0 and cc by", None, "", " .,;", "GNU General\nPublic  License v2.0 or any later version",
+        "SPDX-License-Identifier: Apache-2.0", "permit license xcc by", "Ünder Apache License, Version 2.0.",
+        "mit license " * 3000, "ßcc by é", "Kc mitKicense",
+    ]
+    table = docs(*enumerate(texts), (0, texts[0]), (None, texts[0]), clashing=("possible", "labels", "score"))
+    found = licenses.scan(table).collect()
+    assert len(found) == len(texts) + 2
+    for r in found:
+        n, places = plain_places(texts[r.doc_id or 0])
+        assert (r.n_words, r.n_base) == (n, len(places))
+        assert r.first_word == min((i for i, _ in places), default=None)
+        assert r.last_word == max((i for i, _ in places), default=None)
+        assert r.base_labels == ",".join(sorted({label for _, label in places}))
+        assert set(filter(None, r.base_labels.split(","))) <= set(filter(None, r.labels.split(",")))
+        assert 0 <= r.score <= 1 and (r.score > 0) == bool(r.labels)
+    by = {r.doc_id: r for r in found}
+    # "gnu general public license v2.0" lies inside the longer span of higher priority.
+    assert by[4].labels == "gpl,gpl-or-later" and by[5].labels == "apache-2.0" and by[6].labels == ""
+    assert by[0].labels == "cc-by,cc-by-4.0,mit"
+    assert licenses.scan(table.limit(0)).count() == 0
+    assert "Python" not in licenses.scan(table)._jdf.queryExecution().toString()
+    assert 200 < len(licenses.rules()) < 500
+
+
+# --- token files --------------------------------------------------------------
+
+
+def test_token_files_read_back(spark, docs):
+    rng = random.Random(3)
+    pieces = ["a", "é", "à ", " ", "  ", "\n", ".", ",", "'s", "\t", "\xa0", " ", "　", "12", "\x1c", "\x85", "ß", "中", "word ", "Word, "]
+    texts = ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 40))) for _ in range(300)]
+    rows = [*enumerate(texts, 5), (1, None), (2, ""), (3, "long word " * 60_000), (4, "same"), (4, "same"), (None, "null id")]
+    found = token_report(docs(*rows, clashing=("start", "rank"))).collect()
+    tokenizer = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    at = 0
+    for r, (doc_id, text) in zip(
+        sorted(found, key=lambda r: r.start), sorted(rows, key=lambda x: (x[0] is not None, x[0], x[1] or "")), strict=True
+    ):
+        ids = tokenizer.encode(text or "", add_special_tokens=False).ids + [2]
+        crc = zlib.crc32(np.array(ids, dtype="<u4").tobytes())
+        assert (r.doc_id, r.start, r.n_tokens, r.ids_crc32) == (doc_id, at, len(ids), crc)
+        at += len(ids)
+    assert token_report(docs(*rows).limit(0)).count() == 0
+
+
+def test_encoder_that_forgets(monkeypatch):
+    import pyarrow as pa
+
+    monkeypatch.setattr(tokenfiles, "CACHED_PIECES", 30)
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = tokenfiles.PieceEncoder(path, "<u4"), Tokenizer.from_file(path)
+    for i in range(20):
+        texts = [f"word{i} again and again{j}, again. x{i % 3}" for j in range(8)]
+        ids, counts = encoder.encode(pa.array(texts))
+        want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+        assert counts.tolist() == [len(w) for w in want]
+        assert ids.tolist() == [x for w in want for x in w]
+
+
+# --- mixing -------------------------------------------------------------------
+
+
+def test_mix_equals_its_sql(spark):
+    name = "op6_source_mixing"
+    assert spark_rows(QUERIES[name](spark, SMALL)) == sql_rows(connect(SMALL), ORACLE[name])
+
+
+@pytest.mark.parametrize("words", [1, 7])
+def test_mix_by_hand(spark, docs, tmp_path, monkeypatch, words):
+    monkeypatch.setattr(mixing, "BLOCK_WORDS", words)
+    monkeypatch.setattr(mixing, "LEAST_SLOTS", 1)
+    rows = [(i, "w " * (i % 9), None, "big") for i in range(120)] + [(200, "one two", None, "a"), (201, None, None, "a")]
+    rows += [(300 + i, "x y z", None, None) for i in range(5)] + [(400, "", None, "void"), (7, "w " * 7, None, "big")]
+    found = [r for r in mixing.report(docs(*rows)).collect()]
+    assert len(found) == len(rows)
+    assert sorted(map(tuple, found)) == sorted(tuple(r) for r in mixing.report(docs(*reversed(rows))).collect())
+    total = sum(len((r[1] or "").split()) for r in rows)
+    by = {}
+    for r in found:
+        by.setdefault((r.source_size, r.target), []).append(r)
+    # a, big, void, null in code point order weigh 5, 2, 1, 5; a stops at three times its 2 words.
+    targets = {size: target for size, target in by}
+    assert targets[2] == 6.0 and targets[0] == 0.0 and targets[15] == 45.0
+    assert targets[total - 17] == pytest.approx(total - 51)
+    for (size, target), own in by.items():
+        assert abs(sum(r.taken for r in own) - target) <= words * 2 * np.log2(max(total, 2)) + words
+        assert all(r.taken <= 3 * r.size for r in own) and sum(r.size for r in own) == size
+    assert mixing.report(docs(*rows).limit(0)).count() == 0
+    assert {r.taken for r in mixing.report(docs((1, None), (2, " "))).collect()} == {0}
+
+
+def test_mix_is_native_and_repeats_documents(spark, docs):
+    rows = [(i, "w " * 5, "en", "a") for i in range(40)] + [(100 + i, "x " * 5, "en", "b") for i in range(10)]
+    table = docs(*rows, clashing=("extra",))
+    report = mixing.report(table)
+    assert "Python" not in report._jdf.queryExecution().toString()
+    out = mixing.repeat(table)
+    assert out.columns == table.columns
+    taken = {r.doc_id: round(r.taken / r.size) for r in report.collect()}
+    times = {r.doc_id: r["count"] for r in out.groupBy("doc_id").count().collect()}
+    assert times == {k: n for k, n in taken.items() if n}
+
+
+def test_points_below_counts_every_point(spark):
+    bits = 6
+    old, mixing.POINT_BITS = mixing.POINT_BITS, bits
+    try:
+        frame = spark.range(60).selectExpr(
+            "id AS slot", f"cast(conv(reverse(lpad(bin(id), {bits}, '0')), 2, 10) AS bigint) AS point",
+            "explode(sequence(0L, 64L, 5L)) AS high")
+        got = frame.selectExpr("slot", "point", "high", f"{mixing._points_below('high')} AS n").collect()
+    finally:
+        mixing.POINT_BITS = old
+    points = {r.slot: r.point for r in got}
+    assert all(r.n == sum(points[i] < r.high for i in range(r.slot)) for r in got)
