@@ -175,6 +175,9 @@ _FOUND = pa.schema(
     [("bucket", pa.int32())]
     + [(n, pa.binary()) for n in ("ids", "tags", "keys", "docs", "starts", "counts", "hashes")]
 )
+_LATER = pa.schema(
+    [("bucket", pa.int32())] + [(n, pa.binary()) for n in ("ids", "tags", "starts", "counts")]
+)
 _SPANS = pa.schema([("rank", pa.int64()), ("tag", pa.int32()), ("spans", pa.binary())])
 _LATE = -1  # in ``counts``: spans that are already known to come too late
 
@@ -221,7 +224,9 @@ class _Batch:
         local = start - bounds[row]
         if late.any():
             at, first, count = _spans(row[late], local[late])
-            yield self._packed(0, ids, tags, at, first, _LATE * count, None, None)
+            # They only pass through; which bucket does not matter, but not all to one.
+            any_bucket = int(mix(hashes[:1])[0] % U64(buckets))
+            yield self._packed(any_bucket, ids, tags, at, first, _LATE * count, None, None)
         early = ~late
         row, local, keys, hashes = row[early], local[early], keys[early], hashes[early]
         new = np.ones(len(row), dtype=bool)
@@ -280,23 +285,58 @@ def _file(buckets: int):
     return run
 
 
-def _spans_by_document(ids, tags, row, start, count) -> Iterator[pa.RecordBatch]:
-    order = np.lexsort((start, row))
-    row, start, count = row[order], start[order], count[order]
-    packed = np.stack([start, count], axis=1).astype("<u4")
-    docs, first = np.unique(row, return_index=True)
-    ends = np.append(first[1:], len(row))
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(ids[docs]),
-            pa.array(tags[docs]),
-            pa.array([packed[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist())], pa.binary()),
-        ],
-        schema=_SPANS,
-    )
+def _by_document(width: int, ids, tags, row, start, count) -> Iterator[pa.RecordBatch]:
+    """Spans of late windows, packed by the bucket of their document."""
+    place = (mix(ids[row].astype(U64) ^ (tags[row].astype(U64) << U64(32))) >> U64(33)) % U64(width)
+    order = np.argsort(place, kind="stable")
+    edges = np.searchsorted(place[order], np.arange(width + 1, dtype=U64))
+    for bucket in range(width):
+        at = order[edges[bucket] : edges[bucket + 1]]
+        if len(at):
+            values = (
+                ids[row[at]].astype("<i8"), tags[row[at]].astype("<i4"), start[at].astype("<u4"), count[at].astype("<u4")
+            )
+            columns = [pa.array([bucket], pa.int32())]
+            columns += [pa.array([v.tobytes()], pa.binary()) for v in values]
+            yield pa.RecordBatch.from_arrays(columns, schema=_LATER)
+
+
+def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row per document with all its spans, in order."""
+    found: dict[str, list[np.ndarray]] = {n: [] for n in _LATER.names[1:]}
+    kinds = {"ids": "<i8", "tags": "<i4", "starts": "<u4", "counts": "<u4"}
+    for batch in batches:
+        for name, kind in kinds.items():
+            found[name] += [np.frombuffer(b, kind) for b in batch.column(name).to_pylist()]
+    if not found["ids"]:
+        return
+    ids, tags, start, count = (np.concatenate(found[n]) for n in kinds)
+    order = np.lexsort((start, tags, ids))
+    ids, tags = ids[order], tags[order]
+    packed = np.stack([start[order], count[order]], axis=1)
+    new = np.ones(len(ids), dtype=bool)
+    new[1:] = (ids[1:] != ids[:-1]) | (tags[1:] != tags[:-1])
+    first = np.flatnonzero(new)
+    ends = np.append(first[1:], len(ids))
+    spans = [packed[a:b].tobytes() for a, b in zip(first.tolist(), ends.tolist())]
+    for at in range(0, len(first), 4096):
+        part = slice(at, at + 4096)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(ids[first[part]]), pa.array(tags[first[part]]), pa.array(spans[part], pa.binary())],
+            schema=_SPANS,
+        )
+
+
+def _compare(width: int):
+    """Compares the windows of a partition; spans go to ``width`` buckets of documents."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from _late_spans(batches, width)
+
+    return run
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _late_spans(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.RecordBatch]:
     """Windows filed under the same symbol, all in this partition: the late ones."""
     ids, tags, keys, docs, starts, counts, hashes = ([] for _ in range(7))
     known = 0
@@ -308,7 +348,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             own_ids, own_tags = np.frombuffer(own["ids"], "<i8"), np.frombuffer(own["tags"], "<i4")
             if not own["keys"]:
                 late = _LATE * np.frombuffer(own["counts"], "<i4").astype(np.int64)
-                yield from _spans_by_document(own_ids, own_tags, of, at, late)
+                yield from _by_document(width, own_ids, own_tags, of, at, late)
                 continue
             ids.append(own_ids)
             tags.append(own_tags)
@@ -348,7 +388,7 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     if late.any():
         doc, start = doc[late], start[late]
         order = np.lexsort((start, doc))
-        yield from _spans_by_document(ids, tags, *_spans(doc[order], start[order]))
+        yield from _by_document(width, ids, tags, *_spans(doc[order], start[order]))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -361,7 +401,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total.append(len(words))
             if late:
                 edges = np.zeros(len(words) + 1, dtype=np.int64)
-                first, count = np.frombuffer(b"".join(late), "<u4").reshape(-1, 2).astype(np.int64).T
+                first, count = np.frombuffer(late, "<u4").reshape(-1, 2).astype(np.int64).T
                 np.add.at(edges, first, 1)
                 np.add.at(edges, first + count + WINDOW - 1, -1)
                 covered = np.cumsum(edges[:-1]) > 0
@@ -379,15 +419,17 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def late_windows(documents: DataFrame) -> DataFrame:
     """(rank, tag, spans): per document the starts of windows that came earlier already."""
+    width = parallelism(documents.sparkSession)
     # What a task compares is held in memory at once, so it gets half a partition.
-    buckets = 2 * parallelism(documents.sparkSession)
+    buckets = 2 * width
     kinds = "bucket int, " + ", ".join(f"{n} binary" for n in _FOUND.names[1:])
+    later = "bucket int, " + ", ".join(f"{n} binary" for n in _LATER.names[1:])
     found = documents.select("rank", "tag", "text").mapInArrow(_file(buckets), kinds)
     return (
         found.repartition(buckets, "bucket")
-        .mapInArrow(_compare, "rank long, tag int, spans binary")
-        .groupBy("rank", "tag")
-        .agg(F.collect_list("spans").alias("spans"))
+        .mapInArrow(_compare(width), later)
+        .repartition(width, "bucket")
+        .mapInArrow(_gather, "rank long, tag int, spans binary")
     )
 
 
