@@ -45,7 +45,6 @@ ONE_ROW_SIDE = {
     "holdout_metrics",
     "scaled_features",
     "sgd_fit",
-    "sgd_default_fit",
 }
 
 
