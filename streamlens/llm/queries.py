@@ -58,6 +58,58 @@ def token_report(documents: DataFrame) -> DataFrame:
     return tokenfiles.read(spark, path, dtype)
 
 
+_WORDS = r"regexp_extract_all({0}, '[^\x20\x09-\x0D]+')"
+
+# Every window of 20 words against all others; words that a late one covers go.
+_SUBSTRINGS_SQL = f"""
+WITH words AS (
+  SELECT doc_id, {_WORDS.format("coalesce(text, '')")} AS w FROM documents
+), starts AS (
+  SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS s FROM words WHERE len(w) >= 20
+), late AS (
+  SELECT doc_id, s FROM starts
+  QUALIFY row_number() OVER (PARTITION BY array_to_string(w[s : s + 19], ' ') ORDER BY doc_id, s) > 1
+), covered AS (
+  SELECT DISTINCT doc_id, s + o AS i FROM late, range(20) AS r(o)
+), places AS (
+  SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM words
+), kept AS (
+  SELECT p.doc_id, count(*) AS n, string_agg(word, ' ' ORDER BY i) AS text
+  FROM places p ANTI JOIN covered c ON p.doc_id = c.doc_id AND p.i = c.i GROUP BY p.doc_id
+)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(len(w) - coalesce(n, 0) AS BIGINT) AS n_removed,
+       sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM words LEFT JOIN kept USING (doc_id)
+"""
+
+_LOWER = (
+    "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+)
+# All pairs that share a shingle, and what can be reached by links.
+_JACCARD_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_WORDS.format(_LOWER)} AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, k FROM (
+    SELECT doc_id, unnest([array_to_string(w[s : s + 4], ' ')
+                           FOR s IN range(1, greatest(len(w) - 3, 2))]) AS k
+    FROM words WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), links AS (
+  SELECT p.x, p.y
+  FROM (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c
+        FROM shingles a JOIN shingles b ON a.k = b.k GROUP BY ALL) AS p
+  JOIN sizes m ON m.doc_id = p.x JOIN sizes n ON n.doc_id = p.y
+  WHERE 100 * c >= 75 * (m.n + n.n - c)
+), reached AS (
+  SELECT x, y FROM links UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x
+)
+SELECT doc_id, coalesce(any_value(n), 0) AS n_shingles, coalesce(min(y), doc_id) AS component_id
+FROM words LEFT JOIN sizes USING (doc_id) LEFT JOIN reached ON x = doc_id GROUP BY doc_id
+"""
+
+
 @registered("op1_html_extraction")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     return html.extract(table(spark, folder, "pages", "page_id", "url", "html"))
@@ -98,13 +150,13 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", "rejected")
 
 
-@registered("op4_substring_dedup")
+@registered("op4_substring_dedup", _SUBSTRINGS_SQL)
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text")
     return substrings.remove_repeats(documents).drop("kept")
 
 
-@registered("op8_jaccard_join")
+@registered("op8_jaccard_join", _JACCARD_SQL)
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return jaccard.cluster(table(spark, folder, "documents", "doc_id", "text"))
 

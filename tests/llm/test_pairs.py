@@ -10,7 +10,8 @@ import pytest
 
 import corpus_pipeline
 from streamlens.llm import components, decontaminate, jaccard, substrings
-from streamlens.llm.queries import QUERIES
+from oracle_check import connect, spark_rows, sql_rows
+from streamlens.llm.queries import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -313,6 +314,11 @@ def test_pipeline_run_equals_its_stages(spark):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, docs.collect()))
 
 
+@pytest.mark.parametrize("name", ["op4_substring_dedup", "op8_jaccard_join"])
+def test_query_equals_its_sql(spark, name):
+    assert spark_rows(QUERIES[name](spark, SMALL)) == sql_rows(connect(SMALL), ORACLE[name])
+
+
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
     assert numbers == list(range(1, 11))
