@@ -31,9 +31,9 @@ from pyspark.sql import functions as F
 from streamlens.llm import arrays
 from streamlens.llm.tables import parallelism
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 # Pieces that a worker remembers, at about 24 bytes each; beyond, it starts anew.
-CACHED_PIECES = 2_000_000
+CACHED_PIECES = 600_000
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
