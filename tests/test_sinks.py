@@ -114,6 +114,11 @@ def test_orc_folder_and_view(spark, tmp_path):
     assert spark.table("orc_view").columns == ["k", "v"]
 
 
+def test_empty_topics_at_the_end_are_none():
+    assert JobConfig(topics="b,a,,").topic_list == ["a", "b"]
+    assert kafka_read_options(JobConfig(topics="a,b,"))["subscribe"] == "a,b"
+
+
 def test_kafka_options():
     cfg = JobConfig(brokers="h1:6667,h2:6667", topics="b,a,b", max_offsets_per_trigger=1000)
     assert kafka_read_options(cfg) == {
