@@ -426,9 +426,9 @@ def late_windows(documents: DataFrame) -> DataFrame:
     later = "bucket int, " + ", ".join(f"{n} binary" for n in _LATER.names[1:])
     found = documents.select("rank", "tag", "text").mapInArrow(_file(buckets), kinds)
     return (
-        found.repartition(buckets, "bucket")
+        found.repartitionById(buckets, "bucket")
         .mapInArrow(_compare(width), later)
-        .repartition(width, "bucket")
+        .repartitionById(width, "bucket")
         .mapInArrow(_gather, "rank long, tag int, spans binary")
     )
 
