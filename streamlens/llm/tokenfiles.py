@@ -256,7 +256,7 @@ def write(documents: DataFrame, path: str, tokenizer: str, end_id: int) -> str:
         "base", F.coalesce(F.sum("tokens").over(before), F.lit(0).cast("long"))
     )
     kind = "part int, docs long, nulls long, tokens long, base long"
-    bases.repartition(parts, "part").mapInArrow(index, kind).write.parquet(f"{path.rstrip('/')}/manifest")
+    bases.repartitionById(parts, "part").mapInArrow(index, kind).write.parquet(f"{path.rstrip('/')}/manifest")
     return dtype
 
 
@@ -291,6 +291,6 @@ def read(spark: SparkSession, path: str, dtype: str) -> DataFrame:
                 )
 
     manifest = spark.read.parquet(f"{path.rstrip('/')}/manifest")
-    return manifest.repartition(parallelism(spark), "part").mapInArrow(
+    return manifest.repartitionById(parallelism(spark), "part").mapInArrow(
         scan, "doc_id long, start long, n_tokens long, ids_crc32 long"
     )
