@@ -40,13 +40,16 @@ HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 # Words of a class or id that mark what is not the article.
 BOILERPLATE = frozenset(
     "ad ads advert adverts advertisement advertising banner sponsor sponsored promo promotion"
-    " sidebar menu menubar nav navbar navigation breadcrumb breadcrumbs footer header masthead"
-    " comment comments disqus reply replies respond notice notices cookie cookies consent gdpr"
-    " popup modal overlay newsletter subscribe subscription signup login share sharing social"
-    " related recommended recommendations widget widgets pagination pager toolbar skip hidden"
-    " alert toc".split()
+    " sidebar menu menubar nav navbar navigation breadcrumb breadcrumbs footer masthead"
+    " comment comments commentlist adsbygoogle disqus reply replies respond notice notices cookie cookies consent gdpr"
+    " popup modal newsletter subscribe subscription signup login share sharing social"
+    " related recommended recommendations widget widgets pagination pager toolbar alert".split()
 )
-ARTICLE_WORDS = frozenset("article content main post entry story text body".split())
+# The same, unless a word of the article stands beside them ("article-header").
+WEAK_BOILERPLATE = frozenset("header hidden overlay skip toc".split())
+ARTICLE_WORDS = frozenset("article content main post entry story".split())
+# Names of layouts that only have such a part ("with-sidebar").
+LAYOUT_WORDS = frozenset("with without no has show hide not".split())
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
@@ -84,12 +87,15 @@ def _is_boilerplate(name: str, raw: str, in_article: bool) -> bool:
         return True
     if re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", attrs.get("style", "").lower()):
         return True
-    words = {
-        w.lower() for key in ("class", "id") for w in _CLASS_WORD.findall(attrs.get(key, ""))
-    }
-    if name in HEADINGS or name in ("p", "b", "i", "em", "strong", "span", "a", "td", "li"):
-        words -= {"header", "text", "body"}
-    return bool(words & BOILERPLATE) and not words & ARTICLE_WORDS - {"text", "body"}
+    marked = False
+    for name_of in (attrs.get("class", "") + " " + attrs.get("id", "")).split():
+        words = {w.lower() for w in _CLASS_WORD.findall(name_of)}
+        if words and words <= ARTICLE_WORDS | {"body", "text"}:
+            return False
+        if not words & LAYOUT_WORDS:
+            weak = words & WEAK_BOILERPLATE and not words & ARTICLE_WORDS and not in_article
+            marked = marked or bool(words & BOILERPLATE or weak)
+    return marked
 
 
 def parse(page: str) -> Node:

@@ -39,6 +39,17 @@ def test_links_do_not_make_an_article():
     assert "Link" not in html.main_text(page)
 
 
+def test_names_of_parts():
+    text = "Enough words, of some length, to be a paragraph of its own."
+    for name in ("comment-content", "post-comments", "main-menu", "sidebarRight", "related_posts", "x ad-slot-3", "Cookie-Notice"):
+        for attr in ("class", "id"):
+            page = f"<body><p>{text}</p><div {attr}='{name}'><p>{text.upper()}</p></div></body>"
+            assert html.main_text(page) == text, name
+    for name in ("content with-sidebar", "no-comments", "article-header", "main", "adele", "readable", "thread"):
+        page = f"<body><div class='{name}'><p>{text}</p></div></body>"
+        assert html.main_text(page) == text, name
+
+
 def test_broken_pages():
     assert html.main_text(None) == html.main_text("") == html.main_text("<!-- x") == ""
     assert html.main_text("just text") == "just text"
