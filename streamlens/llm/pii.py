@@ -1,17 +1,19 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 Base spans are found by pattern and a check (``email``, ``ip``, ``card``,
-``phone``).  Every distinct value found is a protected entity.  The words within
-``REACH`` words of an entity on its line are terms that may reveal it.  Over the
-whole corpus, PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t))) is estimated from
-document counts; a term is disclosive for an entity if PMI >= IC(e) / alpha, with
-IC(e) = log2(N / n(e)), and at least ``MIN_TOGETHER`` documents hold both.  With
-alpha = 1 only terms that (nearly) never occur without the entity reach it.
-Disclosive terms near their entity become spans of kind ``term``.
+``phone``).  Every distinct value found is a protected entity, and every word of a
+document that holds one, on any line, is a term that may reveal it.  Over the whole
+corpus, PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t))) is taken from the numbers of
+documents that hold them anywhere; a term is disclosive for an entity if
+PMI >= IC(e) / alpha, with IC(e) = log2(N / n(e)).  With alpha = 1 only terms that never
+occur without the entity reach it.  So that chance does not, the distinct texts that
+hold both must be worth ``EVIDENCE`` bits, each IC(e): a single one is enough from
+2 ** EVIDENCE documents on.  Disclosive terms become spans of kind ``term`` wherever
+they stand in a document with their entity, outside base spans.
 
 Defined results: a null or empty text has no spans; rows that repeat a doc_id are
-judged one by one, and a repeated row counts again in the statistics; a null
-doc_id is kept; extra columns are ignored.
+judged one by one, and a repeated row counts again in the numbers of documents, but is
+no further evidence; a null doc_id is kept; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -29,8 +31,8 @@ from streamlens.llm import arrays
 from streamlens.llm.tables import kept
 
 KINDS = ("email", "ip", "card", "phone", "term")
-REACH = 4
-MIN_TOGETHER = 3
+# Bits that the texts with entity and term must be worth.
+EVIDENCE = 7.0
 ALPHA = 1.0
 SLICE_BYTES = 4 << 20
 
@@ -42,7 +44,6 @@ _IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]++)(\.[0-9]++)(\.[0-9]++)")
 _CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
 def _emails(text: str) -> Iterator[tuple[int, int]]:
@@ -108,102 +109,77 @@ def _hashes(values: list[str]) -> np.ndarray:
     return split.hashes().view(np.int64)
 
 
-def _near_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words around each entity on its line."""
-    found = []
-    for start, kind, end in spans:
-        left = text.rfind("\n", 0, start) + 1
-        right = text.find("\n", end)
-        right = len(text) if right < 0 else right
-        # A few words need some hundred characters; the window grows until they are whole.
-        size = 256
-        while True:
-            low = max(left, start - size)
-            before = list(_WORD.finditer(text, low, start))
-            if low == left or len(before) > REACH:
-                break
-            size *= 4
-        before = before[-REACH:]
-        after = []
-        for word in _WORD.finditer(text, end, right):
-            after.append(word)
-            if len(after) == REACH:
-                break
-        entity = _entity(kind, text[start:end])
-        for word in (*before, *after):
-            a, b = word.span()
-            while a < b and not text[a].isalnum():
-                a += 1
-            while b > a and not text[b - 1].isalnum():
-                b -= 1
-            if b - a > 1 and not any(s < b and a < e for s, _, e in spans):
-                found.append((entity, text[a:b].lower(), a, b))
-    return found
+_SPAN = "struct<start: long, kind: int, end: long>"
+_SPANS = pa.list_(pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())]))
 
 
-_SPAN = "struct<start: long, kind: int, end: long>"
-_TERM = "struct<entity: long, term: long, start: long, end: long>"
+def _terms(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash) of every distinct term of every text.
+
+    Terms are words, lower-cased and stripped of what is no letter or digit at
+    their ends.
+    """
+    hashes, bounds, filled = _term_hashes(texts)
+    rows = np.repeat(np.arange(len(texts)), np.diff(bounds))
+    hashes, rows = hashes[filled], rows[filled]
+    order = np.lexsort((hashes, rows))
+    hashes, rows = hashes[order], rows[order]
+    new = np.ones(len(hashes), dtype=bool)
+    new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
+    return rows[new], hashes[new]
+
+
+def _term_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hash of every word, the bounds of rows, and which words are terms."""
+    words = arrays.split_words(pa.array([t.lower() for t in texts], pa.string()))
+    starts, ends = _stripped(words)
+    hashes = arrays.Words(words.data, starts, ends, words.bounds).hashes()
+    return hashes.view(np.int64), words.bounds, ends - starts > 1
 
 
 def find(documents: DataFrame) -> DataFrame:
-    """Per document its base spans, and the terms near its entities with their hashes."""
+    """Per document its base spans; with any, also its text and its distinct entities and terms."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.sliced(batches, "text", SLICE_BYTES):
-            spans_of, terms_of = [], []
-            for text in batch.column("text").fill_null("").to_pylist():
-                spans = base_spans(text)
-                near = _near_terms(text, spans) if spans else []
-                entities = _hashes([n[0] for n in near])
-                terms = _hashes([n[1] for n in near])
-                spans_of.append([{"start": a, "kind": k, "end": b} for a, k, b in spans])
-                terms_of.append(
-                    [
-                        {"entity": e, "term": t, "start": a, "end": b}
-                        for e, t, (_, _, a, b) in zip(entities.tolist(), terms.tolist(), near)
-                    ]
-                )
-            span = pa.struct([("start", pa.int64()), ("kind", pa.int32()), ("end", pa.int64())])
-            term = pa.struct([(n, pa.int64()) for n in ("entity", "term", "start", "end")])
+            texts = batch.column("text").fill_null("").to_pylist()
+            spans = [base_spans(t) for t in texts]
+            holding = [i for i, own in enumerate(spans) if own]
+            rows, terms = _terms([texts[i] for i in holding])
+            ends = np.searchsorted(rows, np.arange(len(holding) + 1))
+            terms_of: list = [None] * len(texts)
+            entities_of: list = [None] * len(texts)
+            for k, i in enumerate(holding):
+                terms_of[i] = terms[ends[k] : ends[k + 1]]
+                entities_of[i] = _hashes(sorted({_entity(kind, texts[i][a:b]) for a, kind, b in spans[i]}))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
-                    pa.array(spans_of, pa.list_(span)),
-                    pa.array(terms_of, pa.list_(term)),
+                    batch.column("tag"),
+                    pa.array([t if own else None for t, own in zip(texts, spans)], pa.string()),
+                    pa.array([[{"start": a, "kind": k, "end": b} for a, k, b in own] for own in spans], _SPANS),
+                    pa.array(entities_of, pa.list_(pa.int64())),
+                    pa.array(terms_of, pa.list_(pa.int64())),
                 ],
-                names=["doc_id", "base", "near"],
+                names=["doc_id", "tag", "text", "base", "entities", "terms"],
             )
 
     kind = dict(documents.dtypes)["doc_id"]
-    return documents.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, base array<{_SPAN}>, near array<{_TERM}>"
+    return documents.select("doc_id", F.xxhash64("text").alias("tag"), "text").mapInArrow(
+        run,
+        f"doc_id {kind}, tag long, text string, base array<{_SPAN}>, entities array<long>, terms array<long>",
     )
 
 
 def term_counts(documents: DataFrame) -> DataFrame:
-    """(term hash, documents that hold the term) over all words; counted per batch first.
-
-    Words are lower-cased and stripped of what is no letter or digit at their
-    ends, as near an entity.
-    """
+    """(term hash, documents that hold the term) over all words; counted per batch first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in arrays.sliced(batches, "text", SLICE_BYTES):
-            texts = [t.lower() for t in batch.column("text").fill_null("").to_pylist()]
-            words = arrays.split_words(pa.array(texts, pa.string()))
-            starts, ends = _stripped(words)
-            hashes = arrays.Words(words.data, starts, ends, words.bounds).hashes()
-            rows = np.repeat(np.arange(len(texts)), np.diff(words.bounds))
-            filled = ends - starts > 1
-            hashes, rows = hashes[filled], rows[filled]
-            order = np.lexsort((rows, hashes))
-            hashes, rows = hashes[order], rows[order]
-            new = np.ones(len(hashes), dtype=bool)
-            new[1:] = (hashes[1:] != hashes[:-1]) | (rows[1:] != rows[:-1])
-            found, counts = np.unique(hashes[new], return_counts=True)
+            _, terms = _terms(batch.column("text").fill_null("").to_pylist())
+            found, counts = np.unique(terms, return_counts=True)
             yield pa.RecordBatch.from_arrays(
-                [pa.array(found.view(np.int64)), pa.array(counts.astype(np.int64))],
-                names=["term", "n"],
+                [pa.array(found), pa.array(counts.astype(np.int64))], names=["term", "n"]
             )
 
     counted = documents.select("text").mapInArrow(run, "term long, n long")
@@ -230,28 +206,78 @@ def _stripped(words: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
-def disclosive(found: DataFrame, documents: DataFrame, alpha: float = ALPHA) -> DataFrame:
+def together(found: DataFrame, documents: DataFrame, n_all: int, alpha: float = ALPHA) -> DataFrame:
+    """(row, tag, entity, term, n_term) of every term beside an entity that may be disclosive.
+
+    Only documents with an entity hold pairs.  A pair has no more documents than its
+    term has beside any entity, which leaves out words that are common elsewhere.
+    """
+    # n(e, t) / n(t) >= (n(e) / N) ** (1 - 1 / alpha), least for n(e) = 1.
+    share = min(1.0, max(n_all, 1) ** (1 / alpha - 1)) - 1e-9
+    holding = found.filter("text IS NOT NULL")
+    beside = holding.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
+    possible = term_counts(documents).join(beside, "term").filter(F.col("n_beside") >= share * F.col("n_term"))
+    possible = kept(possible.select("term", "n_term"), "pii-terms")
+    terms = holding.select("row", "tag", "entities", F.explode("terms").alias("term"))
+    # Written before pairs are counted, so that Spark can split a term of very many documents.
+    return kept(
+        terms.join(possible, "term").select("row", "tag", F.explode("entities").alias("entity"), "term", "n_term"),
+        "pii-pairs",
+    )
+
+
+def disclosive(found: DataFrame, beside: DataFrame, n_all: int, alpha: float = ALPHA) -> DataFrame:
     """(entity, term) pairs whose mutual information reaches the disclosure threshold."""
-    near = found.select("doc_id", F.explode("near").alias("x")).select("x.entity", "x.term", "doc_id")
-    total = documents.agg(F.count(F.lit(1)).alias("n_all"))
-    pairs = near.distinct().groupBy("entity", "term").agg(F.count(F.lit(1)).alias("n_both"))
-    entities = near.select("entity", "doc_id").distinct().groupBy("entity").agg(
+    # Rows of equal text are counted, but are one text of evidence.
+    texts = beside.groupBy("entity", "term", "n_term", "tag").agg(F.count(F.lit(1)).alias("n"))
+    pairs = kept(
+        texts.groupBy("entity", "term", "n_term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")),
+        "pii-together",
+    )
+    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_entity")
     )
-    enough = kept(pairs.filter(F.col("n_both") >= MIN_TOGETHER), "pii-pairs")
-    wanted = enough.select("term").distinct()
-    counts = term_counts(documents).join(wanted, "term")
-    information = F.log2(F.col("n_all") / F.col("n_entity"))
-    pmi = F.log2(F.col("n_both") * F.col("n_all") / (F.col("n_entity") * F.col("n_term")))
+    entities = kept(entities, "pii-entities")
+    information = F.log2(F.lit(float(n_all)) / F.col("n_entity"))
+    pmi = F.log2(F.col("n_both") * F.lit(float(n_all)) / (F.col("n_entity") * F.col("n_term")))
     return (
-        enough.join(entities, "entity")
-        .join(counts, "term")
-        .crossJoin(F.broadcast(total))  # one row
+        pairs.join(entities, "entity")
         .filter(pmi >= information / alpha - 1e-9)
+        .filter(F.col("n_texts") * information >= EVIDENCE)
         .select("entity", "term", pmi.alias("pmi"))
     )
 
 
+def _located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The places of a row's disclosive terms in its text, outside its base spans."""
+    for batch in arrays.sliced(batches, "text", SLICE_BYTES):
+        texts = batch.column("text").fill_null("").to_pylist()
+        base = batch.column("base").to_pylist()
+        wanted = batch.column("revealing").to_pylist()
+        rows = [i for i, own in enumerate(wanted) if own]
+        places: list = [[] for _ in texts]
+        hashes, bounds, filled = _term_hashes([texts[i] for i in rows])
+        # Lower case may be longer, but has the same words with the same signs at their ends.
+        words = arrays.split_words(pa.array([texts[i] for i in rows], pa.string()))
+        starts, ends = _stripped(words)
+        chars = np.append(0, np.cumsum((words.data & 0xC0) != 0x80))
+        _, offsets = arrays.flat_bytes(pa.array([texts[i] for i in rows], pa.string()))
+        for k, i in enumerate(rows):
+            own = slice(bounds[k], bounds[k + 1])
+            hit = filled[own] & np.isin(hashes[own], wanted[i])
+            first = chars[offsets[k]]
+            a, b = chars[starts[own][hit]] - first, chars[ends[own][hit]] - first
+            # Base spans may overlap: what starts before a word's end, and the farthest end of that.
+            low = np.array([s["start"] for s in base[i]])
+            high = np.append(0, np.maximum.accumulate([s["end"] for s in base[i]]))
+            free = high[np.searchsorted(low, b)] <= a
+            places[i] = [{"start": x, "kind": 4, "end": y} for x, y in zip(a[free].tolist(), b[free].tolist())]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), batch.column("base"), pa.array(places, _SPANS)],
+            names=["doc_id", "base", "places"],
+        )
+
+
 def _joined(spans: Column) -> Column:
     names = F.array(*(F.lit(k) for k in KINDS))
     return F.array_join(
@@ -268,27 +294,33 @@ def _joined(spans: Column) -> Column:
 def detect(documents: DataFrame, alpha: float = ALPHA) -> DataFrame:
     """Base spans and disclosive terms of every document."""
     found = kept(
-        find(documents).withColumn("row", F.expr("uuid()")), "pii-found"
+        find(documents).withColumn("row", F.monotonically_increasing_id()), "pii-found"
     )  # written once, so a row keeps its name
-    revealing = disclosive(found, documents, alpha)
+    n_all = found.count()
+    beside = together(found, documents, n_all, alpha)
+    revealing = kept(disclosive(found, beside, n_all, alpha), "pii-revealing")
     terms = (
-        found.select("row", F.explode("near").alias("x"))
-        .select("row", "x.*")
+        beside.select("row", "entity", "term")
         .join(revealing, ["entity", "term"])
-        .select("row", F.struct("start", F.lit(4).alias("kind"), "end").alias("span"))
         .groupBy("row")
-        .agg(F.collect_set("span").alias("terms"))
+        .agg(F.collect_set("term").alias("revealing"))
+    )
+    kind = dict(documents.dtypes)["doc_id"]
+    located = (
+        found.select("row", "doc_id", "text", "base")
+        .join(terms, "row", "left")
+        .select("doc_id", "text", "base", "revealing")
+        .mapInArrow(_located, f"doc_id {kind}, base array<{_SPAN}>, places array<{_SPAN}>")
     )
     counts = [
         F.expr(f"cast(size(filter(base, s -> s.kind = {k})) AS bigint)").alias(f"n_{KINDS[k]}")
         for k in range(4)
     ]
-    every = F.array_sort(F.concat("base", F.coalesce("terms", F.expr(f"cast(array() as array<{_SPAN}>)"))))
-    return found.join(terms, "row", "left").select(
+    return located.select(
         "doc_id",
         *counts,
         F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
-        _joined(every).alias("spans"),
+        _joined(F.array_sort(F.concat("base", "places"))).alias("spans"),
     )
 
 

@@ -1,6 +1,7 @@
 """Language ID, personal data, licenses, token files and source mixing."""
 
 import hashlib
+import math
 import random
 import re
 import zlib
@@ -105,6 +106,57 @@ def test_terms_that_only_stand_beside_an_entity(spark, docs):
     assert pii.redact(text, [(a, "term", a + 7), (b, "ip", b + 8)]).endswith("then  wrote from <ip> today")
 
 
+def term_words(row, text):
+    spans = [x.split(":") for x in row.spans.split(",") if x.startswith("term:")]
+    return {text[int(a) : int(b)] for _, a, b in spans}
+
+
+def test_terms_anywhere_in_documents_of_few(spark, docs):
+    plain = "some plain words that all rows hold"
+    rows = [(i, f"{plain} row{i} and nothing else") for i in range(290)]
+    one = f"Name: \u0130 Zarquon,\nEmail: a@b.co {plain} far beyond it Vogon (a@b.co) 10.0.0.9, Trillian"
+    rows += [(300, one), (301, f"Trillian {plain}")]
+    # An entity of two documents; a term of both, on another line, and one of another entity's too.
+    rows += [(400, f"Marvin!\n{plain}\n10.1.2.3"), (401, f"10.1.2.3 {plain} then {plain} MARVIN Slarti")]
+    rows += [(402, f"Slarti {plain} 10.7.7.7")]
+    found = {r.doc_id: r for r in pii.detect(docs(*rows)).collect()}
+    by = {i: term_words(found[i], text) for i, text in rows}
+    assert by[300] == {"Name", "Zarquon", "Email", "far", "beyond", "it", "Vogon", "\u0130"} and found[300].n_email == 2
+    assert by[400] == {"Marvin"} and by[401] == {"then", "MARVIN"} and by[402] == set()
+    assert not any(by[i] for i in range(290)) and not by[301]
+
+
+def test_terms_of_the_table_equal_brute_force(spark):
+    rows = spark.read.parquet(f"{SMALL}/documents.parquet").select("doc_id", "text").collect()
+    held, with_term, values = {}, {}, {}
+    for doc_id, text in rows:
+        words = re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower())
+        terms = {re.sub(r"^[\x00-/:-@\[-`{-\x7f]+|[\x00-/:-@\[-`{-\x7f]+$", "", w) for w in words}
+        for t in terms:
+            with_term.setdefault(t, set()).add(doc_id)
+        values[doc_id] = {pii._entity(k, text[a:b]) for a, k, b in pii.base_spans(text or "")}
+        for e in values[doc_id]:
+            held.setdefault(e, set()).add(doc_id)
+    texts = {d: t for d, t in rows}
+    least = lambda e: -(-pii.EVIDENCE // math.log2(len(rows) / len(held[e])))
+    found = QUERIES["op9_pii"](spark, SMALL).collect()
+    many = 0
+    for r in found:
+        got = {w.lower() for w in term_words(r, texts[r.doc_id] or "")}
+        for t in got:
+            assert any(with_term[t] <= held[e] and len({texts[d] for d in with_term[t]}) >= least(e) for e in values[r.doc_id])
+        many += len(got)
+        if len(values[r.doc_id]) and r.spans:
+            spans = pii.base_spans(texts[r.doc_id])
+            free = list(texts[r.doc_id])
+            for a, _, b in spans:
+                free[a:b] = "0" * (b - a)
+            alone = set(re.findall(r"(?<![^\x20\x09-\x0D])[a-z]{2,}(?![^\x20\x09-\x0D])", "".join(free)))
+            for t in alone - got:
+                assert not any(with_term[t] <= held[e] and len({texts[d] for d in with_term[t]}) >= least(e) for e in values[r.doc_id])
+    assert many > 0
+
+
 def test_base_spans_of_the_table(spark):
     found = {r.doc_id: r for r in QUERIES["op9_pii"](spark, SMALL).collect()}
     for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
