@@ -168,6 +168,41 @@ def test_keep_one(docs):
     assert sorted(r.text for r in only_null) == ["a b c d e f", "other words"]
 
 
+def rows_without_ids(rng):
+    """Near copies of which a third have no id, and ids that are only linked through one without."""
+    rows = [(None if i % 3 == 0 else d, text) for i, (d, text) in enumerate(near_rows(rng, common=False))]
+    chain = [f"chain{i}" for i in range(72)]
+    rows += [(d, " ".join(chain[k : k + 60])) for d, k in ((3001, 0), (None, 6), (3002, 12))]
+    other = [f"other{i}" for i in range(62)]
+    rows += [(None, " ".join(other[k : k + 60])) for k in (0, 1, 1, 1, 2)]
+    # Rows of one id are documents of their own.
+    rows += [(4000, " ".join(f"{w}{i}" for i in range(30))) for w in "abc"]
+    rows += [(None, " ".join(f"{w}{i}" for i in range(29))) for w in "ab"]
+    return rows
+
+
+@pytest.mark.parametrize("task_shingles", [3_000_000, 200])
+def test_clusters_through_rows_without_ids(docs, monkeypatch, task_shingles):
+    monkeypatch.setattr(jaccard, "TASK_SHINGLES", task_shingles)
+    monkeypatch.setattr(jaccard, "PASS_SHINGLES", 3000)
+    rows = rows_without_ids(random.Random(10))
+    want = plain_components(rows)
+    got = jaccard.cluster(docs(*rows)).collect()
+    assert sorted((tuple(r) for r in got), key=str) == want
+    assert (3002, 56, 3001) in want and (None, 56, 3001) in want and (None, 56, None) in want
+
+
+def test_keep_one_of_rows_without_ids(docs):
+    rows = rows_without_ids(random.Random(10))
+    # With ids for all, the last ones for those that have none, every component keeps its least.
+    numbered = [(100_000 + i if d is None else 10 * d + i % 10, text) for i, (d, text) in enumerate(rows)]
+    assert len({d for d, _ in numbered}) == len(rows)
+    kept = {d for d, _, c in plain_components(numbered) if d == c}
+    want = [None if d >= 100_000 else d // 10 for d in kept]
+    got = [r.doc_id for r in jaccard.keep_one(docs(*rows)).collect()]
+    assert Counter(got) == Counter(want) and None in want
+
+
 @pytest.mark.parametrize("count", [2, 3, 50])
 def test_local_join_rebuilds_its_lists(count):
     rng = np.random.default_rng(count)
