@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from streamlens.llm import arrays
 
 UNKNOWN = "und"
-# The bounded training sample: documents of a language, characters of each.
+# The bounded training sample: distinct texts of a language, characters of each.
 SAMPLE_DOCS = 1500
 SAMPLE_CHARS = 2000
 DICTIONARY_BYTES = 60 << 10
@@ -62,23 +62,27 @@ def dictionary(texts: list[str], size: int = DICTIONARY_BYTES) -> bytes:
 
 
 def train(documents: DataFrame, usable: Column, label: str = "lang") -> dict[str, bytes]:
-    """A dictionary per language, from at most ``SAMPLE_DOCS`` documents of each.
+    """A dictionary per language, from about ``SAMPLE_DOCS`` distinct texts of each, or all.
 
     The sample is drawn by hash of the text, so it does not depend on where rows
-    are.  Only languages are counted over all rows; there are few of them.
+    are.  Its share is that of the distinct texts, and a drawn text is taken once,
+    however many copies there are.
     """
     labelled = documents.filter(usable & F.col(label).isNotNull() & F.col("text").isNotNull())
-    counts = {r[label]: r["n"] for r in labelled.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
+    labelled = labelled.withColumn("__hash", F.xxhash64("text"))
+    distinct = labelled.select(label, "__hash").distinct().groupBy(label).agg(F.count(F.lit(1)).alias("n"))
+    counts = {r[label]: r["n"] for r in distinct.collect()}
     if not counts:
         return {}
-    draw = F.pmod(F.xxhash64("text"), F.lit(1 << 30)).cast("double") / float(1 << 30)
+    draw = F.pmod(F.col("__hash"), F.lit(1 << 30)).cast("double") / float(1 << 30)
     share = F.element_at(
         F.create_map(*(x for k, n in sorted(counts.items()) for x in (F.lit(k), F.lit(min(1.0, SAMPLE_DOCS / n))))),
         F.col(label),
     )
     rows = (
         labelled.filter(draw < share)
-        .select(label, F.substring("text", 1, SAMPLE_CHARS).alias("text"))
+        .groupBy(label, "__hash")
+        .agg(F.min(F.substring("text", 1, SAMPLE_CHARS)).alias("text"))
         .collect()
     )
     texts = defaultdict(list)

@@ -53,6 +53,18 @@ def test_language_edge_cases(spark, docs):
     assert langid.classify(table.limit(0), learned).count() == 0
 
 
+def test_sample_of_copied_texts(docs, monkeypatch):
+    monkeypatch.setattr(langid, "SAMPLE_DOCS", 10)
+    taken, build = [], langid.dictionary
+    monkeypatch.setattr(langid, "dictionary", lambda texts: taken.append(sorted(texts)) or build(texts))
+    few = [f"der die das wort{k} ist" for k in range(4)]
+    one = [f"the and of word{k} is" for k in range(6)]
+    rows = [(i, few[i % 4], "de") for i in range(800)] + [(i, one[0], "en") for i in range(800)]
+    rows += [(i, text, "en") for i, text in enumerate(one)]
+    learned = langid.train(docs(*rows), langid.F.lit(True))
+    assert sorted(learned) == ["de", "en"] and taken == [sorted(few), sorted(one)]
+
+
 # --- personal data ------------------------------------------------------------
 
 
