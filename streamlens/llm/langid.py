@@ -6,8 +6,9 @@ each dictionary, in blocks, so that long texts are judged by their language and
 not by their own repetitions; the language with the smallest sum wins.
 
 Texts are compared as lower-case letters; anything else is white space.  A text
-is rejected if it has no letter, or if it has at least ``JUDGED_BYTES`` bytes
-and the runner-up needs less than ``LEAST_MARGIN`` more.
+is rejected if it has no letter, or if the runner-up needs less than
+``LEAST_MARGIN`` more, whatever its length; of a short text that is less than a byte,
+so that equal sizes are rejected.
 
 Defined results: a null or empty text, one without any letter, and any text when
 no language could be learned, is ``und`` with score 0 and rejected.  Equal sizes
@@ -35,7 +36,6 @@ DICTIONARY_BYTES = 60 << 10
 LEVEL = 9
 BLOCK_BYTES = 2048
 LEAST_MARGIN = 0.005
-JUDGED_BYTES = 400
 SHORT_BYTES = 48
 SLICE_BYTES = 4 << 20
 
@@ -127,8 +127,7 @@ class Classifier:
             return self._languages[0], 1.0, False
         best, second = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))[:2]
         margin = (sizes[second] - sizes[best]) / sizes[second]
-        narrow = len(data) >= JUDGED_BYTES and margin < LEAST_MARGIN
-        return self._languages[best], min(1.0, 0.5 + 2.5 * margin), narrow
+        return self._languages[best], min(1.0, 0.5 + 2.5 * margin), margin < LEAST_MARGIN
 
 
 def classify(documents: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:

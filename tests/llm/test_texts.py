@@ -53,6 +53,13 @@ def test_language_edge_cases(spark, docs):
     assert langid.classify(table.limit(0), learned).count() == 0
 
 
+def test_short_texts_are_judged():
+    judge = langid.Classifier({"de": langid.dictionary(["der die das und nicht ein"]), "en": langid.dictionary(["the and of with this"])})
+    found = {t: judge(t) for t in ("zqx", "jk vw jk", "the and of this with the", "nicht ein und die das der")}
+    assert [found[t][2] for t in found] == [True, True, False, False]
+    assert found["zqx"][1] == 0.5
+
+
 def test_sample_of_copied_texts(docs, monkeypatch):
     monkeypatch.setattr(langid, "SAMPLE_DOCS", 10)
     taken, build = [], langid.dictionary
