@@ -9,8 +9,8 @@ bases are prefix sums over the parts.
 
 Defined results: a null or empty text is the end id alone; a null doc_id comes
 first and stays null; rows with equal doc_id follow each other by text; an empty
-table gives no parts.  Strings of special tokens inside a text are ordinary text.
-Extra columns are ignored.
+table gives no parts.  The string of a special token inside a text is that token, as
+the tokenizer has it by default.  Extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ def piece_starts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
     The byte-level pre-tokenizer never joins anything but white space to the white
     space behind it, nor a letter to a full stop or comma behind it.  Fewer cuts are
-    as right: none is made behind what may be white space beyond ASCII.
+    as right: none is made behind what may be white space beyond ASCII.  The special
+    token of the vocabulary holds none of the characters at which pieces are cut.
     """
     cut = np.zeros(len(data), dtype=bool)
     if len(data) > 1:
@@ -74,7 +75,6 @@ class PieceEncoder:
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True
         vocabulary = self._tokenizer.get_vocab(with_added_tokens=True)
         self._width = np.zeros(max(vocabulary.values()) + 1, dtype=np.int64)
         for token, at in vocabulary.items():

@@ -248,6 +248,22 @@ def test_token_files_read_back(spark, docs):
     assert token_report(docs(*rows).limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("dtype", ["<u2", "<u4"])
+def test_special_token_inside_a_text(dtype):
+    import pyarrow as pa
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    encoder, tokenizer = tokenfiles.PieceEncoder(path, dtype), Tokenizer.from_file(path)
+    special, rng = "<|endoftext|>", random.Random(4)
+    pieces = [special, special, "a", " ", "  ", "\n", ".", ",", "\xa0", "é", "<|endof", "text|>", "word", " <", "|>"]
+    texts = [special, f"{special}{special}", f"one {special} two", f"one{special}.two, {special}  "]
+    texts += ["".join(rng.choice(pieces) for _ in range(rng.randint(0, 30))) for _ in range(300)]
+    ids, counts = encoder.encode(pa.array(texts))
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [50256] and counts.tolist() == [len(w) for w in want]
+    assert ids.tolist() == [x for w in want for x in w]
+
+
 def test_encoder_that_forgets(monkeypatch):
     import pyarrow as pa
 
