@@ -1,8 +1,7 @@
 import pytest
 
 import __spark_entry__ as contract
-from conftest import SMALL
-from oracle_check import connect, spark_rows, sql_rows
+from oracle_check import SMALL, connect, spark_rows, sql_rows
 
 LLM = {n for n in contract.queries() if n.startswith("op") and n[2].isdigit() or n == "pipeline"}
 # Beyond SQL; tests/llm compares them with brute force.
