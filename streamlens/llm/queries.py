@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
+from streamlens.llm import audit, decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
 from streamlens.llm.tables import table
 from streamlens.sources.scratch import fresh_folder
 
@@ -166,3 +166,9 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "text")
     found = decontaminate.find(documents, table(spark, folder, "benchmark", "item_id", "text"))
     return found.select("doc_id", F.inline("leaks"))
+
+
+@registered("op11_filter_audit", audit.SQL)
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents", "doc_id", "source", "text")
+    return audit.report(documents, table(spark, folder, "labels", "doc_id", "quality", "toxic"))
