@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import audit, decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles
+from streamlens.llm import audit, decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles, urls
 from streamlens.llm.tables import table
 from streamlens.sources.scratch import fresh_folder
 
@@ -172,3 +172,10 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents", "doc_id", "source", "text")
     return audit.report(documents, table(spark, folder, "labels", "doc_id", "quality", "toxic"))
+
+
+@registered("op13_url_filter")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    model = urls.train(urls.labelled(spark))
+    found = urls.judge(table(spark, folder, "pages", "page_id", "url"), model)
+    return found.select("page_id", "host", "path", "rule", "verdict", "score")
