@@ -9,7 +9,7 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from streamlens.llm import audit, decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, substrings, tokenfiles, urls
+from streamlens.llm import audit, decontaminate, html, jaccard, langid, licenses, mixing, neighbours, pii, prefixtrie, substrings, tokenfiles, urls
 from streamlens.llm.tables import table
 from streamlens.sources.scratch import fresh_folder
 
@@ -179,3 +179,50 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     model = urls.train(urls.labelled(spark))
     found = urls.judge(table(spark, folder, "pages", "page_id", "url"), model)
     return found.select("page_id", "host", "path", "rule", "verdict", "score")
+
+
+# Every prefix of every rebuilt conversation, and every node below every node.
+_TRIE_SQL = """
+WITH turns AS (
+  SELECT conv_id, turn, length(coalesce(text, '')) AS chars,
+         sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, ''))) AS id
+  FROM conversations WHERE conv_id IS NOT NULL
+), own AS (
+  SELECT conv_id, list({'id': id, 'chars': chars} ORDER BY turn NULLS FIRST, id) AS t,
+         list_reduce(list_concat([4294967295], list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: ascii(c))),
+           lambda crc, byte: list_reduce(list_concat([xor(crc, byte)], [0, 0, 0, 0, 0, 0, 0, 0]),
+             lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS crc
+  FROM turns GROUP BY conv_id
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(b.t, [])[: xor(a.crc, 4294967295) % 6],
+                                a.t[xor(a.crc, 4294967295) % 6 + 1 :]) AS t
+  FROM own a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, len(t) AS n_turns, d,
+         md5(array_to_string(list_transform(t[: d], lambda x: x.id), ',')) AS k,
+         md5(array_to_string(list_transform(t[: d - 1], lambda x: x.id), ',')) AS up,
+         CASE WHEN d = 0 THEN 0 ELSE t[d].chars END AS chars
+  FROM (SELECT conv_id, t, unnest(range(len(t) + 1)) AS d FROM rebuilt)
+), nodes AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs,
+         any_value(CASE WHEN d > 0 THEN up END) AS up, (count(*) - 1) * any_value(chars) AS saved,
+         sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id)
+                         FILTER (n_turns = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY d, k
+), full_nodes AS (
+  SELECT n.*, (SELECT count(*) FROM nodes c WHERE c.d = n.d + 1 AND c.up = n.k) AS n_children FROM nodes n
+), below AS (
+  SELECT a.d, a.k, sum(v.saved) AS saved_tokens, count(*) FILTER (v.n_children = 0) AS n_leaves
+  FROM full_nodes v JOIN prefixes p ON p.conv_id = v.conv_id AND p.d <= v.d
+  JOIN nodes a ON a.d = p.d AND a.k = p.k GROUP BY a.d, a.k
+)
+SELECT n.conv_id, n.d AS depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children,
+       b.n_leaves, CAST(b.saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM full_nodes n JOIN below b ON b.d = n.d AND b.k = n.k
+LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.up
+"""
+
+
+@registered("op12_prefix_trie", _TRIE_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return prefixtrie.nodes(table(spark, folder, "conversations", "conv_id", "turn", "role", "text"))
