@@ -7,7 +7,7 @@ from typing import Sequence
 
 MALFORMED_POLICIES = ("fail", "drop", "quarantine")
 SOLVERS = ("exact", "sgd")
-SEMANTICS = ("replace_batch", "append")
+SEMANTICS = ("replace_batch", "append", "logged")
 TABLE_SOURCES = ("catalog", "orc")
 
 

@@ -6,11 +6,14 @@ per task, whatever the number of rows or groups.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+MOMENTS = ("n", "mx", "my", "sxx", "syy", "sxy")
+
 
 def moment_aggregates(feature: Column, label: Column) -> list[Column]:
     """Aggregates ``n mx my sxx syy sxy`` (means, population variances, covariance)."""
@@ -24,6 +27,42 @@ def moment_aggregates(feature: Column, label: Column) -> list[Column]:
     ]
 
 
+def merge_moments(stored: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Moments of the union of samples, from rows of ``MOMENTS``; one row per ``by``.
+
+    The means come first and the spreads are taken about them, so nothing large cancels, however
+    far the means lie apart.  Rows without samples count for nothing; a group of only such rows,
+    and an empty input, have no row.  Null keys are one group.
+    """
+    filled = stored.filter(F.col("n") > 0).select(*by, *MOMENTS)
+    total = F.sum("n")
+    means = filled.groupBy(*by).agg(
+        total.alias("__n"),
+        (F.sum(F.col("n") * F.col("mx")) / total).alias("__mx"),
+        (F.sum(F.col("n") * F.col("my")) / total).alias("__my"),
+    )
+    if by:
+        keyed = means.select(*(F.col(c).alias(f"__by_{i}") for i, c in enumerate(by)), "__n", "__mx", "__my")
+        same = [F.col(c).eqNullSafe(F.col(f"__by_{i}")) for i, c in enumerate(by)]
+        about = filled.join(keyed, same)
+    else:
+        # One row, whatever the input.
+        about = filled.crossJoin(F.broadcast(means))
+    dx, dy = F.col("mx") - F.col("__mx"), F.col("my") - F.col("__my")
+
+    def spread(name: str, apart: Column) -> Column:
+        return (F.sum(F.col("n") * (F.col(name) + apart)) / total).alias(name)
+
+    return about.groupBy(*by).agg(
+        total.alias("n"),
+        F.first("__mx").alias("mx"),
+        F.first("__my").alias("my"),
+        spread("sxx", dx * dx),
+        spread("syy", dy * dy),
+        spread("sxy", dx * dy),
+    ).filter("n > 0")
+
+
 @dataclass(frozen=True)
 class Moments:
     """The moment columns of a row; named fields keep the formulas readable."""

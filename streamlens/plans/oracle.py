@@ -116,23 +116,23 @@ _METRICS = (
 )
 
 
-def _day_end(direction: str) -> str:
-    """Prediction and label of the first or last reading of every day."""
+def _day_end(direction: str, readings: str = _READINGS) -> str:
+    """Prediction and label of the first or last reading of every batch, or day."""
     return f"""
 SELECT s.batch_id, f.weight * s.x + f.intercept AS prediction, s.y AS label
 FROM (SELECT *, row_number() OVER (PARTITION BY batch_id ORDER BY topic {direction},
              "partition" {direction}, "offset" {direction}, pos {direction}) AS r
-      FROM ({_READINGS}) AS e) AS s
-JOIN ({_fit(_READINGS, 'batch_id')}) AS f ON s.batch_id = f.batch_id
+      FROM ({readings}) AS e) AS s
+JOIN ({_fit(readings, 'batch_id')}) AS f ON s.batch_id = f.batch_id
 WHERE s.r = 1
 """
 
 
-def _pair(direction: str) -> str:
+def _pair(direction: str, readings: str = _READINGS) -> str:
     return (
         "SELECT batch_id, round(prediction, 6) AS prediction, label,"
         " '(' || CAST(round(prediction, 6) AS VARCHAR) || ',' || CAST(label AS VARCHAR) || ')'"
-        f" AS value FROM ({_day_end(direction)}) AS e"
+        f" AS value FROM ({_day_end(direction, readings)}) AS e"
     )
 
 
@@ -226,6 +226,16 @@ _SPLIT = (
 
 _DOCUMENT_TOKENS = _tokens("documents", "doc_id, lang", "text")
 
+_SEVEN_DAYS = (
+    f"SELECT batch_id - back AS batch_id, x, y FROM ({_READINGS}) AS s, range(7) AS b(back)"
+)
+_FOUR_BATCHES = f"SELECT * REPLACE (batch_id % 4 AS batch_id) FROM ({_READINGS}) AS s"
+_TWO_BATCHES = f'SELECT * REPLACE (CAST("offset" % 2 AS BIGINT) AS batch_id) FROM ({_READINGS}) AS s'
+_TENTH_DAYS = (
+    f"SELECT x, y FROM ({_READINGS}) AS s"
+    " WHERE day(DATE '1970-01-01' + CAST(batch_id AS INTEGER)) BETWEEN 10 AND 19"
+)
+
 ORACLE: dict[str, str] = {
     "nearby_top_rated": _TOP,
     "nearby_all_groups": _NEARBY,
@@ -388,4 +398,22 @@ ORACLE: dict[str, str] = {
         'SELECT round(arg_min(prediction, "offset"), 6) AS prediction,'
         f' arg_min(label, "offset") AS label FROM ({_PART_PREDICTIONS}) AS p'
     ),
+    "stream_logged_batches": (
+        'SELECT batch_id AS day, "offset", pos, y AS label, x AS feature'
+        f" FROM ({_READINGS}) AS s"
+    ),
+    "sliding_fit_from_store": (
+        f"SELECT batch_id, {_MODEL} FROM ({_fit(_SEVEN_DAYS, 'batch_id')}) AS f"
+    ),
+    "fit_of_batch_from_store": (
+        f"SELECT batch_id, {_MODEL} FROM ({_fit(_TWO_BATCHES, 'batch_id')}) AS f"
+    ),
+    "fit_of_days_from_store": f"SELECT {_MODEL} FROM ({_fit(_TENTH_DAYS)}) AS f WHERE n > 0",
+    "stream_late_rows": (
+        'SELECT topic, "partition", "offset", pos, y AS label, x AS feature'
+        f' FROM ({_READINGS}) AS s JOIN events ON event_id = "offset" WHERE "offset" % 7 = 0'
+        " AND ts < (SELECT max(ts) - INTERVAL 1 DAY FROM events WHERE event_id % 7 <> 0)"
+    ),
+    "stream_late_rows_merged": _DAY_FIT,
+    "stream_published_once": f"SELECT value FROM ({_pair('ASC', _FOUR_BATCHES)}) AS p",
 }

@@ -6,15 +6,18 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from streamlens.config import JobConfig
 from streamlens.functions.text import pair_text
 from streamlens.functions.time import epoch_day, utc_wall_clock
-from streamlens.operators import lookup, regression, samples, stats, tokens
+from streamlens.operators import lookup, moment_store, regression, samples, stats, tokens
 from streamlens.plans import mapping as mp
 from streamlens.sinks.batches import RUN_KEYS, FolderSink
+from streamlens.sinks.log import LoggedFolder
+from streamlens.sinks.outbox import PublishOnce, TopicFolder
 from streamlens.sources.scratch import fresh_folder, settle
 from streamlens.sources.streams import replay_source
 from streamlens.sources.tables import (
@@ -23,7 +26,7 @@ from streamlens.sources.tables import (
     orc_table,
     parquet_table,
 )
-from streamlens.streaming import windows
+from streamlens.streaming import late, windows
 from streamlens.streaming.job import BatchJob, Outputs, run_job, start_job
 
 MODEL_DOUBLES = ("weight", "intercept", "initial_loss", "final_loss")
@@ -555,6 +558,139 @@ def stream_many_batches(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(found, *MODEL_DOUBLES, "correlation", "mse", "r2", "avg_rating")
 
 
+def _samples_by_file(spark: SparkSession, folder: str, file: Column, base: str) -> DataFrame:
+    """The samples of the events as a stream, one micro-batch per value of ``file``."""
+    found = mp.event_samples(spark, folder).withColumn("file", file)
+    found.repartition("file").write.partitionBy("file").parquet(f"{base}/in")
+    schema = found.drop("file").schema
+    return replay_source(spark, f"{base}/in/*", schema, max_files_per_trigger=1)
+
+
+def stream_logged_batches(spark: SparkSession, folder: str) -> DataFrame:
+    """Batches of a day each in a logged folder: compacted half-way, one written again after."""
+    base = fresh_folder(spark, "logged")
+    stream = _samples_by_file(spark, folder, F.col("batch_id"), base)
+    columns = stream.select("batch_id", "offset", "pos", "label", "feature").toDF(
+        "day", "offset", "pos", "label", "feature"
+    )
+    sink = LoggedFolder(f"{base}/samples", columns.schema)
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        sink.write(batch, batch_id)
+        if batch_id == 15:
+            sink.compact(spark)
+
+    query = (
+        columns.writeStream.foreachBatch(store)
+        .option("checkpointLocation", f"{base}/checkpoint")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    sink.write(sink.read(spark).filter("batch_id = 3"), 3)
+    return sink.read(spark).drop(*RUN_KEYS)
+
+
+def _two_batches(spark: SparkSession, folder: str) -> moment_store.MomentStore:
+    """A store of daily moments from two batches of every day."""
+    store = moment_store.MomentStore.below(fresh_folder(spark, "moments"))
+    found = mp.event_samples(spark, folder)
+    for part in (0, 1):
+        store.add(found.filter(F.col("offset") % 2 == part), "timestamp", part)
+    return store
+
+
+def sliding_fit_from_store(spark: SparkSession, folder: str) -> DataFrame:
+    """Fits of seven days, one per day, from stored moments."""
+    stored = _two_batches(spark, folder).read(spark)
+    fitted = moment_store.sliding_fit(stored, "7 days", "1 day", mp.REG_PARAM)
+    return _day_models(fitted)
+
+
+def fit_of_batch_from_store(spark: SparkSession, folder: str) -> DataFrame:
+    """A fit of each stored batch, all its days together."""
+    stored = _two_batches(spark, folder).read(spark)
+    fitted = moment_store.stored_fit(stored, mp.REG_PARAM, ("batch_id",))
+    return mp.rounded(fitted, *MODEL_DOUBLES)
+
+
+def fit_of_days_from_store(spark: SparkSession, folder: str) -> DataFrame:
+    """One fit of all days from the tenth of a month to its nineteenth."""
+    stored = _two_batches(spark, folder).read(spark)
+    days = F.dayofmonth(utc_wall_clock(F.col("slot"))).between(10, 19)
+    return mp.rounded(moment_store.stored_fit(stored.filter(days), mp.REG_PARAM), *MODEL_DOUBLES)
+
+
+def _with_late_files(spark: SparkSession, folder: str) -> late.LateKeeper:
+    """Every seventh event comes after all others; the stream is started again for them."""
+    base = fresh_folder(spark, "late")
+    found = mp.event_samples(spark, folder).drop("batch_id")
+    keeper = late.LateKeeper.below(f"{base}/out", found.schema, "timestamp", "1 DAY")
+    for part in (F.col("offset") % 7 != 0, F.col("offset") % 7 == 0):
+        found.filter(part).write.mode("append").parquet(f"{base}/in")
+        stream = replay_source(spark, f"{base}/in", found.schema)
+        late.start_late_keeper(stream, keeper, f"{base}/checkpoint", availableNow=True).awaitTermination()
+    return keeper
+
+
+def stream_late_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """The rows that came behind the watermark."""
+    found = _with_late_files(spark, folder).late.read(spark)
+    return found.select("topic", "partition", "offset", "pos", "label", "feature")
+
+
+def stream_late_rows_merged(spark: SparkSession, folder: str) -> DataFrame:
+    """Fits per day with late rows counted in: those of a batch over all rows."""
+    stored = _with_late_files(spark, folder).store.read(spark)
+    fitted = moment_store.stored_fit(stored, mp.REG_PARAM, ("slot",))
+    return _day_models(fitted.withColumnRenamed("slot", "window_start"))
+
+
+class _Interrupted(Exception):
+    """The job ends here, as if it had been killed."""
+
+
+def stream_published_once(spark: SparkSession, folder: str) -> DataFrame:
+    """First pairs of four batches, of a job that dies twice after sending and starts again.
+
+    The first time the outbox has no note of the sending, the second time it has.
+    """
+    base = fresh_folder(spark, "once")
+    stream = _samples_by_file(spark, folder, F.col("batch_id") % 4, base)
+    target, died = TopicFolder(f"{base}/topic"), set()
+    outbox = LoggedFolder(f"{base}/outbox", PublishOnce.below("", target).outbox.schema)
+
+    class DyingTarget(TopicFolder):
+        def send(self, records: DataFrame) -> None:
+            super().send(records)
+            if "sending" not in died:
+                died.add("sending")
+                raise _Interrupted
+
+    def publish(batch: DataFrame, batch_id: int) -> None:
+        pairs = regression.fit_with_ends(batch, mp.REG_PARAM).select(
+            pair_text(F.round("first_prediction", 6), F.col("first_label")).alias("value")
+        )
+        PublishOnce(DyingTarget(target.path), outbox).write(pairs, batch_id)
+        if batch_id == 2 and "commit" not in died:
+            died.add("commit")
+            raise _Interrupted
+
+    for _ in range(3):
+        query = (
+            stream.writeStream.foreachBatch(publish)
+            .option("checkpointLocation", f"{base}/checkpoint")
+            .trigger(availableNow=True)
+            .start()
+        )
+        try:
+            query.awaitTermination()
+        except StreamingQueryException as problem:
+            if _Interrupted.__name__ not in str(problem):
+                raise
+    return target.read(spark).select("value")
+
+
 QUERIES: dict[str, mp.Query] = {
     query.__name__: query
     for query in (
@@ -606,5 +742,12 @@ QUERIES: dict[str, mp.Query] = {
         stream_published_pair,
         two_runs_one_table,
         stream_many_batches,
+        stream_logged_batches,
+        sliding_fit_from_store,
+        fit_of_batch_from_store,
+        fit_of_days_from_store,
+        stream_late_rows,
+        stream_late_rows_merged,
+        stream_published_once,
     )
 }

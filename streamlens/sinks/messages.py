@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from streamlens.config import JobConfig
 from streamlens.functions.schemas import flat_schema
@@ -24,8 +25,24 @@ class KafkaPublisher:
     cfg: JobConfig
 
     def write(self, values: DataFrame, batch_id: int) -> None:
-        options = kafka_write_options(self.cfg)
-        values.select("value").write.format("kafka").options(**options).save()
+        self._save(values.select("value"))
+
+    def send(self, records: DataFrame) -> None:
+        """The records with their keys."""
+        self._save(records.select("key", "value"))
+
+    def has(self, spark: SparkSession, key: str) -> bool:
+        """Whether the topic holds a record of this key; reads the topic as far as it is kept."""
+        options = {
+            "kafka.bootstrap.servers": self.cfg.brokers,
+            "subscribe": self.cfg.output_topic,
+            "startingOffsets": "earliest",
+        }
+        records = spark.read.format("kafka").options(**options).load()
+        return not records.filter(F.col("key").cast("string") == key).isEmpty()
+
+    def _save(self, records: DataFrame) -> None:
+        records.write.format("kafka").options(**kafka_write_options(self.cfg)).save()
 
 
 @dataclass(frozen=True)

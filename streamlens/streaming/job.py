@@ -21,9 +21,16 @@ from streamlens.operators.lookup import nearby_rated
 from streamlens.operators.regression import ridge_columns, sgd_columns
 from streamlens.operators.samples import malformed, parse_tokens, well_formed
 from streamlens.operators.stats import split_part
-from streamlens.operators.tokens import TOKEN_POSITION, explode_tokens, message_values
+from streamlens.operators.tokens import (
+    TOKEN_POSITION,
+    explode_tokens,
+    message_values,
+    preview_tokens,
+)
 from streamlens.sinks.batches import FolderSink, TableSink, run_name
+from streamlens.sinks.log import LoggedFolder
 from streamlens.sinks.messages import FolderPublisher, KafkaPublisher
+from streamlens.sinks.outbox import PublishOnce, Target
 from streamlens.sources.streams import kafka_source
 from streamlens.sources.tables import catalog_table, orc_table
 
@@ -68,17 +75,17 @@ class Outputs:
 
     models: FolderSink
     predictions: FolderSink
-    results: FolderSink | TableSink
+    results: FolderSink | TableSink | LoggedFolder
     quarantine: FolderSink
-    published: FolderPublisher | KafkaPublisher
+    published: FolderPublisher | KafkaPublisher | PublishOnce
     statistics: FolderSink | None = None
 
     @classmethod
     def in_folder(
         cls,
         base: str,
-        results: TableSink | None = None,
-        published: KafkaPublisher | None = None,
+        results: TableSink | LoggedFolder | None = None,
+        published: KafkaPublisher | PublishOnce | None = None,
         run_id: str = "run",
     ) -> "Outputs":
         """Folders below ``base``; ``run_id`` tells runs with checkpoints of their own apart."""
@@ -211,7 +218,7 @@ class BatchJob:
     outputs: Outputs
 
     def __call__(self, parsed: DataFrame, batch_id: int) -> None:
-        if self.cfg.on_malformed != "quarantine":
+        if self.cfg.on_malformed != "quarantine" and not self.cfg.preview_rows:
             parsed = parsed.withColumn("token", F.lit(None).cast("string"))
         parsed = parsed.persist(StorageLevel.MEMORY_AND_DISK)
         try:
@@ -224,6 +231,10 @@ class BatchJob:
         report = batch_report(parsed, cfg)
         if report["tokens"] == 0:
             return
+        if cfg.preview_rows:
+            # From the batch as it is kept: the source is not read again.
+            first = preview_tokens(parsed.select(*TOKEN_POSITION, "token"), cfg.preview_rows)
+            first.select("token").show(cfg.preview_rows, truncate=False)
         if cfg.on_malformed == "fail" and report["malformed"]:
             raise MalformedBatch(f"batch {batch_id}: {report['malformed']} malformed tokens")
         if cfg.on_malformed == "quarantine":
@@ -300,7 +311,10 @@ def start_job(
 
 
 def start_preview(messages: DataFrame, batch_interval: str, rows: int = 10) -> StreamingQuery:
-    """Print the first tokens of every batch to the console."""
+    """Print the first tokens of every batch to the console, by a stream of its own.
+
+    A job prints those of its own batches if ``preview_rows`` is set.
+    """
     return (
         explode_tokens(message_values(messages))
         .select("token")
@@ -336,16 +350,20 @@ def run_job(
     cfg: JobConfig,
     base: str,
     messages: DataFrame,
-    published: KafkaPublisher | None = None,
+    target: Target | None = None,
     available_now: bool = False,
 ) -> StreamingQuery:
-    """The job over any stream of messages, with checkpoint and outputs below ``base``."""
-    checkpoint = f"{base}/checkpoint"
+    """The job over any stream of messages, with checkpoint and outputs below ``base``.
+
+    Records go to ``target`` once per batch; without one they are kept in a folder.
+    """
+    checkpoint, output = f"{base}/checkpoint", f"{base}/output"
     run_id = run_name(spark, checkpoint)
-    outputs = Outputs.in_folder(
-        f"{base}/output", TableSink(cfg.results_table, cfg.semantics, run_id), published, run_id
-    )
-    if cfg.preview_rows:
-        start_preview(messages, cfg.batch_interval, cfg.preview_rows)
+    if cfg.semantics == "logged":
+        results = LoggedFolder(f"{output}/results", RESULT_SCHEMA, run_id)
+    else:
+        results = TableSink(cfg.results_table, cfg.semantics, run_id)
+    published = PublishOnce.below(f"{output}/outbox", target, run_id) if target else None
+    outputs = Outputs.in_folder(output, results, published, run_id)
     job = BatchJob(cfg, *stored_tables(spark, cfg), outputs)
     return start_job(messages, job, checkpoint, available_now)

@@ -43,6 +43,7 @@ ONE_ROW_SIDE = {
     "in_sample_metrics",
     "holdout_metrics",
     "scaled_features",
+    "fit_of_days_from_store",
     "sgd_fit",
 }
 

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 
 import pytest
@@ -13,6 +14,8 @@ from streamlens.operators.tokens import (
     message_values,
 )
 from streamlens.sinks.batches import RUN_KEYS, FolderSink, TableSink
+from streamlens.sinks.log import LoggedFolder
+from streamlens.sinks.outbox import TopicFolder
 from streamlens.sources.streams import MESSAGE_SCHEMA, replay_source
 from streamlens.sources.tables import catalog_table
 from streamlens.streaming import windows
@@ -21,7 +24,9 @@ from streamlens.streaming.job import (
     BatchJob,
     MalformedBatch,
     Outputs,
+    RESULT_SCHEMA,
     parsed_stream,
+    run_job,
     start_job,
     start_preview,
     stored_tables,
@@ -371,3 +376,30 @@ def test_nothing_is_published_of_a_batch_that_failed(spark, replay, tmp_path):
         parsed_stream(messages), 0
     )
     assert len(job.rows("published")) == 1 and len(job.rows("models")) == 1
+
+
+def test_a_whole_job_logs_results_publishes_once_and_prints_its_tokens(spark, replay, tmp_path, capsys):
+    job = replay(semantics="logged", result_limit=None, preview_rows=2, tables_from="orc")
+    job.restaurants.write.orc(str(tmp_path / "restaurants"))
+    job.reviews.write.orc(str(tmp_path / "reviews"))
+    cfg = dataclasses.replace(
+        job.cfg, reviews_path=str(tmp_path / "reviews"), restaurants_path=str(tmp_path / "restaurants")
+    )
+    target = TopicFolder(str(tmp_path / "topic"))
+    for lines in BATCHES[:2]:
+        job.arrive(lines)
+        messages = replay_source(spark, f"{tmp_path}/messages")
+        run_job(spark, cfg, str(tmp_path / "job"), messages, target, available_now=True).awaitTermination()
+    job.run()
+    run_id = target.read(spark).first().key.split("/")[0]
+    logged = LoggedFolder(f"{tmp_path}/job/output/results", RESULT_SCHEMA, run_id)
+    assert logged.compact(spark) == 2
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.drop("run_id").collect())
+
+    assert rows(logged.read(spark)) == rows(job.outputs.results.read(spark))
+    sent = sorted(r.value for r in target.read(spark).collect())
+    assert sent == sorted(r.value for r in job.outputs.published.read(spark).collect())
+    printed = capsys.readouterr().out
+    assert "52.5,1" in printed and "52.5001,2" in printed and "52.5002,3" not in printed
