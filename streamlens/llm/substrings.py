@@ -23,7 +23,8 @@ a document with a smaller doc_id, or earlier in the same document.
 
 Defined results: a null or empty text has no words; rows that repeat a doc_id are
 documents of equal rank, neither of which precedes the other; a null doc_id
-precedes all others; extra columns are ignored.
+precedes all others; extra columns are ignored.  Rows of equal doc_id are told apart by 64 bits of
+their texts, so copies of a row share their spans, which are the same.
 """
 
 from __future__ import annotations
@@ -34,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from streamlens.llm import arrays
@@ -178,7 +179,7 @@ _FOUND = pa.schema(
 _LATER = pa.schema(
     [("bucket", pa.int32())] + [(n, pa.binary()) for n in ("ids", "tags", "starts", "counts")]
 )
-_SPANS = pa.schema([("rank", pa.int64()), ("tag", pa.int32()), ("spans", pa.binary())])
+_SPANS = pa.schema([("rank", pa.int64()), ("tag", pa.int64()), ("spans", pa.binary())])
 _LATE = -1  # in ``counts``: spans that are already known to come too late
 
 
@@ -250,7 +251,7 @@ class _Batch:
         docs, at = np.unique(row, return_inverse=True)
         values = {
             "ids": ids[docs].astype("<i8"),
-            "tags": tags[docs].astype("<i4"),
+            "tags": tags[docs].astype("<i8"),
             "keys": np.empty(0, "<u8") if keys is None else keys.astype("<u8"),
             "docs": at.astype("<u4"),
             "starts": start.astype("<u4"),
@@ -287,14 +288,14 @@ def _file(buckets: int):
 
 def _by_document(width: int, ids, tags, row, start, count) -> Iterator[pa.RecordBatch]:
     """Spans of late windows, packed by the bucket of their document."""
-    place = (mix(ids[row].astype(U64) ^ (tags[row].astype(U64) << U64(32))) >> U64(33)) % U64(width)
+    place = (mix(mix(ids[row].astype(U64)) ^ tags[row].astype(U64)) >> U64(33)) % U64(width)
     order = np.argsort(place, kind="stable")
     edges = np.searchsorted(place[order], np.arange(width + 1, dtype=U64))
     for bucket in range(width):
         at = order[edges[bucket] : edges[bucket + 1]]
         if len(at):
             values = (
-                ids[row[at]].astype("<i8"), tags[row[at]].astype("<i4"), start[at].astype("<u4"), count[at].astype("<u4")
+                ids[row[at]].astype("<i8"), tags[row[at]].astype("<i8"), start[at].astype("<u4"), count[at].astype("<u4")
             )
             columns = [pa.array([bucket], pa.int32())]
             columns += [pa.array([v.tobytes()], pa.binary()) for v in values]
@@ -304,7 +305,7 @@ def _by_document(width: int, ids, tags, row, start, count) -> Iterator[pa.Record
 def _gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """One row per document with all its spans, in order."""
     found: dict[str, list[np.ndarray]] = {n: [] for n in _LATER.names[1:]}
-    kinds = {"ids": "<i8", "tags": "<i4", "starts": "<u4", "counts": "<u4"}
+    kinds = {"ids": "<i8", "tags": "<i8", "starts": "<u4", "counts": "<u4"}
     for batch in batches:
         for name, kind in kinds.items():
             found[name] += [np.frombuffer(b, kind) for b in batch.column(name).to_pylist()]
@@ -345,7 +346,7 @@ def _late_spans(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[pa.Re
             own = dict(zip(_FOUND.names[1:], cells))
             of = np.frombuffer(own["docs"], "<u4").astype(np.int64)
             at = np.frombuffer(own["starts"], "<u4").astype(np.int64)
-            own_ids, own_tags = np.frombuffer(own["ids"], "<i8"), np.frombuffer(own["tags"], "<i4")
+            own_ids, own_tags = np.frombuffer(own["ids"], "<i8"), np.frombuffer(own["tags"], "<i8")
             if not own["keys"]:
                 late = _LATE * np.frombuffer(own["counts"], "<i4").astype(np.int64)
                 yield from _by_document(width, own_ids, own_tags, of, at, late)
@@ -417,6 +418,11 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
+def _tag(text: Column) -> Column:
+    """Tells rows of equal doc_id apart: 64 bits of their texts."""
+    return F.xxhash64(text)
+
+
 def late_windows(documents: DataFrame) -> DataFrame:
     """(rank, tag, spans): per document the starts of windows that came earlier already."""
     width = parallelism(documents.sparkSession)
@@ -429,7 +435,7 @@ def late_windows(documents: DataFrame) -> DataFrame:
         found.repartitionById(buckets, "bucket")
         .mapInArrow(_compare(width), later)
         .repartitionById(width, "bucket")
-        .mapInArrow(_gather, "rank long, tag int, spans binary")
+        .mapInArrow(_gather, "rank long, tag long, spans binary")
     )
 
 
@@ -438,7 +444,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     ranked = documents.select(
         F.col("doc_id").cast("long"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))).alias("rank"),
-        F.hash("text").alias("tag"),
+        _tag(F.col("text")).alias("tag"),
         "text",
     )
     late = late_windows(ranked).hint("shuffle_hash")

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from streamlens.llm import components, decontaminate, jaccard, substrings
@@ -72,6 +73,22 @@ def test_removal_equals_brute_force(docs, monkeypatch, batch_words):
     assert substrings.remove_repeats(table.limit(0)).count() == 0
 
 
+def test_rows_without_id_whose_texts_share_32_bits(spark):
+    """Rows of equal id are told apart by more than a short hash."""
+    long = " ".join(f"w{i}" for i in range(60))
+    texts = spark.range(300_000).selectExpr(
+        f"IF(id % 2 = 0, concat('{long} ', id), concat('short ', id)) AS text"
+    )
+    alike = texts.groupBy(F.hash("text").alias("h")).agg(F.collect_list("text").alias("t"))
+    pairs = [r.t for r in alike.filter("size(t) > 1").collect()]
+    assert any(len({len(t) > 100 for t in pair}) == 2 for pair in pairs)
+    rows = [(None, t) for pair in pairs for t in pair] + [(None, None), (3, long)]
+    table = spark.createDataFrame(rows, "doc_id long, text string")
+    got = substrings.remove_repeats(table).collect()
+    assert sorted(((r.doc_id, r.n_words, r.n_removed, r.kept_sha256) for r in got), key=str) == plain_removal(rows)
+
+
+
 def test_equal_windows_have_equal_keys():
     rng = np.random.default_rng(6)
     passage = rng.integers(1, 40, 90).astype(np.uint64)
