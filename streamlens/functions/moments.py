@@ -6,7 +6,7 @@ per task, whatever the number of rows or groups.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -75,7 +75,11 @@ class Moments:
 
     @classmethod
     def of_row(cls) -> "Moments":
-        return cls(*(F.col(c) for c in ("mx", "my", "sxx", "syy", "sxy")))
+        return cls(*(F.col(c) for c in MOMENTS[1:]))
+
+    @classmethod
+    def of_struct(cls, moments: Column) -> "Moments":
+        return cls(*(moments[c] for c in MOMENTS[1:]))
 
 
 def ridge_line(m: Moments, reg_param: float) -> tuple[Column, Column]:
@@ -120,16 +124,18 @@ def sgd_line(
     convergence_tol: float,
     reg_param: float,
     intercept: bool,
+    at: Callable[[Column], Column] | None = None,
 ) -> Column:
-    """Full-batch gradient descent as one folded expression over the moments.
+    """Gradient descent as one folded expression over the moments.
 
     The gradient of the squared error depends on the rows only through their
     moments, so the iterations run on one row per group and never touch the
     data again.  The step at iteration ``t`` is ``step_size / sqrt(t)``.  Returns
     ``struct(w, b, iterations, done, losses)`` with the loss before every iteration.
+
+    With ``at``, iteration ``t`` sees the struct of moments ``at(t)`` instead of ``m``; where
+    that is null no row was drawn, and the iteration changes nothing and has no loss.
     """
-    mxx = m.sxx + m.mx * m.mx
-    mxy = m.sxy + m.mx * m.my
 
     def state(w: Column, b: Column, iterations: Column, done: Column, losses: Column) -> Column:
         return F.struct(
@@ -141,20 +147,28 @@ def sgd_line(
         )
 
     def stepped(acc: Column, t: Column) -> Column:
+        seen = m if at is None else Moments.of_struct(at(t))
+        mxx = seen.sxx + seen.mx * seen.mx
+        mxy = seen.sxy + seen.mx * seen.my
         w, b = acc["w"], acc["b"]
         eta = F.lit(float(step_size)) / F.sqrt(t.cast("double"))
         shrink = 1 - eta * float(reg_param)
-        new_w = w * shrink - eta * (w * mxx + b * m.mx - mxy)
-        new_b = b * shrink - eta * (w * m.mx + b - m.my) if intercept else b
+        new_w = w * shrink - eta * (w * mxx + b * seen.mx - mxy)
+        new_b = b * shrink - eta * (w * seen.mx + b - seen.my) if intercept else b
         moved = F.sqrt((new_w - w) * (new_w - w) + (new_b - b) * (new_b - b))
         size = F.sqrt(new_w * new_w + new_b * new_b)
         done = (t > 1) & (moved < F.greatest(size, F.lit(1.0)) * float(convergence_tol))
-        losses = F.array_append(acc["losses"], objective(m, w, b, reg_param))
+        losses = F.array_append(acc["losses"], objective(seen, w, b, reg_param))
         return state(new_w, new_b, t, done, losses)
 
+    def next_state(acc: Column, t: Column) -> Column:
+        if at is None:
+            return F.when(acc["done"], acc).otherwise(stepped(acc, t))
+        idle = state(acc["w"], acc["b"], t, acc["done"], acc["losses"])
+        going = F.when(at(t).isNull(), idle).otherwise(stepped(acc, t))
+        return F.when(acc["done"], acc).otherwise(going)
+
     none = F.array().cast("array<double>")
     begin = state(F.lit(start[0]), F.lit(start[1]), F.lit(0), F.lit(False), none)
     steps = F.sequence(F.lit(1), F.lit(int(num_iterations)))
-    return F.aggregate(
-        steps, begin, lambda acc, t: F.when(acc["done"], acc).otherwise(stepped(acc, t))
-    )
+    return F.aggregate(steps, begin, next_state)

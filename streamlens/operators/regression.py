@@ -48,7 +48,7 @@ def sgd_columns(
 ) -> DataFrame:
     """Replace the moment columns of ``found`` by the descended line and its losses.
 
-    ``losses`` has the loss before every iteration.
+    ``losses`` has the loss before every iteration; ``at`` is for mini-batches.
     """
     start = mo.sgd_start(init_weight, intercept)
     line = mo.sgd_line(
@@ -90,21 +90,86 @@ def sgd_fit(
     init_weight: float = 0.0,
     reg_param: float = 0.0,
     intercept: bool = False,
+    mini_batch_fraction: float = 1.0,
+    key: Sequence[str] = TOKEN_POSITION,
 ) -> DataFrame:
-    """Full-batch gradient descent; the defaults are those of the one-line form.
+    """Gradient descent; the defaults are those of the one-line form.
 
     The rows are read once, for their moments; ``num_iterations`` does not
-    change the number of passes.
+    change the number of passes.  With a ``mini_batch_fraction`` below 1 every iteration
+    sees its own part of the rows, drawn by a hash of their ``key``, so a run over the
+    same rows draws the same; iterations that draw nothing change nothing.  The losses
+    before every iteration are those of its part, the initial and final one those of all rows.
     """
-    return sgd_columns(
-        _grouped_moments(samples, by),
+    if not 0 < mini_batch_fraction <= 1:
+        raise ValueError("mini_batch_fraction must be above 0 and at most 1")
+    options = {}
+    if mini_batch_fraction < 1:
+        found = _drawn_moments(samples, by, num_iterations, mini_batch_fraction, key)
+        options["at"] = lambda t: F.get("__drawn", t - 1)
+    else:
+        found = _grouped_moments(samples, by)
+    fitted = sgd_columns(
+        found,
         num_iterations=num_iterations,
         step_size=step_size,
         convergence_tol=convergence_tol,
         init_weight=init_weight,
         reg_param=reg_param,
         intercept=intercept,
+        **options,
+    )
+    return fitted.drop("__drawn")
+
+
+def _drawn_moments(
+    samples: DataFrame, by: Sequence[str | Column], iterations: int, fraction: float, key: Sequence[str]
+) -> DataFrame:
+    """Moments of all rows, and in ``__drawn`` those of the part that each iteration draws.
+
+    A row meets the iterations it is drawn for before anything is shuffled, where it only
+    adds to their moments: what moves is one row per iteration, group and task.
+    """
+    names = [f"__by_{i}" for i in range(len(by))]
+    keys = [(F.col(c) if isinstance(c, str) else c).alias(n) for c, n in zip(by, names)]
+    finite = finite_samples(samples).select(*keys, "label", "feature", *mini_batch_hashes(key))
+    times = F.filter(
+        F.sequence(F.lit(1), F.lit(int(iterations))), lambda t: drawn(t, fraction)
+    )
+    met = finite.select(
+        *names, "label", "feature", F.explode(F.concat(F.array(F.lit(0)), times)).alias("__t")
+    )
+    found = met.groupBy(*names, "__t").agg(
+        *mo.moment_aggregates(F.col("feature"), F.col("label"))
     )
+    row = F.struct(*mo.MOMENTS)
+    per_group = found.groupBy(*names).agg(
+        F.max(F.when(F.col("__t") == 0, row)).alias("__all"),
+        F.map_from_entries(F.collect_list(F.struct("__t", row.alias("m")))).alias("__by_t"),
+    )
+    every = F.transform(
+        F.sequence(F.lit(1), F.lit(int(iterations))), lambda t: F.try_element_at("__by_t", t)
+    )
+    shown = [F.col(n).alias(c) for c, n in zip(samples.select(*by).columns, names)]
+    return per_group.filter(F.col("__all").isNotNull()).select(
+        *shown, "__all.*", every.alias("__drawn")
+    )
+
+
+def mini_batch_hashes(key: Sequence[str]) -> list[Column]:
+    """Two numbers of 32 bits from the key of a row, the second one odd."""
+    text = F.md5(F.concat_ws("/", *(F.col(c).cast("string") for c in key)).cast("binary"))
+
+    def part(begin: int) -> Column:
+        return F.conv(F.substring(text, begin, 8), 16, 10).cast("long")
+
+    return [part(1).alias("__h"), part(9).bitwiseOR(F.lit(1).cast("long")).alias("__g")]
+
+
+def drawn(t: Column, fraction: float) -> Column:
+    """Whether iteration ``t`` draws the row; any two iterations draw independently."""
+    place = (F.col("__h") + t.cast("long") * F.col("__g")) % F.lit(1 << 32)
+    return place < F.lit(round(fraction * (1 << 32)))
 
 
 def line_at(feature: Column) -> Column:

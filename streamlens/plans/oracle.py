@@ -175,6 +175,34 @@ f AS (
 """
 
 
+# Half of the day's readings in every iteration, drawn by two hashes of their positions.
+_MINI_BATCHES = f"""
+WITH RECURSIVE s AS (
+  SELECT batch_id, y, x / stddev_samp(x) OVER (PARTITION BY batch_id) AS x,
+         md5(topic || '/' || "partition" || '/' || "offset" || '/' || pos) AS h FROM ({_READINGS}) AS r),
+m AS (
+  SELECT batch_id AS g, t, count(*) AS n, avg(x) AS mx, avg(y) AS my, var_pop(x) AS sxx,
+         var_pop(y) AS syy, covar_pop(x, y) AS sxy
+  FROM s, range(0, 31) AS i(t)
+  WHERE t = 0 OR (CAST('0x' || substr(h, 1, 8) AS BIGINT)
+                  + t * (CAST('0x' || substr(h, 9, 8) AS BIGINT) | 1)) % 4294967296 < 2147483648
+  GROUP BY ALL),
+d AS (
+  SELECT g, CAST(0 AS BIGINT) AS t, CAST(0 AS DOUBLE) AS w, CAST(1 AS DOUBLE) AS b FROM m WHERE t = 0
+  UNION ALL
+  SELECT d.g, d.t + 1,
+         w - 0.2 / sqrt(d.t + 1) * (1e-4 * w + w * (sxx + mx * mx) + b * mx - (sxy + mx * my)),
+         b - 0.2 / sqrt(d.t + 1) * (1e-4 * b + w * mx + b - my)
+  FROM d JOIN m ON m.g = d.g AND m.t = d.t + 1),
+f AS (
+  SELECT d.g, m.n, w AS weight, b AS intercept,
+         (syy + (1 - my) * (1 - my)) / 2 + 1e-4 / 2 AS initial_loss,
+         (syy + w * w * sxx - 2 * w * sxy + (w * mx + b - my) * (w * mx + b - my)) / 2
+         + 1e-4 / 2 * (w * w + b * b) AS final_loss
+  FROM d JOIN m ON m.g = d.g AND m.t = 0 WHERE d.t = 30)
+"""
+
+
 # --- lookups ----------------------------------------------------------------
 
 
@@ -337,6 +365,8 @@ ORACLE: dict[str, str] = {
         False,
     )
     + f"SELECT g AS batch_id, CAST(t AS INTEGER) AS iterations, {_MODEL} FROM f",
+    "sgd_mini_batch_fit": _MINI_BATCHES
+    + f"SELECT g AS batch_id, CAST(30 AS INTEGER) AS iterations, {_MODEL} FROM f",
     "scaled_features": (
         'SELECT "offset", pos, y AS label,'
         f" round(x / (SELECT stddev_samp(x) FROM ({_READINGS}) AS a), 6) AS scaled"

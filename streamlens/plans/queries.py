@@ -347,6 +347,23 @@ def sgd_default_fit(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(fitted.drop("losses"), *MODEL_DOUBLES)
 
 
+def sgd_mini_batch_fit(spark: SparkSession, folder: str) -> DataFrame:
+    """Descent per day where every iteration sees its own half of the readings."""
+    found = mp.event_samples(spark, folder)
+    spread = stats.scale_features(found, by=_FIT_BY_DAY).withColumn("feature", F.col("scaled"))
+    fitted = regression.sgd_fit(
+        spread,
+        _FIT_BY_DAY,
+        num_iterations=30,
+        step_size=0.2,
+        convergence_tol=0.0,
+        reg_param=0.0001,
+        intercept=True,
+        mini_batch_fraction=0.5,
+    )
+    return mp.rounded(fitted.drop("losses"), *MODEL_DOUBLES)
+
+
 # --- statistics -------------------------------------------------------------
 
 
@@ -725,6 +742,7 @@ QUERIES: dict[str, mp.Query] = {
         band_top_per_batch,
         sgd_fit,
         sgd_default_fit,
+        sgd_mini_batch_fit,
         scaled_features,
         scaled_features_per_batch,
         column_means,

@@ -1,3 +1,4 @@
+import hashlib
 import math
 import random
 
@@ -212,3 +213,56 @@ def test_predict_refuses_several_models_without_keys(samples_from):
     assert regression.predict(found, one.limit(0)).count() == 0
     with pytest.raises(Exception, match="several rows"):
         regression.predict(found, one.unionAll(one)).collect()
+
+
+# --- mini-batches -------------------------------------------------------------
+
+
+def plain_descent(rows, fraction, iterations, step, reg):
+    """Row by row; the rows of an iteration are drawn by two numbers from the position."""
+    w, b, losses = 0.0, 1.0, []
+    for t in range(1, iterations + 1):
+        batch = []
+        for offset, y, x in rows:
+            digest = hashlib.md5(f"t/0/{offset}/0".encode()).hexdigest()
+            h, g = int(digest[:8], 16), int(digest[8:16], 16) | 1
+            if (h + t * g) % 2**32 < round(fraction * 2**32):
+                batch.append((y, x))
+        if not batch:
+            continue
+        errors = [(w * x + b - y, x) for y, x in batch]
+        losses.append(sum(e * e for e, _ in errors) / len(batch) / 2 + reg / 2 * (w * w + b * b))
+        eta = step / math.sqrt(t)
+        gw = sum(e * x for e, x in errors) / len(batch)
+        gb = sum(e for e, _ in errors) / len(batch)
+        w, b = w * (1 - eta * reg) - eta * gw, b * (1 - eta * reg) - eta * gb
+    return w, b, losses
+
+
+@pytest.mark.parametrize("size, fraction", [(60, 0.9), (60, 0.3), (3, 0.1), (1, 0.02)])
+def test_mini_batches_equal_a_plain_descent(samples_from, size, fraction):
+    rng = random.Random(size)
+    pairs = [(2 * x + rng.gauss(0, 0.1), x) for x in (rng.uniform(-1, 1) for _ in range(size))]
+    options = {"num_iterations": 25, "step_size": 0.3, "convergence_tol": 0.0, "reg_param": 0.01, "intercept": True}
+    row = regression.sgd_fit(samples_from(pairs), mini_batch_fraction=fraction, **options).first()
+    w, b, losses = plain_descent([(i, y, x) for i, (y, x) in enumerate(pairs)], fraction, 25, 0.3, 0.01)
+    assert (row.n, row.iterations) == (size, 25)
+    assert [row.weight, row.intercept] == pytest.approx([w, b], rel=1e-9)
+    assert row.losses == pytest.approx(losses, rel=1e-9)
+
+
+def test_a_whole_fraction_is_the_full_batch(samples_from, spark):
+    pairs = [(2 * x / 10 + 1, x / 10) for x in range(30)]
+    both = samples_from(pairs, 0).union(samples_from(pairs[:7], 1))
+    full = regression.sgd_fit(both, ["batch_id"], step_size=0.1)
+    assert full.collect() == regression.sgd_fit(both, ["batch_id"], step_size=0.1, mini_batch_fraction=1.0).collect()
+    # Almost all rows: the same to a few digits, per group and in the same columns.
+    part = regression.sgd_fit(both, ["batch_id"], step_size=0.1, mini_batch_fraction=1 - 1e-9)
+    assert part.columns == full.columns
+    for got, want in zip(part.orderBy("batch_id").collect(), full.orderBy("batch_id").collect()):
+        assert (got.batch_id, got.n) == (want.batch_id, want.n)
+        assert got.weight == pytest.approx(want.weight, rel=1e-9)
+    assert regression.sgd_fit(both.limit(0), mini_batch_fraction=0.5).collect() == []
+    for bad in (0.0, 1.5):
+        with pytest.raises(ValueError):
+            regression.sgd_fit(both, mini_batch_fraction=bad)
