@@ -264,6 +264,27 @@ _TENTH_DAYS = (
     " WHERE day(DATE '1970-01-01' + CAST(batch_id AS INTEGER)) BETWEEN 10 AND 19"
 )
 
+# How often every offset between the first and the last read was read, in runs of one kind.
+_FINDINGS = """
+WITH e AS (
+  SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o FROM events
+), r AS (
+  SELECT p, o, CASE WHEN o % 2000 BETWEEN 1250 AND 1299 THEN 2 ELSE 1 END AS times
+  FROM e WHERE NOT (o % 1000 BETWEEN 500 AND 510 + p)
+), ends AS (
+  SELECT p, min(o) AS low, max(o) AS high FROM r GROUP BY p
+), every AS (
+  SELECT x.p, x.o, coalesce(r.times, 0) AS times
+  FROM (SELECT p, unnest(range(low, high + 1)) AS o FROM ends) AS x
+  LEFT JOIN r ON r.p = x.p AND r.o = x.o
+), runs AS (
+  SELECT p, o, times, o - row_number() OVER (PARTITION BY p, times ORDER BY o) AS run FROM every
+)
+SELECT 'events' AS topic, p AS "partition", CASE WHEN times = 0 THEN 'gap' ELSE 'overlap' END AS kind,
+       min(o) AS first, max(o) AS last
+FROM runs WHERE times <> 1 GROUP BY p, times, run
+"""
+
 ORACLE: dict[str, str] = {
     "nearby_top_rated": _TOP,
     "nearby_all_groups": _NEARBY,
@@ -446,4 +467,14 @@ ORACLE: dict[str, str] = {
     ),
     "stream_late_rows_merged": _DAY_FIT,
     "stream_published_once": f"SELECT value FROM ({_pair('ASC', _FOUR_BATCHES)}) AS p",
+    "colocated_lookup": _groups(
+        _RESTAURANTS, "lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 40"
+    ),
+    "colocated_all_groups": _groups(_RESTAURANTS, "TRUE"),
+    "exact_split_rows": (
+        'SELECT "offset", pos, CASE WHEN row_number() OVER (ORDER BY md5("offset" || \'/\' || pos))'
+        " <= round(0.9 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS part"
+        f" FROM ({_READINGS}) AS s"
+    ),
+    "offset_findings": _FINDINGS,
 }

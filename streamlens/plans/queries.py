@@ -18,6 +18,7 @@ from streamlens.plans import mapping as mp
 from streamlens.sinks.batches import RUN_KEYS, FolderSink
 from streamlens.sinks.log import LoggedFolder
 from streamlens.sinks.outbox import PublishOnce, TopicFolder
+from streamlens.sources import colocated
 from streamlens.sources.scratch import fresh_folder, settle
 from streamlens.sources.streams import replay_source
 from streamlens.sources.tables import (
@@ -26,7 +27,7 @@ from streamlens.sources.tables import (
     orc_table,
     parquet_table,
 )
-from streamlens.streaming import late, windows
+from streamlens.streaming import late, ledger, windows
 from streamlens.streaming.job import BatchJob, Outputs, run_job, start_job
 
 MODEL_DOUBLES = ("weight", "intercept", "initial_loss", "final_loss")
@@ -165,6 +166,34 @@ def orc_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return catalog_table(spark, "streamlens_restaurants")
 
 
+def colocated_lookup(spark: SparkSession, folder: str) -> DataFrame:
+    """The lookup in one band, joined bucket by bucket from stored tables."""
+    return _colocated(spark, folder, (905.0, 920.0), mp.PART_LNG)
+
+
+def colocated_all_groups(spark: SparkSession, folder: str) -> DataFrame:
+    """All averages, joined bucket by bucket from stored tables."""
+    return _colocated(spark, folder, None, None)
+
+
+def _colocated(
+    spark: SparkSession, folder: str, lat: tuple[float, float] | None, lng: tuple[float, float] | None
+) -> DataFrame:
+    name = f"streamlens_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{fresh_folder(spark, 'database')}'")
+    try:
+        colocated.store_reviews(mp.reviews(spark, folder), f"{name}.reviews", buckets)
+        colocated.store_restaurants(mp.restaurants(spark, folder), f"{name}.restaurants", buckets)
+        groups = colocated.colocated_groups(
+            spark, f"{name}.reviews", f"{name}.restaurants", lat, lng, mp.MIN_RATING
+        )
+        settled, _ = settle(lookup.top_groups(groups, None))
+    finally:
+        spark.sql(f"DROP DATABASE {name} CASCADE")
+    return mp.rounded(settled, "avg_rating")
+
+
 # --- tokens and samples -----------------------------------------------------
 
 
@@ -416,6 +445,12 @@ def holdout_metrics(spark: SparkSession, folder: str) -> DataFrame:
     return mp.rounded(stats.regression_metrics(predicted, ["part"]), "mse", "rmse", "r2")
 
 
+def exact_split_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Nine tenths of the readings, to the row."""
+    found = mp.event_samples(spark, folder).select("offset", "pos")
+    return stats.exact_split(found, ("offset", "pos"), 0.9)
+
+
 def random_split_rows(spark: SparkSession, folder: str) -> DataFrame:
     """What every seed must give: each sample on one side, none missing and none twice."""
     found = mp.part_samples(spark, folder)
@@ -663,6 +698,25 @@ def stream_late_rows_merged(spark: SparkSession, folder: str) -> DataFrame:
     return _day_models(fitted.withColumnRenamed("slot", "window_start"))
 
 
+def offset_findings(spark: SparkSession, folder: str) -> DataFrame:
+    """Gaps and overlaps of two batches of events; some were left out, some are read twice.
+
+    The events of a partition are numbered without holes: a fourth of the event ids each.
+    """
+    events = parquet_table(spark, folder, "events").select(
+        F.lit("events").alias("topic"),
+        F.pmod("event_id", F.lit(4)).cast("int").alias("partition"),
+        F.floor(F.col("event_id") / 4).alias("offset"),
+    )
+    offset = F.col("offset")
+    read = events.filter(~(offset % 1000).between(500, 510 + F.col("partition")))
+    ledger_of = ledger.OffsetLedger.below(fresh_folder(spark, "ledger"))
+    first = offset % 2000 < 1300
+    ledger_of.note(read.filter(first), 0)
+    ledger_of.note(read.filter(~first | (offset % 2000 >= 1250)), 1)
+    return ledger.findings(ledger_of.read(spark)).drop("run_id")
+
+
 class _Interrupted(Exception):
     """The job ends here, as if it had been killed."""
 
@@ -722,6 +776,8 @@ QUERIES: dict[str, mp.Query] = {
         nan_ratings_sql_lookup,
         nan_ratings_lookup,
         orc_roundtrip,
+        colocated_lookup,
+        colocated_all_groups,
         message_tokens,
         padded_text_tokens,
         token_preview,
@@ -752,6 +808,7 @@ QUERIES: dict[str, mp.Query] = {
         holdout_split,
         holdout_metrics,
         random_split_rows,
+        exact_split_rows,
         windowed_fit,
         stream_windowed_fit,
         stream_nearby_top_rated,
@@ -767,5 +824,6 @@ QUERIES: dict[str, mp.Query] = {
         stream_late_rows,
         stream_late_rows_merged,
         stream_published_once,
+        offset_findings,
     )
 }

@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import pytest
@@ -75,3 +76,18 @@ def test_random_split_is_whole(spark):
     train, test = stats.random_split(spark.range(1000), seed=3)
     assert train.count() + test.count() == 1000
     assert train.join(test, "id").isEmpty()
+
+
+@pytest.mark.parametrize("n, fraction", [(0, 0.9), (1, 0.9), (7, 0.5), (1000, 0.9), (1000, 0.0), (1000, 1.0), (333, 0.123)])
+def test_exact_split_is_exact(spark, n, fraction):
+    df = spark.range(n).selectExpr("id AS k", "id % 3 AS part")
+    got = stats.exact_split(df, ["k"], fraction, part="side").collect()
+    ranked = sorted(range(n), key=lambda k: hashlib.md5(str(k).encode()).hexdigest())
+    train = set(ranked[: math.floor(fraction * n + 0.5)])
+    assert {r.k for r in got if r.side == "train"} == train and len(got) == n
+
+
+def test_rows_of_equal_keys_fall_on_one_side(spark):
+    df = spark.createDataFrame([(k,) for k in [1] * 50 + [None] * 30 + list(range(2, 22))], "k int")
+    found = stats.exact_split(df, ["k"], 0.6).groupBy("k").agg(F.count_distinct("part").alias("sides"))
+    assert {r.sides for r in found.collect()} == {1}
