@@ -51,9 +51,11 @@ ARTICLE_WORDS = frozenset("article content main post entry story".split())
 # Names of layouts that only have such a part ("with-sidebar").
 LAYOUT_WORDS = frozenset("with without no has show hide not".split())
 
+# A quote sign holds a value only behind "=" and if its partner ends the value; any other one is
+# a character like others, so a tag with an odd quote sign ends at its ">".
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*+)(?:>|\Z)"
+    r"|<(?P<close>/?)(?P<name>[A-Za-z][^\s/>]*)(?P<attrs>(?:=\s*(?:\"[^\"]*\"|'[^']*')(?=[\s/>]|\Z)|[^>])*+)(?:>|\Z)"
     r"|<[!?/][^>]*(?:>|\Z)",
     re.S,
 )

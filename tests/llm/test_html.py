@@ -77,3 +77,36 @@ def test_operator(spark):
     ]
     assert all(r.n_chars == len(r.text) for r in found) and len(found) == 4
     assert html.extract(pages.limit(0)).count() == 0
+
+
+def tag_end(page, at):
+    """Where a tag that starts at ``at`` ends, read sign by sign."""
+    i = at + 1
+    while i < len(page) and page[i] not in " \t\n\f\r\v/>":
+        i += 1
+    while i < len(page) and page[i] != ">":
+        if page[i] == "=":
+            j = i + 1
+            while j < len(page) and page[j].isspace():
+                j += 1
+            if j < len(page) and page[j] in "\"'":
+                close = page.find(page[j], j + 1)
+                if close > 0 and (close + 1 == len(page) or page[close + 1] in "/>" or page[close + 1].isspace()):
+                    i = close + 1
+                    continue
+        i += 1
+    return min(i + 1, len(page))
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet="ab=\"'> /\n<", max_size=30))
+def test_a_tag_ends_where_a_plain_reading_ends_it(rest):
+    page = "<p" + rest
+    assert html._TOKEN.match(page).end() == tag_end(page, 0)
+
+
+def test_odd_quote_signs_in_tags():
+    text = "Enough words, of some length, to be a paragraph of its own."
+    for tag in ("<p title=\"abc>", "<p title=it's>", "<p it's class=x>", "<p \">", "<p a='b' c=\"d>", "<p a=\"x > y\">", "<p a = 'it\"s > b' >"):
+        page = f"<body>{tag}{text} <a title=it's href=x>Don't</a> lose it.</p><p class=\"z\">{text}</p></body>"
+        assert html.main_text(page).split("\n\n") == [f"{text} Don't lose it.", text], tag
