@@ -6,13 +6,17 @@ table has its own rotation.  A query looks into the cells of its best signed
 axes in every table (multiprobe); what it meets there is ranked by the exact
 cosine of the original vectors in double precision.
 
-Cells are split into blocks of at most about ``BLOCK_ROWS`` vectors, however
-many a cell holds, and a block meets its queries in one task.
+Cells are split into blocks of at most about ``BLOCK_ROWS`` vectors, and their
+queries into blocks of about ``BLOCK_QUERIES``, however many a cell holds; a block
+of vectors meets a block of queries in one task.
+
+A query that meets fewer vectors than it asks for goes on to all others: it is
+compared with every vector, in blocks.  So no query lacks a candidate that is there.
 
 Defined results: vectors that are null, zero or hold null or non-finite
 components take no part; vectors of different lengths never meet; rows with the
 same vec_id count as one (the smallest vector); a query with fewer candidates
-returns all that it finds; ties go to the smaller vec_id; extra columns are ignored.
+returns all of them; ties go to the smaller vec_id; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -32,6 +36,7 @@ TABLES = 6
 PROBED = 1 / 8
 ROUNDS = 3
 BLOCK_ROWS = 8192
+BLOCK_QUERIES = 8192
 
 
 def hadamard(rows: np.ndarray) -> np.ndarray:
@@ -157,24 +162,28 @@ def _best(queries: pd.DataFrame, block: pd.DataFrame, count: int) -> Iterator[tu
                 yield query, ids[kept_at[k]], exact[k]
 
 
-def search(vectors: DataFrame, queries: DataFrame, count: int) -> DataFrame:
-    """The ``count`` nearest found of every query: query_id, rank, vec_id, score.
+def _blocks(rows: DataFrame, key: list[str], size: int, name: str) -> DataFrame:
+    """The number of blocks per cell, one row per cell: tables times signed axes at most."""
+    count = F.greatest(F.ceil(F.count(F.lit(1)) / size), F.lit(1)).cast("int")
+    return rows.groupBy(*key).agg(count.alias(name))
 
-    Both sides have vec_id and embedding.  Moved are the vectors once per table
-    and the queries once per cell they look into.
+
+def _met(held: DataFrame, looking: DataFrame, key: list[str], count: int) -> DataFrame:
+    """The nearest rows of every block for the queries that look into its cell.
+
+    Both have ``key``, vec_id and vector.
     """
-    rows = kept(hashed(usable(vectors), False), "ann-cells")
-    asked = hashed(usable(queries), True)
-    key = ["dims", "table", "cell"]
-    # One row per cell that is there: tables times signed axes, whatever the data.
-    blocks = rows.groupBy(*key).agg(
-        F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS), F.lit(1)).cast("int").alias("blocks")
+    sizes = _blocks(held, key, BLOCK_ROWS, "__rows").join(
+        _blocks(looking, key, BLOCK_QUERIES, "__queries"), key
     )
-    block = F.pmod(F.xxhash64("vec_id"), F.col("blocks")).cast("int")
-    held = rows.join(F.broadcast(blocks), key).withColumn("block", block).drop("blocks")
-    looking = asked.join(F.broadcast(blocks), key).withColumn(
-        "block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
-    ).drop("blocks")
+
+    def dealt(rows: DataFrame, own: str, other: str) -> DataFrame:
+        every = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        mine = F.pmod(F.xxhash64("vec_id"), F.col(own)).cast("int")
+        with_sizes = rows.join(F.broadcast(sizes), key)
+        return with_sizes.withColumn(f"{own}_block", mine).withColumn(f"{other}_block", every).drop(
+            "__rows", "__queries"
+        )
 
     def meet(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = list(_best(left, right, count)) if len(left) and len(right) else []
@@ -182,10 +191,14 @@ def search(vectors: DataFrame, queries: DataFrame, count: int) -> DataFrame:
             {"query_id": "int64", "vec_id": "int64", "score": "float64"}
         )
 
-    every = [*key, "block"]
-    met = looking.groupBy(*every).cogroup(held.groupBy(*every)).applyInPandas(
+    every = [*key, "__rows_block", "__queries_block"]
+    asked, there = dealt(looking, "__queries", "__rows"), dealt(held, "__rows", "__queries")
+    return asked.groupBy(*every).cogroup(there.groupBy(*every)).applyInPandas(
         meet, "query_id long, vec_id long, score double"
     )
+
+
+def _ranked(met: DataFrame, count: int) -> DataFrame:
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     return (
         met.groupBy("query_id", "vec_id")
@@ -194,3 +207,32 @@ def search(vectors: DataFrame, queries: DataFrame, count: int) -> DataFrame:
         .filter(F.col("rank") <= count)
         .select("query_id", "rank", "vec_id", "score")
     )
+
+
+def search(vectors: DataFrame, queries: DataFrame, count: int) -> DataFrame:
+    """The ``count`` nearest found of every query: query_id, rank, vec_id, score.
+
+    Both sides have vec_id and embedding.  Moved are the vectors once per table
+    and the queries once per cell they look into.
+    """
+    rows = kept(hashed(usable(vectors), False), "ann-cells")
+    asked = hashed(usable(queries), True)
+    met = _met(rows, asked, ["dims", "table", "cell"], count)
+    found = kept(_ranked(met, count), "ann-found")
+
+    # Every vector is in one cell of the first table.
+    every = rows.filter("table = 0").select("dims", "vec_id", "vector")
+    there = every.groupBy("dims").agg(F.count(F.lit(1)).alias("__there"))
+    wanted = usable(queries).withColumn("dims", F.size("vector"))
+    got = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("__got"))
+    enough = F.least(F.lit(count), F.col("__there"))
+    short = (
+        wanted.join(there, "dims")
+        .join(got, "vec_id", "left")
+        .filter(F.coalesce("__got", F.lit(0)) < enough)
+        .select("dims", "vec_id", "vector")
+    )
+    short = kept(short, "ann-short")
+    completed = _ranked(_met(every, short, ["dims"], count), count)
+    others = short.select(F.col("vec_id").alias("query_id"))
+    return found.join(others, "query_id", "left_anti").unionByName(completed)

@@ -54,10 +54,39 @@ def test_recall_and_exact_scores(spark, monkeypatch, block_rows):
     assert [r.vec_id for r in by[50]][:2] == [77, 78]
 
 
+@pytest.mark.parametrize("size, dims", [(2, 64), (5, 64), (5, 2), (40, 2)])
+def test_a_query_lacks_no_candidate_that_is_there(spark, size, dims):
+    rng = np.random.default_rng(size)
+    rows = {50 * i: rng.normal(size=dims).tolist() for i in range(size)}
+    data = [(i, v, "") for i, v in rows.items()] + [(7, [1.0] * (dims + 1), "")]
+    df = spark.createDataFrame(data, "vec_id long, embedding array<double>, score string")
+    got = neighbours.search(df, df.filter("vec_id % 50 = 0"), 5).collect()
+    want = brute(rows, list(rows), 5)
+    counts = {q: sorted(r.rank for r in got if r.query_id == q) for q in rows}
+    assert counts == {q: list(range(1, min(5, size - 1) + 1)) for q in rows}
+    if size <= 5:
+        by = {q: [(r.vec_id, r.score) for r in sorted(got, key=lambda r: r.rank) if r.query_id == q] for q in rows}
+        assert by == want
+
+
+def test_a_lone_query_beside_copies_is_completed(spark, monkeypatch):
+    """All vectors but a few are copies, in one cell; queries and vectors of the cell are split."""
+    monkeypatch.setattr(neighbours, "BLOCK_ROWS", 50)
+    monkeypatch.setattr(neighbours, "BLOCK_QUERIES", 3)
+    copy, lone = [1.0] + [0.0] * 31, [0.0] * 31 + [1.0]
+    rows = {i: copy for i in range(600)} | {1000: lone, 1001: [0.0] * 30 + [0.1, 1.0]}
+    df = spark.createDataFrame([(i, v, "") for i, v in rows.items()], "vec_id long, embedding array<double>, score string")
+    got = neighbours.search(df, df.filter("vec_id % 50 = 0"), 5).collect()
+    by = {}
+    for r in sorted(got, key=lambda r: (r.query_id, r.rank)):
+        by.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert by == brute(rows, [i for i in rows if i % 50 == 0], 5)
+
+
 def test_few_vectors(spark):
     df = spark.createDataFrame([(0, [1.0, 0.0], ""), (1, [1.0, 0.1], ""), (2, [1e200, 1e200], "")],
                                "vec_id long, embedding array<double>, score string")
     got = neighbours.search(df, df.filter("vec_id = 0"), 5).collect()
-    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)][:1] == [1]
+    assert [r.vec_id for r in sorted(got, key=lambda r: r.rank)] == [1, 2]
     assert all(0 < r.score <= 1 for r in got)
     assert neighbours.search(df.limit(0), df.limit(0), 5).count() == 0
