@@ -1,10 +1,14 @@
 """Approximate nearest neighbours by cross-polytope hashing.
 
-A vector goes to the axis, with its sign, that it is nearest to after a fast
-pseudo-rotation (three rounds of sign flips and a Hadamard transform).  Every
-table has its own rotation.  A query looks into the cells of its best signed
-axes in every table (multiprobe); what it meets there is ranked by the exact
-cosine of the original vectors in double precision.
+A hash of a vector is the axis, with its sign, that it is nearest to after a fast
+pseudo-rotation (three rounds of sign flips and a Hadamard transform).  A cell of a
+table is two such hashes, of two rotations of its own.  In every table a query looks
+into the cells that miss its best ones by least (multiprobe), a part of all cells that
+falls with the number of vectors, as neighbours get nearer; what it meets there is
+ranked by the exact cosine of the original vectors in double precision.
+
+Vectors and queries travel by the first hash of a cell; inside, a query is compared with
+the vectors of the second hashes that it looks for.
 
 Cells are split into blocks of at most about ``BLOCK_ROWS`` vectors, and their
 queries into blocks of about ``BLOCK_QUERIES``, however many a cell holds; a block
@@ -31,9 +35,10 @@ from pyspark.sql import functions as F
 
 from streamlens.llm.tables import kept
 
-TABLES = 6
-# Part of the signed axes that a query looks into per table.
-PROBED = 1 / 8
+TABLES = 8
+# Part of the cells that a query looks into per table, for so many vectors.  With four times
+# as many vectors it is 0.7 of that.
+PROBED, PROBED_AT = 0.06, 2000
 ROUNDS = 3
 BLOCK_ROWS = 8192
 BLOCK_QUERIES = 8192
@@ -61,18 +66,37 @@ def rotated(rows: np.ndarray, table: int) -> np.ndarray:
     return out
 
 
-def cells(rows: np.ndarray, table: int, count: int) -> np.ndarray:
-    """The ``count`` nearest signed axes of every row, nearest first."""
-    turned = rotated(rows, table)
-    near = np.concatenate([turned, -turned], axis=1)
-    if count == 1:
-        return near.argmax(axis=1)[:, None]
-    return np.argsort(-near, axis=1, kind="stable")[:, :count]
+def signed_axes(rows: np.ndarray, table: int) -> list[np.ndarray]:
+    """How near every row is to every signed axis, in the two rotations of a table."""
+    both = []
+    for part in (2 * table, 2 * table + 1):
+        turned = rotated(rows, part)
+        both.append(np.concatenate([turned, -turned], axis=1))
+    return both
+
+
+def probes(axes: int, vectors: int) -> int:
+    """How many cells of a table a query looks into."""
+    part = min(1.0, PROBED * (PROBED_AT / max(vectors, 1)) ** 0.25)
+    return max(1, round(axes * axes * part))
 
 
-def probes(dims: int) -> int:
-    axes = 2 * (1 << max(dims - 1, 1).bit_length())
-    return max(1, round(axes * PROBED))
+def probed(near: list[np.ndarray], count: int) -> Iterator[tuple[int, int, np.ndarray]]:
+    """(row, first hash, second hashes) of the ``count`` cells that miss the best by least."""
+    axes = near[0].shape[1]
+    # How many axes of a rotation can be among the best cells at all.
+    reach = min(axes, count)
+    miss = [n.max(axis=1, keepdims=True) - n for n in near]
+    order = [np.argsort(m, axis=1, kind="stable")[:, :reach] for m in miss]
+    short = [np.take_along_axis(m, o, axis=1) ** 2 for m, o in zip(miss, order)]
+    for row in range(len(near[0])):
+        sums = (short[0][row][:, None] + short[1][row][None, :]).reshape(-1)
+        best = np.argsort(sums, kind="stable")[:count]
+        first, second = order[0][row][best // reach], order[1][row][best % reach]
+        by = np.argsort(first, kind="stable")
+        edges = np.flatnonzero(np.diff(first[by], prepend=-1))
+        for at, codes in zip(edges, np.split(second[by], edges[1:])):
+            yield row, int(first[by[at]]), codes
 
 
 def usable(vectors: DataFrame) -> DataFrame:
@@ -103,32 +127,57 @@ def _unit(rows: np.ndarray) -> np.ndarray:
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
-def hashed(vectors: DataFrame, looking: bool) -> DataFrame:
-    """dims, table and cell: one per table, or for queries those they look into."""
+_ROWS = "dims int, table int, cell int, code int, vec_id long, vector array<double>"
+_ASKED = "dims int, table int, cell int, codes array<int>, vec_id long, vector array<double>"
+# Queries that are hashed at once: each becomes some hundred rows.
+QUERY_SLICE = 64
+
+
+def _emitted(batch: pa.RecordBatch, dims: int, table: int, at, cell, code, name: str) -> pa.RecordBatch:
+    taken = batch.select(["vec_id", "vector"]).take(pa.array(at))
+    fixed = (np.full(len(at), v, dtype=np.int32) for v in (dims, table))
+    return pa.RecordBatch.from_arrays(
+        [*map(pa.array, fixed), pa.array(cell, pa.int32()), code, *taken.columns],
+        names=["dims", "table", "cell", name, *taken.schema.names],
+    )
+
+
+def hashed(vectors: DataFrame) -> DataFrame:
+    """Every vector once per table, with the two hashes of its cell, ``cell`` and ``code``."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at, rows in _matrices(batch):
-                unit, dims = _unit(rows), rows.shape[1]
-                count = probes(dims) if looking else 1
+                unit = _unit(rows)
                 for table in range(TABLES):
-                    found = cells(unit, table, count)
-                    rows_at = np.repeat(at, found.shape[1])
-                    taken = batch.take(pa.array(rows_at))
-                    size = len(rows_at)
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(np.full(size, dims, dtype=np.int32)),
-                            pa.array(np.full(size, table, dtype=np.int32)),
-                            pa.array(found.reshape(-1).astype(np.int32)),
-                            *taken.columns,
-                        ],
-                        names=["dims", "table", "cell", *batch.schema.names],
-                    )
-
-    return vectors.mapInArrow(
-        run, "dims int, table int, cell int, vec_id long, vector array<double>"
-    )
+                    cell, code = (n.argmax(axis=1).astype(np.int32) for n in signed_axes(unit, table))
+                    yield _emitted(batch, rows.shape[1], table, at, cell, pa.array(code), "code")
+
+    return vectors.mapInArrow(run, _ROWS)
+
+
+def asked_cells(queries: DataFrame) -> DataFrame:
+    """Queries once per table and first hash they look for, with the second ones in ``codes``.
+
+    ``there`` of a query is the number of vectors of its length.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for start in range(0, whole.num_rows, QUERY_SLICE):
+                batch = whole.slice(start, QUERY_SLICE)
+                there = batch.column("there").to_numpy()
+                for at, rows in _matrices(batch):
+                    unit = _unit(rows)
+                    for table in range(TABLES):
+                        near = signed_axes(unit, table)
+                        count = probes(near[0].shape[1], int(there[at[0]]))
+                        found = [(at[r], c, codes) for r, c, codes in probed(near, count)]
+                        row, cell, codes = zip(*found)
+                        listed = pa.array([c.tolist() for c in codes], pa.list_(pa.int32()))
+                        yield _emitted(batch, rows.shape[1], table, row, cell, listed, "codes")
+
+    return queries.mapInArrow(run, _ASKED)
 
 
 def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -143,23 +192,26 @@ def cosines(query: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 def _best(queries: pd.DataFrame, block: pd.DataFrame, count: int) -> Iterator[tuple]:
-    """The nearest rows of one block for each of its queries."""
-    rows = np.stack(block["vector"].to_numpy())
-    ids = block["vec_id"].to_numpy()
+    """The nearest rows of one block for each of its queries, among those of the codes it looks for."""
+    order = np.argsort(block["code"].to_numpy(), kind="stable")
+    code = block["code"].to_numpy()[order]
+    rows, ids = np.stack(block["vector"].to_numpy())[order], block["vec_id"].to_numpy()[order]
     unit = _unit(rows)
-    for at in range(0, len(queries), 256):
-        part = queries.iloc[at : at + 256]
-        wanted = np.stack(part["vector"].to_numpy())
-        near = _unit(wanted) @ unit.T
-        near[ids[None, :] == part["vec_id"].to_numpy()[:, None]] = -np.inf
-        least = -np.partition(-near, min(count, len(ids)) - 1, axis=1)[:, min(count, len(ids)) - 1]
-        for i, query in enumerate(part["vec_id"].to_numpy()):
-            # Rounding must not decide among equals, so near ties are looked at exactly.
-            at_least = least[i] - 1e-9 if np.isfinite(least[i]) else -2.0
-            kept_at = np.flatnonzero(near[i] >= at_least)
-            exact = cosines(wanted[i], rows[kept_at])
-            for k in np.lexsort((ids[kept_at], -exact))[:count]:
-                yield query, ids[kept_at[k]], exact[k]
+    asked = np.stack(queries["vector"].to_numpy())
+    wanted = _unit(asked)
+    for i, (query, codes) in enumerate(zip(queries["vec_id"].to_numpy(), queries["codes"])):
+        first, last = (np.searchsorted(code, codes, side) for side in ("left", "right"))
+        at = np.concatenate([np.arange(a, b) for a, b in zip(first, last)])
+        at = at[ids[at] != query] if len(at) else at
+        if not len(at):
+            continue
+        near = unit[at] @ wanted[i]
+        # Rounding must not decide among equals, so near ties are looked at exactly.
+        least = -np.partition(-near, min(count, len(at)) - 1)[min(count, len(at)) - 1]
+        at = at[near >= least - 1e-9]
+        exact = cosines(asked[i], rows[at])
+        for k in np.lexsort((ids[at], -exact))[:count]:
+            yield query, ids[at[k]], exact[k]
 
 
 def _blocks(rows: DataFrame, key: list[str], size: int, name: str) -> DataFrame:
@@ -171,7 +223,7 @@ def _blocks(rows: DataFrame, key: list[str], size: int, name: str) -> DataFrame:
 def _met(held: DataFrame, looking: DataFrame, key: list[str], count: int) -> DataFrame:
     """The nearest rows of every block for the queries that look into its cell.
 
-    Both have ``key``, vec_id and vector.
+    Both have ``key``, vec_id and vector; rows have a code, queries the codes they look for.
     """
     sizes = _blocks(held, key, BLOCK_ROWS, "__rows").join(
         _blocks(looking, key, BLOCK_QUERIES, "__queries"), key
@@ -213,26 +265,26 @@ def search(vectors: DataFrame, queries: DataFrame, count: int) -> DataFrame:
     """The ``count`` nearest found of every query: query_id, rank, vec_id, score.
 
     Both sides have vec_id and embedding.  Moved are the vectors once per table
-    and the queries once per cell they look into.
+    and the queries once per table and first hash they look for.
     """
-    rows = kept(hashed(usable(vectors), False), "ann-cells")
-    asked = hashed(usable(queries), True)
-    met = _met(rows, asked, ["dims", "table", "cell"], count)
-    found = kept(_ranked(met, count), "ann-found")
-
+    rows = kept(hashed(usable(vectors)), "ann-cells")
     # Every vector is in one cell of the first table.
     every = rows.filter("table = 0").select("dims", "vec_id", "vector")
-    there = every.groupBy("dims").agg(F.count(F.lit(1)).alias("__there"))
-    wanted = usable(queries).withColumn("dims", F.size("vector"))
+    there = every.groupBy("dims").agg(F.count(F.lit(1)).alias("there"))
+    wanted = usable(queries).withColumn("dims", F.size("vector")).join(there, "dims")
+    wanted = kept(wanted, "ann-queries")
+    met = _met(rows, asked_cells(wanted), ["dims", "table", "cell"], count)
+    found = kept(_ranked(met, count), "ann-found")
     got = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("__got"))
-    enough = F.least(F.lit(count), F.col("__there"))
+    enough = F.least(F.lit(count), F.col("there"))
     short = (
-        wanted.join(there, "dims")
-        .join(got, "vec_id", "left")
+        wanted.join(got, "vec_id", "left")
         .filter(F.coalesce("__got", F.lit(0)) < enough)
         .select("dims", "vec_id", "vector")
     )
     short = kept(short, "ann-short")
-    completed = _ranked(_met(every, short, ["dims"], count), count)
+    alike = F.lit(0)
+    all_codes = short.withColumn("codes", F.array(alike))
+    completed = _ranked(_met(every.withColumn("code", alike), all_codes, ["dims"], count), count)
     others = short.select(F.col("vec_id").alias("query_id"))
     return found.join(others, "query_id", "left_anti").unionByName(completed)
