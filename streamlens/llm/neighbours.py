@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from streamlens.llm.tables import kept
+from streamlens.llm.tables import kept, parallelism
 
 TABLES = 8
 # Part of the cells that a query looks into per table, for so many vectors.  With four times
@@ -91,7 +91,7 @@ def probed(near: list[np.ndarray], count: int) -> Iterator[tuple[int, int, np.nd
     short = [np.take_along_axis(m, o, axis=1) ** 2 for m, o in zip(miss, order)]
     for row in range(len(near[0])):
         sums = (short[0][row][:, None] + short[1][row][None, :]).reshape(-1)
-        best = np.argsort(sums, kind="stable")[:count]
+        best = np.argpartition(sums, count - 1)[:count] if count < len(sums) else np.arange(len(sums))
         first, second = order[0][row][best // reach], order[1][row][best % reach]
         by = np.argsort(first, kind="stable")
         edges = np.flatnonzero(np.diff(first[by], prepend=-1))
@@ -272,7 +272,8 @@ def search(vectors: DataFrame, queries: DataFrame, count: int) -> DataFrame:
     every = rows.filter("table = 0").select("dims", "vec_id", "vector")
     there = every.groupBy("dims").agg(F.count(F.lit(1)).alias("there"))
     wanted = usable(queries).withColumn("dims", F.size("vector")).join(there, "dims")
-    wanted = kept(wanted, "ann-queries")
+    # Few, but much work each: dealt out, or they would share a task.
+    wanted = kept(wanted.repartition(parallelism(rows.sparkSession), "vec_id"), "ann-queries")
     met = _met(rows, asked_cells(wanted), ["dims", "table", "cell"], count)
     found = kept(_ranked(met, count), "ann-found")
     got = found.groupBy(F.col("query_id").alias("vec_id")).agg(F.count(F.lit(1)).alias("__got"))
