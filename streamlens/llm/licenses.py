@@ -171,17 +171,74 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+# Lists are gone through in pieces of this size, as appending to a list copies it: the work for
+# n items grows with n * CHUNK + (n / CHUNK) ** 2 copied cells, not with n ** 2.
+CHUNK = 64
+
+
+def _chunks(items: str) -> str:
+    last = f"cast(floor((size({items}) - 1) / {CHUNK}) AS int)"
+    return f"transform(sequence(0, greatest({last}, 0)), c -> slice({items}, c * {CHUNK} + 1, {CHUNK}))"
+
+
+def _named(value: str, name: str, use: str) -> str:
+    """``use``, in which ``name`` is ``value``, computed once."""
+    return f"transform(array({value}), {name} -> {use})[0]"
+
+
 # Where a pattern matches: the lengths of what stands between and of the matches,
 # summed up from the left; a span is (start, end) in characters.
-_SPANS = """
-aggregate(
-  zip_with(split(text, {p}, -1), regexp_extract_all(text, {p}, 0), (gap, hit) -> struct(gap, hit)),
-  struct(0 AS at, cast(array() AS array<struct<start: int, end: int>>) AS spans),
-  (acc, x) -> CASE WHEN x.hit IS NULL THEN acc ELSE struct(
-    acc.at + length(x.gap) + length(x.hit) AS at,
-    concat(acc.spans, array(struct(
-      acc.at + length(x.gap) AS start, acc.at + length(x.gap) + length(x.hit) AS end))) AS spans) END,
-  acc -> acc.spans)
+_NO_SPANS = "cast(array() AS array<struct<start: int, end: int>>)"
+_PIECES = """
+filter(
+  zip_with(split(__text, {p}, -1), regexp_extract_all(__text, {p}, 0),
+           (gap, hit) -> struct(length(gap) AS gap, length(hit) AS hit)),
+  x -> x.hit IS NOT NULL)
+"""
+_IN_CHUNK = f"""
+aggregate(chunk, struct(0 AS at, {_NO_SPANS} AS spans), (acc, x) -> struct(
+  acc.at + x.gap + x.hit AS at,
+  concat(acc.spans, array(struct(
+    acc.at + x.gap AS start, acc.at + x.gap + x.hit AS end))) AS spans))
+"""
+_JOINED = f"""
+flatten(zip_with(
+  locals,
+  aggregate(locals, array(0), (acc, l) -> concat(acc, array(element_at(acc, -1) + l.at))),
+  (l, o) -> CASE WHEN l IS NULL THEN {_NO_SPANS}
+    ELSE transform(l.spans, s -> struct(s.start + o AS start, s.end + o AS end)) END))
+"""
+
+
+def _spans(pattern: str) -> str:
+    within = f"transform({_chunks('pieces')}, chunk -> {_IN_CHUNK})"
+    return _named(_PIECES.format(p=pattern), "pieces", _named(within, "locals", _JOINED))
+
+
+# Per priority, the furthest end so far: a detection is inside an earlier one of at least its
+# priority if that one reaches its end.  A chunk starts with the ends of all before it.
+_NO_ENDS = "cast(map() AS map<int, int>)"
+_DETECTIONS = "array<struct<label: string, priority: int, start: int, end: int>>"
+_FURTHER = """map_concat(map_filter({ends}, (k, v) -> k <> x.priority),
+  map(x.priority, greatest(x.end, coalesce({ends}[x.priority], 0))))"""
+_ENDS_OF_CHUNKS = f"""
+transform(chunks, c -> aggregate(c, {_NO_ENDS}, (m, x) -> {_FURTHER.format(ends='m')}))
+"""
+_ENDS_BEFORE = f"""
+aggregate({_ENDS_OF_CHUNKS}, array({_NO_ENDS}), (acc, m) ->
+  concat(acc, array(map_zip_with(element_at(acc, -1), m, (k, a, b) -> greatest(a, b)))))
+"""
+_KEPT = f"""
+flatten(zip_with(chunks, {_ENDS_BEFORE}, (c, before) -> CASE WHEN c IS NULL
+  THEN cast(array() AS {_DETECTIONS})
+  ELSE aggregate(c,
+    struct(before AS ends, cast(array() AS {_DETECTIONS}) AS kept),
+    (acc, x) -> struct(
+      {_FURTHER.format(ends='acc.ends')} AS ends,
+      CASE WHEN exists(map_entries(acc.ends), e -> e.key >= x.priority AND e.value >= x.end)
+           THEN acc.kept
+           ELSE concat(acc.kept, array(struct(x.label, x.priority, x.start, x.end))) END AS kept),
+    acc -> acc.kept) END))
 """
 
 
@@ -199,7 +256,7 @@ def detections(documents: DataFrame, text: str = "text") -> DataFrame:
     tried = f"filter({_rule_table()}, r -> forall(r.keywords, k -> contains(__low, k)))"
     hits = f"""
       flatten(transform({tried}, r -> transform(
-        {_SPANS.format(p='r.pattern').replace('text,', '__text,')},
+        {_spans('r.pattern')},
         s -> struct(s.start AS start, s.end AS end, r.priority AS priority, r.rule AS rule, r.label AS label))))
     """
     # Longest first from each start: what can contain a detection stands before it.
@@ -210,27 +267,13 @@ def detections(documents: DataFrame, text: str = "text") -> DataFrame:
         WHEN a.priority <> b.priority THEN b.priority - a.priority
         ELSE a.rule - b.rule END)
     """
-    # Per priority, the furthest end so far: a detection is inside an earlier one
-    # of at least its priority if that one reaches its end.
-    kept = """
-      aggregate(__hits,
-        struct(cast(map() AS map<int, int>) AS ends,
-               cast(array() AS array<struct<label: string, priority: int, start: int, end: int>>) AS kept),
-        (acc, x) -> struct(
-          map_concat(map_filter(acc.ends, (k, v) -> k <> x.priority),
-                     map(x.priority, greatest(x.end, coalesce(acc.ends[x.priority], 0)))) AS ends,
-          CASE WHEN exists(map_entries(acc.ends), e -> e.key >= x.priority AND e.value >= x.end)
-               THEN acc.kept
-               ELSE concat(acc.kept, array(struct(x.label, x.priority, x.start, x.end))) END AS kept),
-        acc -> acc.kept)
-    """
-    kind = "array<struct<label: string, priority: int, start: int, end: int>>"
+    kept = _named(_chunks("__hits"), "chunks", _KEPT)
     found = documents.withColumn("__text", F.coalesce(F.col(text), F.lit("")))
     # Only the keywords are looked for in lower case; beyond ASCII it may fold more.
     # The one-row generator keeps Catalyst from repeating it for every keyword.
     found = found.withColumn("__low", F.explode(F.array(F.lower("__text"))))
     found = found.withColumn("__hits", F.when(gate, F.expr(ordered)))
-    found = found.withColumn("detections", F.coalesce(F.expr(kept), F.expr(f"cast(array() AS {kind})")))
+    found = found.withColumn("detections", F.coalesce(F.expr(kept), F.expr(f"cast(array() AS {_DETECTIONS})")))
     return found.drop("__text", "__low", "__hits")
 
 
