@@ -2,7 +2,8 @@
 
 Base spans are found by pattern and a check (``email``, ``ip``, ``card``,
 ``phone``).  Every distinct value found is a protected entity, and every word of a
-document that holds one, on any line, is a term that may reveal it.  Over the whole
+document that holds one, on any line, is a term that may reveal it.  Entities of the same documents
+are judged as one.  Over the whole
 corpus, PMI(e; t) = log2(n(e, t) * N / (n(e) * n(t))) is taken from the numbers of
 documents that hold them anywhere; a term is disclosive for an entity if
 PMI >= IC(e) / alpha, with IC(e) = log2(N / n(e)).  With alpha = 1 only terms that never
@@ -206,22 +207,38 @@ def _stripped(words: arrays.Words) -> tuple[np.ndarray, np.ndarray]:
     return starts, ends
 
 
+def alike(found: DataFrame) -> DataFrame:
+    """(row, classes): the entities of every row, those that stand in exactly the same rows as one.
+
+    Such entities are beside the same terms in the same documents, so they are judged together:
+    a list of very many addresses that occur nowhere else is one class, not a pair with each of its
+    words.  A class is named by 128 bits of its rows.
+    """
+    seen = found.filter("text IS NOT NULL").select("row", F.explode("entities").alias("entity"))
+    marks = (F.bit_xor(F.xxhash64(F.lit(salt), "row")).alias(f"mark{salt}") for salt in (1, 2))
+    classes = seen.groupBy("entity").agg(F.count(F.lit(1)).alias("n"), *marks)
+    named = classes.select("entity", F.xxhash64("n", "mark1", "mark2").alias("class"))
+    return seen.join(named, "entity").groupBy("row").agg(F.collect_set("class").alias("classes"))
+
+
 def together(found: DataFrame, documents: DataFrame, n_all: int, alpha: float = ALPHA) -> DataFrame:
     """(row, tag, entity, term, n_term) of every term beside an entity that may be disclosive.
 
+    ``entity`` is a class of ``alike``.
+
     Only documents with an entity hold pairs.  A pair has no more documents than its
     term has beside any entity, which leaves out words that are common elsewhere.
     """
     # n(e, t) / n(t) >= (n(e) / N) ** (1 - 1 / alpha), least for n(e) = 1.
     share = min(1.0, max(n_all, 1) ** (1 / alpha - 1)) - 1e-9
-    holding = found.filter("text IS NOT NULL")
+    holding = found.filter("text IS NOT NULL").select("row", "tag", "terms").join(alike(found), "row")
     beside = holding.select(F.explode("terms").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("n_beside"))
     possible = term_counts(documents).join(beside, "term").filter(F.col("n_beside") >= share * F.col("n_term"))
     possible = kept(possible.select("term", "n_term"), "pii-terms")
-    terms = holding.select("row", "tag", "entities", F.explode("terms").alias("term"))
+    terms = holding.select("row", "tag", "classes", F.explode("terms").alias("term"))
     # Written before pairs are counted, so that Spark can split a term of very many documents.
     return kept(
-        terms.join(possible, "term").select("row", "tag", F.explode("entities").alias("entity"), "term", "n_term"),
+        terms.join(possible, "term").select("row", "tag", F.explode("classes").alias("entity"), "term", "n_term"),
         "pii-pairs",
     )
 
@@ -234,7 +251,7 @@ def disclosive(found: DataFrame, beside: DataFrame, n_all: int, alpha: float = A
         texts.groupBy("entity", "term", "n_term").agg(F.sum("n").alias("n_both"), F.count(F.lit(1)).alias("n_texts")),
         "pii-together",
     )
-    entities = found.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
+    entities = alike(found).select(F.explode("classes").alias("entity")).groupBy("entity").agg(
         F.count(F.lit(1)).alias("n_entity")
     )
     entities = kept(entities, "pii-entities")

@@ -9,6 +9,7 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from oracle_check import connect, spark_rows, sql_rows
@@ -176,6 +177,20 @@ def test_terms_of_the_table_equal_brute_force(spark):
     assert many > 0
 
 
+def test_a_list_of_many_values_is_no_product(docs):
+    """Values of one document only are judged as one: pairs grow with its words, not its words times them."""
+    rows = [(i, f"plain row{i}") for i in range(300)]
+    rows += [(400, " ".join(f"Person{i}: p{i}@x.org" for i in range(1500)))]
+    rows += [(401, "other q@x.org p7@x.org")]
+    table = docs(*rows)
+    found = pii.kept(pii.find(table).withColumn("row", F.monotonically_increasing_id()), "test-found")
+    beside = pii.together(found, table, len(rows))
+    assert 1500 <= beside.count() < 7000
+    by = {r.doc_id: r for r in pii.detect(table).collect()}
+    assert by[400].n_email == 1500 and by[400].spans.count("term:") == 1500
+    assert term_words(by[401], rows[-1][1]) == {"other"}
+
+
 def test_base_spans_of_the_table(spark):
     found = {r.doc_id: r for r in QUERIES["op9_pii"](spark, SMALL).collect()}
     for row in spark.read.parquet(f"{SMALL}/documents.parquet").collect():
