@@ -471,6 +471,10 @@ ORACLE: dict[str, str] = {
         _RESTAURANTS, "lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 40"
     ),
     "colocated_all_groups": _groups(_RESTAURANTS, "TRUE"),
+    "band_by_place": (
+        f"SELECT * FROM ({_RESTAURANTS}) AS r"
+        " WHERE lat BETWEEN 905 AND 920 AND lng BETWEEN 10 AND 20"
+    ),
     "exact_split_rows": (
         'SELECT "offset", pos, CASE WHEN row_number() OVER (ORDER BY md5("offset" || \'/\' || pos))'
         " <= round(0.9 * count(*) OVER ()) THEN 'train' ELSE 'test' END AS part"

@@ -18,7 +18,7 @@ from streamlens.plans import mapping as mp
 from streamlens.sinks.batches import RUN_KEYS, FolderSink
 from streamlens.sinks.log import LoggedFolder
 from streamlens.sinks.outbox import PublishOnce, TopicFolder
-from streamlens.sources import colocated
+from streamlens.sources import colocated, places
 from streamlens.sources.scratch import fresh_folder, settle
 from streamlens.sources.streams import replay_source
 from streamlens.sources.tables import (
@@ -194,6 +194,14 @@ def _colocated(
     return mp.rounded(settled, "avg_rating")
 
 
+def band_by_place(spark: SparkSession, folder: str) -> DataFrame:
+    """Restaurants of a narrow band, from files along a Z-order curve."""
+    path = fresh_folder(spark, "places")
+    restaurants = mp.restaurants(spark, folder)
+    places.store_by_place(restaurants, path, 2 * int(spark.conf.get("spark.sql.shuffle.partitions")))
+    return places.restaurants_in_band(spark, path, restaurants.schema, (905.0, 920.0), (10.0, 20.0))
+
+
 # --- tokens and samples -----------------------------------------------------
 
 
@@ -778,6 +786,7 @@ QUERIES: dict[str, mp.Query] = {
         orc_roundtrip,
         colocated_lookup,
         colocated_all_groups,
+        band_by_place,
         message_tokens,
         padded_text_tokens,
         token_preview,
