@@ -269,8 +269,8 @@ _FINDINGS = """
 WITH e AS (
   SELECT CAST(event_id % 4 AS INTEGER) AS p, event_id // 4 AS o FROM events
 ), r AS (
-  SELECT p, o, CASE WHEN o % 2000 BETWEEN 1250 AND 1299 THEN 2 ELSE 1 END AS times
-  FROM e WHERE NOT (o % 1000 BETWEEN 500 AND 510 + p)
+  SELECT p, o, CASE WHEN o % 400 BETWEEN 150 AND 159 THEN 2 ELSE 1 END AS times
+  FROM e WHERE NOT (o % 200 BETWEEN 50 AND 55 + p)
 ), ends AS (
   SELECT p, min(o) AS low, max(o) AS high FROM r GROUP BY p
 ), every AS (

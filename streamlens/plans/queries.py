@@ -717,11 +717,11 @@ def offset_findings(spark: SparkSession, folder: str) -> DataFrame:
         F.floor(F.col("event_id") / 4).alias("offset"),
     )
     offset = F.col("offset")
-    read = events.filter(~(offset % 1000).between(500, 510 + F.col("partition")))
+    read = events.filter(~(offset % 200).between(50, 55 + F.col("partition")))
     ledger_of = ledger.OffsetLedger.below(fresh_folder(spark, "ledger"))
-    first = offset % 2000 < 1300
+    first = offset % 400 < 160
     ledger_of.note(read.filter(first), 0)
-    ledger_of.note(read.filter(~first | (offset % 2000 >= 1250)), 1)
+    ledger_of.note(read.filter(~first | (offset % 400 >= 150)), 1)
     return ledger.findings(ledger_of.read(spark)).drop("run_id")
 
 
