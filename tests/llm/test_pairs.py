@@ -374,3 +374,50 @@ def test_query_equals_its_sql(spark, name):
 def test_every_operator_is_registered():
     numbers = sorted(int(n[2:].split("_")[0]) for n in QUERIES)
     assert numbers == list(range(1, 14))
+
+
+def edge_rows(spark):
+    """Clean documents, and rows with nulls, no words, repeats, ties and very long texts."""
+    clean = spark.read.parquet(f"{SMALL}/documents.parquet").orderBy("doc_id").limit(60)
+    kind = "doc_id long, text string, lang string, source string, n_chars long"
+    words = [r.text for r in clean.orderBy("doc_id").collect()]
+    long = " ".join(words[:20]) * 3
+    odd = [
+        (900, None, "en", "s", None), (900, None, "en", "s", None), (901, "", None, None, None), (902, " \t", "en", "s", 2),
+        (903, "12345 67890", "en", "s", 11), (None, long, None, None, None), (904, long, "en", None, None),
+        (905, long, "en", "s", None), (905, long, "en", "s", None), (905, long + " tie", "en", "s", None),
+    ]
+    return clean.select("doc_id", "text", "lang", "source", "n_chars").unionByName(spark.createDataFrame(odd, kind)), long
+
+
+def test_stages_give_odd_rows_their_defined_results(spark):
+    table, long = edge_rows(spark)
+    stages = dict(corpus_pipeline.STAGES)
+
+    def odd(name):
+        rows = stages[name](spark, table, SMALL).collect()
+        return Counter((r.doc_id, r.text) for r in rows if r.doc_id is None or r.doc_id >= 900)
+
+    every = Counter((r.doc_id, r.text) for r in table.collect() if r.doc_id is None or r.doc_id >= 900)
+    told = odd("language_id")
+    assert not any(d in (900, 901, 902, 903) for d, _ in told)
+    # Rows of one text are judged alike, each of them.
+    assert {told[k] for k in every if k[1] == long} in ({0}, {1, 2})
+    kept = odd("near_duplicates")
+    assert (kept[900, None], kept[901, ""], kept[902, " \t"], kept[903, "12345 67890"]) == (2, 1, 1, 1)
+    assert kept[904, long] == 1 and sum(n for (d, t), n in kept.items() if t and t.startswith(long)) == 1
+    searched = odd("decontamination")
+    assert all(searched[k] in (0, n) for k, n in every.items()) and searched[900, None] == 2
+    mixed = odd("source_mixing")
+    assert not any((t or "").strip() == "" for _, t in mixed)
+    assert all(n <= 3 * every[k] for k, n in mixed.items())
+
+
+def test_token_report_of_odd_rows(spark):
+    table, _ = edge_rows(spark)
+    report = dict(corpus_pipeline.STAGES)["token_files"](spark, table, SMALL)
+    rows = sorted(report.collect(), key=lambda r: r.start)
+    assert len(rows) == table.count()
+    assert [r.doc_id for r in rows] == sorted((r.doc_id for r in rows), key=lambda d: (d is not None, d))
+    assert [r.n_tokens for r in rows if r.doc_id in (900, 901)] == [1, 1, 1]
+    assert [r.start for r in rows] == [sum(x.n_tokens for x in rows[:i]) for i in range(len(rows))]
