@@ -8,11 +8,13 @@ from streamlens.config import JobConfig
 from streamlens.operators import lookup, regression, stats
 from streamlens.operators.samples import parse_samples
 from streamlens.operators.tokens import (
+    MESSAGE_POSITION,
     TOKEN_POSITION,
     count_tokens,
     explode_tokens,
     message_values,
 )
+from streamlens.plans import queries
 from streamlens.sinks.batches import RUN_KEYS, FolderSink, TableSink
 from streamlens.sinks.log import LoggedFolder
 from streamlens.sinks.outbox import TopicFolder
@@ -252,6 +254,54 @@ def test_rows_that_another_application_adds_are_seen(spark, tmp_path):
     assert catalog_table(spark, "shared.reviews").count() == 5
 
 
+def test_a_day_of_many_events_is_parsed_by_several_tasks(spark, tmp_path):
+    """A day is one file; a large one must not stay in the task that reads it, a small one may."""
+    folder, many, few = str(tmp_path), 150_000, 3
+    first_day = "TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_interval(0, 0, 0, 0, 0, 0, id % 86400)"
+    events = spark.range(many + few).selectExpr(
+        "id AS event_id",
+        f"IF(id < {many}, {first_day}, TIMESTAMP_NTZ'2024-01-02 10:00:00') AS ts",
+        "id % 997 AS user_id",
+        "IF(id % 2 = 0, 'view', 'click') AS event_type",
+        "round(rand(7) * 100, 2) AS value",
+    )
+    events.write.parquet(f"{folder}/events.parquet")
+    spark.range(4).selectExpr(
+        "id AS p_partkey", "'t' AS p_type", "50 AS p_size", "920.0D AS p_retailprice"
+    ).write.parquet(f"{folder}/part.parquet")
+    spark.range(8).selectExpr(
+        "id AS l_suppkey", "id % 4 AS l_partkey", "5.0D AS l_quantity"
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    out = queries._many_batches(spark, folder)
+    found = out.predictions.read(spark).withColumn("file", F.input_file_name())
+    per_batch = found.groupBy("batch_id").agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("file").alias("files")
+    )
+    large, small = sorted(per_batch.collect(), key=lambda r: -r.rows)
+    assert (large.rows, small.rows, small.files) == (2 * many, 2 * few, 1)
+    assert large.files > 1
+    # Once each, as if they had stayed in their file.
+    assert found.select(*TOKEN_POSITION).distinct().count() == 2 * (many + few)
+
+
+def test_dealt_rows_are_those_of_the_files(spark, replay):
+    """Also messages without a place or a value, and equal ones."""
+    job = replay()
+    rows = [(None, v, t, p, o, None) for v, t, p, o in [
+        ("1,2", "t", 0, 1), ("1,2", "t", 0, 1), (None, "t", 0, 2), ("3,4", None, None, None),
+        ("", "t", 1, None),
+    ]]
+    df = spark.createDataFrame(rows, MESSAGE_SCHEMA)
+    df.coalesce(1).write.parquet(f"{job.base}/messages")
+    by = (*MESSAGE_POSITION, "value")
+    stream = replay_source(spark, f"{job.base}/messages", max_files_per_trigger=1, deal_by=by)
+    seen = []
+    stream.writeStream.foreachBatch(lambda batch, _: seen.extend(batch.collect())).option(
+        "checkpointLocation", f"{job.base}/checkpoint"
+    ).trigger(availableNow=True).start().awaitTermination()
+    assert sorted(map(repr, seen)) == sorted(map(repr, df.collect()))
+
+
 def test_sgd_solver(spark, replay):
     job = replay(solver="sgd", step_size=0.1)
     job.arrive(BATCHES[0])
