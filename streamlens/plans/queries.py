@@ -601,9 +601,8 @@ def _many_batches(spark: SparkSession, folder: str) -> Outputs:
     outputs = Outputs.in_folder(f"{base}/output")
     reviews, restaurants = mp.reviews(spark, folder), mp.sized_restaurants(spark, folder)
     job = BatchJob(cfg, lambda: reviews, lambda: restaurants, outputs)
-    by = (*tokens.MESSAGE_POSITION, "value")
-    stream = replay_source(spark, f"{base}/in/*", max_files_per_trigger=1, deal_by=by)
-    start_job(stream, job, f"{base}/checkpoint", available_now=True).awaitTermination()
+    stream = replay_source(spark, f"{base}/in/*", max_files_per_trigger=1)
+    start_job(stream, job, f"{base}/checkpoint", available_now=True, deal=True).awaitTermination()
     return outputs
 
 

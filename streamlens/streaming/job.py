@@ -22,6 +22,7 @@ from streamlens.operators.regression import ridge_columns, sgd_columns
 from streamlens.operators.samples import malformed, parse_tokens, well_formed
 from streamlens.operators.stats import split_part
 from streamlens.operators.tokens import (
+    MESSAGE_POSITION,
     TOKEN_POSITION,
     explode_tokens,
     message_values,
@@ -105,6 +106,20 @@ def parsed_stream(messages: DataFrame) -> DataFrame:
     return parse_tokens(tokens.select(*TOKEN_POSITION, "token"))
 
 
+# So many messages are worth a task of their own.
+DEAL_ROWS = 50_000
+
+
+def dealt(messages: DataFrame, rows: int = DEAL_ROWS) -> DataFrame:
+    """The messages of one batch, dealt out by a hash to a task per ``rows`` of them.
+
+    A file of one row group is read by one task, and what follows without a shuffle stays
+    in it.  A batch of up to ``rows`` is left as it is, with the order its sums are taken in.
+    """
+    tasks = -(-messages.count() // rows)
+    return messages.repartition(tasks, *MESSAGE_POSITION, "value") if tasks > 1 else messages
+
+
 _MOMENTS = ("n", "mx", "my", "sxx", "syy", "sxy")
 
 
@@ -296,14 +311,23 @@ def start_job(
     job: BatchJob,
     checkpoint: str,
     available_now: bool = False,
+    deal: bool = False,
 ) -> StreamingQuery:
-    """Start the stream; a restart with the same checkpoint resumes it."""
+    """Start the stream; a restart with the same checkpoint resumes it.
+
+    ``deal`` is for sources that bring a batch in fewer tasks than there are cores.
+    """
     trigger = {"availableNow": True} if available_now else {
         "processingTime": job.cfg.batch_interval
     }
+
+    def run_dealt(batch: DataFrame, batch_id: int) -> None:
+        job(parsed_stream(dealt(batch)), batch_id)
+
+    # How many messages there are is known of a batch, not of a stream.
+    stream, run = (messages, run_dealt) if deal else (parsed_stream(messages), job)
     return (
-        parsed_stream(messages)
-        .writeStream.foreachBatch(job)
+        stream.writeStream.foreachBatch(run)
         .option("checkpointLocation", checkpoint)
         .trigger(**trigger)
         .start()

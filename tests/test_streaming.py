@@ -8,7 +8,6 @@ from streamlens.config import JobConfig
 from streamlens.operators import lookup, regression, stats
 from streamlens.operators.samples import parse_samples
 from streamlens.operators.tokens import (
-    MESSAGE_POSITION,
     TOKEN_POSITION,
     count_tokens,
     explode_tokens,
@@ -27,6 +26,7 @@ from streamlens.streaming.job import (
     MalformedBatch,
     Outputs,
     RESULT_SCHEMA,
+    dealt,
     parsed_stream,
     run_job,
     start_job,
@@ -284,22 +284,16 @@ def test_a_day_of_many_events_is_parsed_by_several_tasks(spark, tmp_path):
     assert found.select(*TOKEN_POSITION).distinct().count() == 2 * (many + few)
 
 
-def test_dealt_rows_are_those_of_the_files(spark, replay):
-    """Also messages without a place or a value, and equal ones."""
-    job = replay()
+def test_dealt_rows_are_those_of_the_batch(spark):
+    """Also messages without a place or a value, and equal ones; few are left as they are."""
     rows = [(None, v, t, p, o, None) for v, t, p, o in [
         ("1,2", "t", 0, 1), ("1,2", "t", 0, 1), (None, "t", 0, 2), ("3,4", None, None, None),
         ("", "t", 1, None),
     ]]
     df = spark.createDataFrame(rows, MESSAGE_SCHEMA)
-    df.coalesce(1).write.parquet(f"{job.base}/messages")
-    by = (*MESSAGE_POSITION, "value")
-    stream = replay_source(spark, f"{job.base}/messages", max_files_per_trigger=1, deal_by=by)
-    seen = []
-    stream.writeStream.foreachBatch(lambda batch, _: seen.extend(batch.collect())).option(
-        "checkpointLocation", f"{job.base}/checkpoint"
-    ).trigger(availableNow=True).start().awaitTermination()
-    assert sorted(map(repr, seen)) == sorted(map(repr, df.collect()))
+    assert sorted(map(repr, dealt(df, 2).collect())) == sorted(map(repr, df.collect()))
+    assert dealt(df, 5) is df
+    assert dealt(df.limit(0), 5).count() == 0
 
 
 def test_sgd_solver(spark, replay):
