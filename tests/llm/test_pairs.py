@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import types
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -10,8 +11,9 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from streamlens.llm import components, decontaminate, jaccard, substrings
+from streamlens.llm import arrays, components, decontaminate, jaccard, substrings
 from oracle_check import connect, spark_rows, sql_rows
+from streamlens.llm.arrays import mix
 from streamlens.llm.queries import ORACLE, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
@@ -233,6 +235,57 @@ def test_local_join_rebuilds_its_lists(count):
                 assert label[i] == label[j]
 
 
+def test_a_batch_is_filed_in_one_row_for_each_bucket():
+    """One batch of rows for all buckets, however many: their number must not multiply the work."""
+    texts = [t for _, t in near_rows(random.Random(11))]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (names, sizes, sets), = jaccard._gathered([batch])
+    for buckets in (1, 7, 600):
+        dealt = [b for b in jaccard._file(buckets, np.empty(0, dtype=np.uint64), 8)([batch]) if b.column("keys")[0].as_py()]
+        assert len(dealt) == 1 and len(dealt[0]) <= buckets
+        got = set()
+        for row in dealt[0].to_pylist():
+            own = np.frombuffer(row["sets"], "<u4")
+            key = np.frombuffer(row["keys"], "<u8")
+            name, size = (np.frombuffer(row[c], "<i8") for c in ("names", "sizes"))
+            assert len(own) == len(key) == len(row["ties"]) and len(name) == len(size) == len(set(own.tolist()))
+            assert {int(b) for b in (mix(key) >> np.uint64(33)) % np.uint64(buckets)} == {row["bucket"]}
+            got |= set(zip(key.tolist(), name[own].tolist(), size[own].tolist()))
+        if buckets == 1:
+            want = got
+        assert got == want
+    keys = {(k, n, s) for n, s, own in zip(names.tolist(), sizes.tolist(), sets)
+            for k in jaccard.signatures(own, np.zeros(len(own), dtype=int), 8).tolist()}
+    assert want <= keys and {k for k, _, _ in want} == {k for k, _, _ in keys}
+
+
+def test_documents_and_counts_come_from_one_pass(spark, docs):
+    """Every text is cut into shingles once for both."""
+    cut = spark.sparkContext.accumulator(0)
+    sets_of = jaccard.shingle_sets
+
+    def counted(texts):
+        cut.add(len(texts))
+        return sets_of(texts)
+
+    survey = types.FunctionType(jaccard.survey.__code__, {**vars(jaccard), "shingle_sets": counted})
+    table = docs(*near_rows(random.Random(12)))
+    texts = table.selectExpr("doc_id", "xxhash64(text) AS tag", "text")
+    rows, counts = survey(texts)
+    assert rows.count() == 260 and cut.value == 260 and counts.count() > 0
+    want = Counter(x for s in sets_of(pa.array([r.text for r in table.collect()])) for x in s.view(np.int64).tolist())
+    assert all(want[r.shingle] >= r.times > 1 for r in counts.collect())
+
+
+def test_quick_hashes_tell_words_apart():
+    words = ["", "a", "A", "ab", "abcdefgh", "abcdefghi", "abcdefgh\0", "a\0", "x" * 63, "x" * 64, "x" * 65, "x" * 64 + "y", "x" * 500, "é"]
+    texts = arrays.split_words(pa.array([" ".join(words + words[::-1]), "\t".join(words).upper(), None]))
+    found = texts.quick_hashes(lower=True)
+    same = [bytes(texts.data[a:b]).lower() for a, b in zip(texts.starts, texts.ends)]
+    assert len(same) == 3 * (len(words) - 1) and len(set(same)) == len(set(found.tolist())) == len(set(zip(same, found.tolist())))
+    assert np.array_equal(arrays.split_words(pa.array(["é", "x" * 500])).quick_hashes(), arrays.split_words(pa.array(["é " + "x" * 500])).quick_hashes())
+
+
 def test_boundary_follows_the_lists():
     assert jaccard.boundary(1.0) < jaccard.boundary(50.0) <= jaccard.MOST_BOUNDARY
 
