@@ -25,9 +25,10 @@ BASE_PHRASES = {
     "mit": ("mit license", "mit"),
 }
 
-# A word is a run of ASCII letters, digits and anything beyond ASCII.
-_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
-_GAP = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+# A word is a run of ASCII letters, digits and anything beyond ASCII.  The others are listed one
+# by one: Java looks single characters up in a table and tries ranges in turn, which is far slower.
+_OTHERS = "".join(rf"\x{code:02X}" for code in range(128) if not chr(code).isalnum())
+_WORD, _GAP = f"[^{_OTHERS}]+", f"[{_OTHERS}]+"
 _BEFORE, _AFTER = rf"(?<!{_WORD[:-1]})", rf"(?!{_WORD[:-1]})"
 
 
@@ -37,7 +38,8 @@ class Rule:
     priority wins.
 
     The words of ``gate`` occur wherever the pattern can match, too; many rules share
-    one, so that few are looked for in every text.
+    one, so that few are looked for in every text.  So does ``stem``, a pattern that is
+    looked for once for all rules with the same keyword and stem.
     """
 
     label: str
@@ -45,6 +47,7 @@ class Rule:
     pattern: str
     priority: int
     gate: str = ""
+    stem: str = ""
 
 
 # License families, names as they are written, and versions.
@@ -111,6 +114,9 @@ GRANTS = (
 )
 
 
+_SPDX = "spdx-license-identifier:"
+
+
 def _spaced(pattern: str) -> str:
     return pattern.replace(" ", r"\s+")
 
@@ -124,30 +130,30 @@ def rules() -> list[Rule]:
     """All signature rules, some hundreds, in the order of the tables above."""
     found: list[Rule] = []
     for label, name, keyword, versions in FAMILIES:
-        found.append(Rule(label, keyword, name, 50, "licen"))
+        found.append(Rule(label, keyword, name, 50, "licen", name))
         later = r",?(?: (?:as published by the free software foundation[;,]? )?(?:either )?(?:v|version )[0-9.]+[;,]?)? (?:or any|or \(at your option\) any) later version"
-        found.append(Rule(f"{label}-or-later", keyword, name + later, 85, "licen"))
+        found.append(Rule(f"{label}-or-later", keyword, name + later, 85, "licen", name))
         for version in versions:
             number = _version(version)
-            found.append(Rule(f"{label}-{version}", keyword, rf"{name},? (?:v|version |v\. ?)?{number}", 80, "licen"))
-            found.append(Rule(f"{label}-{version}", "spdx", rf"spdx-license-identifier: ?{label}-{number}(?:-only|-or-later|\+)?", 95))
+            found.append(Rule(f"{label}-{version}", keyword, rf"{name},? (?:v|version |v\. ?)?{number}", 80, "licen", name))
+            found.append(Rule(f"{label}-{version}", "spdx", rf"spdx-license-identifier: ?{label}-{number}(?:-only|-or-later|\+)?", 95, stem=_SPDX))
             if label in SHORT_NAMES:
-                found.append(Rule(f"{label}-{version}", label, rf"{label}[- ]?v?{number}", 60))
+                found.append(Rule(f"{label}-{version}", label, rf"{label}[- ]?v?{number}", 60, stem=rf"{label}[- ]?v?[0-9]"))
         if not versions:
-            found.append(Rule(label, "spdx", rf"spdx-license-identifier: ?{label}", 95))
+            found.append(Rule(label, "spdx", rf"spdx-license-identifier: ?{label}", 95, stem=_SPDX))
     for count in BSD_CLAUSES:
         found.append(Rule(f"bsd-{count}-clause", "bsd", rf"(?:bsd[- ]{count}[- ]clause|{count}[- ]clause bsd)(?: licen[cs]e)?", 80))
-        found.append(Rule(f"bsd-{count}-clause", "spdx", rf"spdx-license-identifier: ?bsd-{count}-clause", 95))
+        found.append(Rule(f"bsd-{count}-clause", "spdx", rf"spdx-license-identifier: ?bsd-{count}-clause", 95, stem=_SPDX))
     found.append(Rule("bsd", "bsd", "(?:new |simplified |modified )?bsd(?:-style)? licen[cs]e", 50))
     for part in CC_PARTS:
         written = part.replace("-", "[- ]")
-        found.append(Rule(f"cc-{part}", "cc by", rf"cc[- ]{written}", 40 + len(part)))
-        found.append(Rule(f"cc-{part}", "creative commons", rf"creative commons {CC_NAMES[part]}", 50 + len(part)))
+        found.append(Rule(f"cc-{part}", "cc by", rf"cc[- ]{written}", 40 + len(part), stem="cc[- ]by"))
+        found.append(Rule(f"cc-{part}", "creative commons", rf"creative commons {CC_NAMES[part]}", 50 + len(part), stem="creative commons attribution"))
         for version in CC_VERSIONS:
             number = _version(version)
-            found.append(Rule(f"cc-{part}-{version}", "cc by", rf"cc[- ]{written}[- ]{number}", 70 + len(part)))
-            found.append(Rule(f"cc-{part}-{version}", "creative commons", rf"creative commons {CC_NAMES[part]} {number}", 72 + len(part)))
-            found.append(Rule(f"cc-{part}-{version}", "creativecommons", rf"creativecommons\.org/licenses/{part}/{number}", 90))
+            found.append(Rule(f"cc-{part}-{version}", "cc by", rf"cc[- ]{written}[- ]{number}", 70 + len(part), stem="cc[- ]by"))
+            found.append(Rule(f"cc-{part}-{version}", "creative commons", rf"creative commons {CC_NAMES[part]} {number}", 72 + len(part), stem="creative commons attribution"))
+            found.append(Rule(f"cc-{part}-{version}", "creativecommons", rf"creativecommons\.org/licenses/{part}/{number}", 90, stem=r"creativecommons\.org/licenses/by"))
     for label, keyword, pattern in GRANTS:
         found.append(Rule(label, keyword, pattern, 65 if label != "proprietary" else 30))
     return found
@@ -158,15 +164,46 @@ def _quoted(text: str) -> str:
 
 
 def _rule_table() -> str:
+    """The rules, in groups that are looked at together; a rule's number is its place among all."""
+    groups: dict[tuple[str, str, str], list[str]] = {}
+    for at, r in enumerate(rules()):
+        groups.setdefault((r.gate, r.keyword, r.stem), []).append(
+            f"named_struct('rule', {at}, 'label', {_quoted(r.label)}, 'priority', {r.priority},"
+            f" 'pattern', {_quoted('(?is)' + _BEFORE + '(?:' + _spaced(r.pattern) + ')' + _AFTER)})"
+        )
     rows = [
-        f"named_struct('rule', {at}, 'label', {_quoted(r.label)}, 'priority', {r.priority},"
-        f" 'keywords', array({', '.join(map(_quoted, r.keyword.split()))}),"
-        f" 'pattern', {_quoted('(?is)' + _BEFORE + '(?:' + _spaced(r.pattern) + ')' + _AFTER)})"
-        for at, r in enumerate(rules())
+        f"named_struct('keywords', array({', '.join(map(_quoted, dict.fromkeys([*gate.split(), *keyword.split()])))}),"
+        f" 'stem', {_quoted('(?is)' + _spaced(stem) if stem else '')}, 'rules', array({', '.join(own)}))"
+        for (gate, keyword, stem), own in groups.items()
     ]
     return f"array({', '.join(rows)})"
 
 
+# From the commonest to the rarest; a search stops at every place where the first letter stands.
+_COMMON = "etaoinsrhldcumfpgwybvkxjqz"
+
+
+def _rare_end(word: str) -> str:
+    """The end of ``word`` that starts with its rarest letter, of three letters or more."""
+    ends = [word[at:] for at in range(max(1, len(word) - 2))]
+    return max(ends, key=lambda end: _COMMON.find(end[0]) % 100)
+
+
+def _gates() -> list[list[str]]:
+    """Words of which one list occurs, whole, in every text with a detection; long words, which are rarer, first.
+
+    A list is left out if its words hold those of another one.
+    """
+    keys = sorted({r.gate or r.keyword for r in rules()})
+    found = [sorted(key.split(), key=len, reverse=True) for key in keys]
+    holds = lambda one, other: all(any(w in own for own in one) for w in other)
+    return [
+        one
+        for at, one in enumerate(found)
+        if not any(holds(one, other) and (not holds(other, one) or k < at) for k, other in enumerate(found) if k != at)
+    ]
+
+
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
@@ -191,7 +228,7 @@ def _named(value: str, name: str, use: str) -> str:
 _NO_SPANS = "cast(array() AS array<struct<start: int, end: int>>)"
 _PIECES = """
 filter(
-  zip_with(split(__text, {p}, -1), regexp_extract_all(__text, {p}, 0),
+  zip_with(split(__text, {p}, -1), matches,
            (gap, hit) -> struct(length(gap) AS gap, length(hit) AS hit)),
   x -> x.hit IS NOT NULL)
 """
@@ -212,7 +249,10 @@ flatten(zip_with(
 
 def _spans(pattern: str) -> str:
     within = f"transform({_chunks('pieces')}, chunk -> {_IN_CHUNK})"
-    return _named(_PIECES.format(p=pattern), "pieces", _named(within, "locals", _JOINED))
+    spans = _named(_PIECES.format(p=pattern), "pieces", _named(within, "locals", _JOINED))
+    # Where nothing matches, which is the rule, the text is not split.
+    found = f"CASE WHEN size(matches) = 0 THEN {_NO_SPANS} ELSE {spans} END"
+    return _named(f"regexp_extract_all(__text, {pattern}, 0)", "matches", found)
 
 
 # Per priority, the furthest end so far: a detection is inside an earlier one of at least its
@@ -242,18 +282,19 @@ flatten(zip_with(chunks, {_ENDS_BEFORE}, (c, before) -> CASE WHEN c IS NULL
 """
 
 
-def detections(documents: DataFrame, text: str = "text") -> DataFrame:
-    """``documents`` with ``detections``: label, priority, start and end of what is not suppressed.
-
-    The rules are one constant array; texts without any keyword end at a cheap test.
-    """
+def _detected(documents: DataFrame, text: str = "text") -> DataFrame:
+    """As ``detections``, and with ``__low``, the text in lower case."""
     gate = F.lit(False)
-    for key in sorted({r.gate or r.keyword for r in rules()}):
+    for words in _gates():
         found = F.lit(True)
-        for word in key.split():
-            found = found & F.col("__low").contains(word)
+        for part in dict.fromkeys(x for word in words for x in (_rare_end(word), word)):
+            found = found & F.col("__low").contains(part)
         gate = gate | found
-    tried = f"filter({_rule_table()}, r -> forall(r.keywords, k -> contains(__low, k)))"
+    tried = f"""
+      flatten(transform(
+        filter({_rule_table()}, g -> forall(g.keywords, k -> contains(__low, k)) AND (g.stem = '' OR __text RLIKE g.stem)),
+        g -> g.rules))
+    """
     hits = f"""
       flatten(transform({tried}, r -> transform(
         {_spans('r.pattern')},
@@ -274,12 +315,32 @@ def detections(documents: DataFrame, text: str = "text") -> DataFrame:
     found = found.withColumn("__low", F.explode(F.array(F.lower("__text"))))
     found = found.withColumn("__hits", F.when(gate, F.expr(ordered)))
     found = found.withColumn("detections", F.coalesce(F.expr(kept), F.expr(f"cast(array() AS {_DETECTIONS})")))
-    return found.drop("__text", "__low", "__hits")
+    return found.drop("__text", "__hits")
+
+
+def detections(documents: DataFrame, text: str = "text") -> DataFrame:
+    """``documents`` with ``detections``: label, priority, start and end of what is not suppressed.
+
+    The rules are one constant array; texts without any keyword end at a cheap test.
+    """
+    return _detected(documents, text).drop("__low")
+
+
+# So many words at once; each starts behind the last, however long what stands between is.
+_COUNTED = 64
+
+
+def _word_count(text: str) -> Column:
+    """The number of words: whole blocks of ``_COUNTED``, and those of the last block."""
+    block = f"(?:{_WORD}{_GAP[:-1]}*){{1,{_COUNTED}}}"
+    last = f"regexp_extract_all(coalesce(get(blocks, size(blocks) - 1), ''), {_quoted(_WORD)}, 0)"
+    count = f"{_COUNTED} * greatest(size(blocks) - 1, 0) + size({last})"
+    return F.expr(_named(f"regexp_extract_all({text}, {_quoted(block)}, 0)", "blocks", count))
 
 
-def _possible(text: str) -> Column:
-    """Whether a base phrase can occur; never false where one does."""
-    low = F.lower(text)
+def _possible(low: str) -> Column:
+    """Whether a base phrase can occur in a text of this lower case; never false where one does."""
+    low = F.col(low)
     return low.contains("license") | low.contains("cc") & low.contains("by")
 
 
@@ -303,15 +364,12 @@ def scan(documents: DataFrame) -> DataFrame:
     (priority 50), so more and surer signs give a higher score; 0 without any.
     """
     low = documents.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
-    found = detections(low.withColumn("possible", _possible("text")))
+    found = _detected(low)
     # An empty string in front of the first or behind the last gap is no word.
     bare = F.regexp_replace("text", rf"^{_GAP}|{_GAP}\z", "")
-    first, last = F.substring("text", 1, 1), F.substring("text", -1, 1)
-    outside = ((first == "") | first.rlike(_GAP)).cast("int") + last.rlike(_GAP).cast("int")
-    count = F.size(F.split("text", _GAP)) - outside
     words = F.split(ascii_lower(bare), _GAP)
-    found = found.withColumn("n_words", count.cast("long"))
-    found = found.withColumn("__words", F.when(F.col("possible"), words))
+    found = found.withColumn("n_words", _word_count("text").cast("long"))
+    found = found.withColumn("__words", F.when(_possible("__low"), words))
     found = found.withColumn("__base", F.coalesce(F.expr(_places("__words")), F.expr("filter(array(struct(0L AS at, '' AS label)), x -> false)")))
     labels = "array_sort(array_distinct(transform({0}, x -> x.label)))"
     own = "transform(detections, x -> x.label)"

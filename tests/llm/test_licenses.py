@@ -51,6 +51,50 @@ def test_detections_equal_plain_matching(spark, seed):
     assert max(map(len, got.values())) > 3 * licenses.CHUNK
 
 
+def test_words_are_counted_in_blocks(spark):
+    rng = random.Random(4)
+    signs = ["a", "Z", "0", "é", "日", "😀", "\u00a0", " ", "\n", ".", "_", "-", "\x7f", "\x00"]
+    rows = ["".join(rng.choice(signs) for _ in range(n)) for n in range(0, 400, 7)]
+    rows += [" ".join(["w"] * n) for n in (1, 63, 64, 65, 128, 129, 1000)] + ["", ".", "..", ".a", "a.", "x" * 5000]
+    # Long runs of signs or letters are looked at once, not from each of their places.
+    rows += ["." * 1_000_000, "a" + " " * 1_000_000, "." * 1_000_000 + "a" * 1_000_000]
+    df = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.n for r in df.select("doc_id", licenses._word_count("text").alias("n")).collect()}
+    assert got == {i: len(re.findall(r"[0-9A-Za-z\x80-\U0010ffff]+", text)) for i, text in enumerate(rows)}
+
+
+def test_rules_are_looked_at_in_groups():
+    """What a text is searched for does not grow with the number of versions of a license."""
+    rules = licenses.rules()
+    groups = {(r.gate, r.keyword, r.stem) for r in rules}
+    assert 4 * len(groups) < len(rules)
+    assert licenses._rule_table().count("'keywords'") == len(groups)
+    for rule in rules:
+        words = (rule.gate or rule.keyword).split()
+        assert any(all(any(w in own for own in words) for w in gate) for gate in licenses._gates())
+        # The start of a pattern, or with one choice of it, is what is looked for.
+        if rule.stem and not rule.stem.endswith(("[0-9]", "by", "attribution")):
+            assert rule.pattern.startswith(rule.stem)
+    for word in {w for gate in licenses._gates() for w in gate}:
+        assert word.endswith(end := licenses._rare_end(word)) and len(end) >= min(3, len(word))
+
+
+def test_each_rule_finds_its_own_text(spark):
+    """One text for every rule, made from its pattern: no gate, keyword or stem keeps it from being found."""
+    rows = []
+    for at, rule in enumerate(licenses.rules()):
+        text = re.sub(r"\[cs\]", "c", rule.pattern).replace(r"\.", ".").replace(".{1,80}?", "me").replace(r"['\"]?", "").replace(r"\(", "").replace(r"\)", "")
+        text = re.sub(r"\[- ?\]\??", "-", text).replace("[0-9.]+", "3").replace("[;,]?", "").replace(r"\+", "+")
+        while "(" in text:
+            text = re.sub(r"\((?:\?:)?([^()|]*)(?:\|[^()]*)?\)\??", r"\1", text)
+        text = re.sub(r"(.)\?", r"\1", text).upper()
+        rows.append((at, f"Under {text} here."))
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r.doc_id: {(d.start, d.priority) for d in r.detections} for r in licenses.detections(df).collect()}
+    want = {i: {(d[2], d[1]) for d in plain_detections(t)} for i, t in rows}
+    assert got == want and sum(map(bool, got.values())) > 0.9 * len(rows)
+
+
 def test_long_texts_take_time_in_proportion(spark):
     """A megabyte of matches; by appending to one list it would take minutes."""
     one = "Released under the MIT License or GNU General Public License version 3. "
