@@ -21,6 +21,7 @@ from __future__ import annotations
 import re
 from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -42,9 +43,19 @@ SLICE_BYTES = 4 << 20
 _OTHER = re.compile(r"[\W\d_]+")
 
 
+# What is a letter among the first 256 characters; the others become a space.
+_LATIN = bytes(0x20 if _OTHER.fullmatch(chr(code)) else code for code in range(256))
+
+
 def letters(text: str) -> str:
     """``text`` as lower-case words of letters."""
-    return _OTHER.sub(" ", text.lower()).strip()
+    low = text.lower()
+    try:
+        latin = low.encode("latin-1")
+    except UnicodeEncodeError:
+        return _OTHER.sub(" ", low).strip()
+    # A table does the same as the pattern, in a tenth of the time.
+    return b" ".join(latin.translate(_LATIN).split()).decode("latin-1")
 
 
 def dictionary(texts: list[str], size: int = DICTIONARY_BYTES) -> bytes:
@@ -115,14 +126,34 @@ class Classifier:
 
     def __call__(self, text: str | None) -> tuple[str, float, bool]:
         """Language, score from 0 to 1, and whether the text is rejected."""
-        data = letters(text or "").encode()
-        if not data or not self._languages or not any(map(str.isalpha, data.decode())):
-            return UNKNOWN, 0.0, True
-        if len(data) < SHORT_BYTES:
-            # What is too short to be compressed at all is judged by its repetition.
-            data = b" ".join([data] * (1 + SHORT_BYTES // len(data)))
-        blocks = [data[at : at + BLOCK_BYTES] for at in range(0, len(data), BLOCK_BYTES)]
-        sizes = [sum(len(c.compress(b)) for b in blocks) for c in self._compressors]
+        return self.all([text])[0]
+
+    def all(self, texts: list[str | None]) -> list[tuple[str, float, bool]]:
+        """What a call gives for every text; a compressor takes all blocks in turn, so that its tables stay in the cache."""
+        found: list[tuple[str, float, bool]] = [(UNKNOWN, 0.0, True)] * len(texts)
+        if not self._languages:
+            return found
+        blocks, judged, ends = [], [], []
+        for at, text in enumerate(texts):
+            plain = letters(text or "")
+            if not plain or not any(map(str.isalpha, plain)):
+                continue
+            data = plain.encode()
+            if len(data) < SHORT_BYTES:
+                # What is too short to be compressed at all is judged by its repetition.
+                data = b" ".join([data] * (1 + SHORT_BYTES // len(data)))
+            blocks += [data[start : start + BLOCK_BYTES] for start in range(0, len(data), BLOCK_BYTES)]
+            judged.append(at)
+            ends.append(len(blocks))
+        sums = []
+        for compressor in self._compressors:
+            upto = [0, *accumulate(len(compressor.compress(block)) for block in blocks)]
+            sums.append([upto[end] - upto[start] for start, end in zip([0, *ends], ends)])
+        for at, *sizes in zip(judged, *sums):
+            found[at] = self._judged(sizes)
+        return found
+
+    def _judged(self, sizes: list[int]) -> tuple[str, float, bool]:
         if len(sizes) == 1:
             return self._languages[0], 1.0, False
         best, second = sorted(range(len(sizes)), key=lambda i: (sizes[i], i))[:2]
@@ -137,7 +168,7 @@ def classify(documents: DataFrame, dictionaries: dict[str, bytes]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Classifier(dictionaries)
         for batch in arrays.sliced(batches, "text", SLICE_BYTES):
-            found = [judge(text) for text in batch.column("text").to_pylist()]
+            found = judge.all(batch.column("text").to_pylist())
             columns = [pa.array(c, f.type) for c, f in zip(zip(*found), added)]
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, *columns], names=[*batch.schema.names, *added.names]

@@ -22,6 +22,33 @@ SMALL = "/root/testdata/sf0.001"
 # --- language ID --------------------------------------------------------------
 
 
+def test_letters_equal_the_pattern():
+    rng = random.Random(6)
+    signs = [chr(c) for c in range(0x180)] + list("日İǅ😀…") + ["  ", "word", "Ärger"]
+    texts = ["".join(rng.choice(signs[: rng.choice([128, 256, len(signs)])]) for _ in range(rng.randrange(60))) for _ in range(500)]
+    for text in [*map(chr, range(0x180)), *texts, ""]:
+        assert langid.letters(text) == langid._OTHER.sub(" ", text.lower()).strip()
+
+
+def test_a_batch_is_judged_text_by_text():
+    judge = langid.Classifier({"de": langid.dictionary(["der die das und nicht ein"]), "en": langid.dictionary(["the and of with this"])})
+    texts = ["the cat and the dog of this", None, "", "12 !", "der Hund und das Haus " * 300, "the", "und"]
+    blocks = []
+
+    class Noting:
+        def __init__(self, inner):
+            self.compress = lambda block: blocks.append((inner, block)) or inner.compress(block)
+
+    judge._compressors = [Noting(c) for c in judge._compressors]
+    found = judge.all(texts)
+    # Every compressor takes all blocks before the next one starts.
+    order = [id(inner) for inner, _ in blocks]
+    assert len(set(order)) == 2 and order == sorted(order, key=order.index)
+    assert found == [judge(text) for text in texts]
+    assert [lang for lang, _, _ in found] == ["en", "und", "und", "und", "de", "en", "de"]
+    assert langid.Classifier({}).all(texts) == [("und", 0.0, True)] * len(texts)
+
+
 def test_held_out_accuracy(spark):
     found = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.01")
     langs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "lang")
